@@ -7,14 +7,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from harness.mapping import AS_OF, raw_tables, run_logs
 from watchpost.functions.clock import AsOf
 from watchpost.operators import detection, header, health, operations, quality, reliability, rules
 from watchpost.plans.rebuild import materialize_star
-from watchpost.plans.star import MODEL_NAMES, StarSchema
+from watchpost.plans.star import MODEL_NAMES, StarSchema, write_dimensions
 from watchpost.sources.run_log import read_run_log, write_run_log
-from watchpost.sources.warehouse import new_folder
+from watchpost.sources.warehouse import new_folder, read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 MOMENT = AsOf.of(AS_OF)
@@ -32,13 +33,25 @@ WIDE_RESULTS = {
 SMALL_SCAN = 32
 
 
+_written_dimensions: dict[tuple[str, str], tuple[str, dict[str, StructType]]] = {}
+
+
 def star(spark: SparkSession, sf_dir: str) -> StarSchema:
-    return StarSchema(raw_tables(spark, sf_dir), MOMENT)
+    """Facts planned over dimensions that are written once per application and input."""
+    raw = raw_tables(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written_dimensions:
+        root = new_folder(spark, "dimensions")
+        _written_dimensions[key] = (root, write_dimensions(spark, raw, MOMENT, root))
+    return StarSchema(raw, MOMENT, read_tables(spark, *_written_dimensions[key]))
 
 
 def _model(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        model = star(spark, sf_dir)[name]
+        if not name.startswith("fct_"):
+            model = StarSchema(raw_tables(spark, sf_dir), MOMENT)[name]
+        else:
+            model = star(spark, sf_dir)[name]
         if name not in WIDE_RESULTS:
             return model
         # A test table is one file, so its whole result would reach the driver as one

@@ -1,0 +1,119 @@
+"""Freshness thresholds and build logs."""
+
+from __future__ import annotations
+
+import json
+
+from fleet import AS_OF, fleet, records, ts
+
+from watchpost.functions.clock import AsOf
+from watchpost.operators import health
+from watchpost.sources.run_log import read_run_log, write_run_log
+
+MOMENT = AsOf.of(AS_OF)
+
+LOG = {
+    "metadata": {"generated_at": "2024-01-31T12:00:00Z"},
+    "elapsed_time": 3.2,
+    "results": [
+        {"unique_id": "model.fleet.dim_site", "status": "success", "execution_time": 0.4126},
+        {"unique_id": "test.fleet.unique_dim_site_site_id.ab12", "status": "pass", "execution_time": 0.0315},
+        {"unique_id": "test.fleet.relationships_telemetry.cd34", "status": "fail", "execution_time": 0.0444},
+        {"unique_id": "model.fleet.fct_x", "status": "skipped", "execution_time": 0.0},
+    ],
+}
+
+
+def log(spark, tmp_path, document):
+    path = tmp_path / "run_results.json"
+    path.write_text(json.dumps(document, indent=1))
+    return read_run_log(spark, str(path))
+
+
+def test_steps_and_summary(spark, tmp_path):
+    logged = log(spark, tmp_path, LOG)
+    steps = records(health.run_log_steps(logged))
+    assert [(s["kind"], s["name"], s["status"], s["elapsed_s"]) for s in steps] == [
+        ("model", "dim_site", "success", 0.413),
+        ("test", "ab12", "pass", 0.032),
+        ("test", "cd34", "fail", 0.044),
+        ("model", "fct_x", "skipped", 0.0),
+    ]
+    assert records(health.run_log_summary(logged)) == [
+        {"kind": "model", "steps": 2, "passed": 1, "failed": 0, "avg_s": 0.206},
+        {"kind": "test", "steps": 2, "passed": 1, "failed": 1, "avg_s": 0.038},
+    ]
+
+
+def verdict(df):
+    (row,) = records(df)
+    return row["status"], row["detail"], row["n_passed"], row["n_failed"], row["n_total"]
+
+
+def test_status_of_a_degraded_build(spark, tmp_path):
+    status = health.pipeline_status(log(spark, tmp_path, LOG))
+    assert verdict(status) == ("fail", "pipeline degraded", 2, 1, 4)
+    row = records(status)[0]
+    assert (row["generated_at"], row["elapsed_s"]) == ("2024-01-31T12:00:00Z", 3.2)
+
+
+def test_a_skipped_step_alone_degrades_without_a_failure(spark, tmp_path):
+    document = LOG | {"results": [LOG["results"][0], LOG["results"][3]]}
+    assert verdict(health.pipeline_status(log(spark, tmp_path, document))) == (
+        "fail", "pipeline degraded", 1, 0, 2,
+    )
+
+
+def test_a_step_without_status_or_id_has_failed(spark, tmp_path):
+    logged = log(spark, tmp_path, {"generated_at": "x", "results": [{"execution_time": 1.0}, {}]})
+    assert verdict(health.pipeline_status(logged)) == ("fail", "pipeline degraded", 0, 2, 2)
+    assert records(health.run_log_summary(logged)) == [
+        {"kind": "", "steps": 2, "passed": 0, "failed": 2, "avg_s": 0.5}
+    ]
+    assert records(health.pipeline_status(logged))[0]["generated_at"] == "x"
+
+
+def test_all_passed_is_nominal(spark, tmp_path):
+    document = LOG | {"results": LOG["results"][:2]}
+    assert verdict(health.pipeline_status(log(spark, tmp_path, document))) == (
+        "ok", "pipeline nominal", 2, 0, 2,
+    )
+
+
+def test_absent_empty_and_resultless_logs_warn(spark, tmp_path):
+    absent = read_run_log(spark, str(tmp_path / "nothing.json"))
+    assert verdict(health.pipeline_status(absent)) == ("warn", "pipeline status unavailable", 0, 0, 0)
+    assert verdict(health.pipeline_status(log(spark, tmp_path, {})))[:2] == (
+        "warn", "pipeline status unavailable",
+    )
+    for document in (LOG | {"results": []}, {"elapsed_time": 1.0}):
+        assert verdict(health.pipeline_status(log(spark, tmp_path, document)))[:2] == (
+            "warn", "no pipeline runs recorded",
+        )
+
+
+def test_logs_survive_a_round_trip_as_lines(spark, tmp_path):
+    logged = log(spark, tmp_path, LOG)
+    write_run_log(logged, str(tmp_path / "lines"))
+    again = read_run_log(spark, str(tmp_path / "lines"), multiline=False)
+    assert records(health.run_log_steps(again)) == records(health.run_log_steps(logged))
+
+
+def test_freshness_limits_are_exclusive(spark):
+    tables = fleet(
+        spark,
+        telemetry=[{"ts": ts("2024-01-31 06:00:00")}],
+        detections=[{"detection_id": "a", "detected_at": ts("2024-01-31 05:59:59")}],
+        alert_pipeline=[{"detection_id": "a", "detection_ts": ts("2024-01-30 11:59:59")}],
+    )
+    got = {r["source"]: r["status"] for r in records(health.freshness_status(tables, MOMENT))}
+    assert got == {"telemetry": "pass", "detections": "warn", "alert_pipeline": "error"}
+    empty = {r["source"]: r["status"] for r in records(health.freshness_status(fleet(spark), MOMENT))}
+    assert set(empty.values()) == {"error"}
+
+
+def test_source_ages_count_minute_marks(spark):
+    tables = fleet(spark, telemetry=[{"ts": ts("2024-01-31 11:58:59")}])
+    rows = records(health.source_freshness(tables, MOMENT))
+    assert [r["source"] for r in rows] == ["deployments", "incidents", "inventory", "telemetry"]
+    assert rows[3]["age_minutes"] == 2 and rows[0]["age_minutes"] is None

@@ -1,0 +1,147 @@
+"""Star schema on hand-written rows: boundaries, orphans, open ends."""
+
+from __future__ import annotations
+
+import math
+from datetime import date
+
+from fleet import AS_OF, SITES, TOWERS, fleet, raw_table, records, ts
+
+from watchpost.plans.star import StarSchema
+
+
+def by(rows, key):
+    return {row[key]: row for row in rows}
+
+
+def test_dim_site_counts_towers_by_status(spark):
+    sites = by(records(fleet(spark, sites=SITES, towers=TOWERS)["dim_site"]), "site_id")
+    counts = ("tower_count", "active_tower_count", "maintenance_tower_count")
+    assert [sites["S1"][c] for c in counts] == [2, 1, 1]
+    assert [sites["S2"][c] for c in counts] == [1, 0, 0]
+
+
+def test_dim_site_without_towers_has_zeros(spark):
+    row = records(fleet(spark, sites=SITES[:1])["dim_site"])[0]
+    assert (row["tower_count"], row["active_tower_count"]) == (0, 0)
+
+
+def test_dim_tower_age_and_unknown_site(spark):
+    towers = [TOWERS[0] | {"deploy_date": date(2024, 1, 1)}, TOWERS[3]]
+    got = by(records(fleet(spark, sites=SITES, towers=towers)["dim_tower"]), "tower_id")
+    assert got["T1"]["age_days"] == 30 and got["T1"]["site_name"] == "Alpha"
+    assert got["T4"]["site_id"] is None and got["T4"]["age_days"] is None
+
+
+def test_fleet_health_rounds_and_keeps_orphans(spark):
+    def reading(tower, at, cpu, uptime):
+        return {"tower_id": tower, "ts": ts(at), "cpu_pct": cpu, "comms_uptime_min": uptime}
+
+    telemetry = [
+        reading("T1", "2024-01-30 00:00:00", 1.005, 60.0),
+        reading("T1", "2024-01-30 23:59:59", 1.005, 30.0),
+        reading("T1", "2024-01-31 00:00:00", 2.0, 0.0),
+        reading("T8", "2024-01-30 05:00:00", 3.0, 20.0),
+    ]
+    incidents = [
+        {"incident_id": "a", "tower_id": "T1", "opened_at": ts("2024-01-30 10:00:00"), "severity": "P2"},
+        {"incident_id": "b", "tower_id": "T1", "opened_at": ts("2024-01-30 11:00:00"), "severity": "P3"},
+        {"incident_id": "c", "tower_id": "T2", "opened_at": ts("2024-01-30 11:00:00"), "severity": "P1"},
+    ]
+    rows = records(
+        fleet(spark, sites=SITES, towers=TOWERS, telemetry=telemetry, incidents=incidents)[
+            "fct_fleet_health_daily"
+        ]
+    )
+    got = {(r["tower_id"], r["health_date"].day): r for r in rows}
+    assert set(got) == {("T1", 30), ("T1", 31), ("T8", 30)}  # T2 has no telemetry
+    first = got["T1", 30]
+    assert first["avg_cpu_pct"] == 1.0 and first["comms_uptime_pct"] == 75.0
+    assert (first["incidents_opened"], first["critical_incidents"]) == (2, 1)
+    assert first["last_heartbeat_ts"] == ts("2024-01-30 23:59:59")
+    assert (got["T1", 31]["incidents_opened"], got["T1", 31]["critical_incidents"]) == (0, 0)
+    assert got["T8", 30]["site_id"] is None and got["T8", 30]["comms_uptime_pct"] == 33.33
+
+
+def test_deployment_duration_depends_on_end_not_on_status(spark):
+    deployments = [
+        {"deployment_id": "a", "start_ts": ts("2024-01-30 10:59:00"), "status": "completed"},
+        {
+            "deployment_id": "b",
+            "start_ts": ts("2024-01-30 10:59:00"),
+            "end_ts": ts("2024-01-30 11:01:00"),
+            "status": "active",
+        },
+    ]
+    got = by(records(fleet(spark, deployments=deployments)["fct_deployment_status"]), "deployment_id")
+    assert (got["a"]["duration_hours"], got["a"]["duration_days"]) == (26, 1)
+    assert (got["b"]["duration_hours"], got["b"]["duration_days"]) == (1, 0)
+
+
+def test_component_ratio_only_after_failure(spark):
+    def component(key, failed, target):
+        return {
+            "component_id": key,
+            "installed_at": ts("2024-01-01 00:30:00"),
+            "failed_at": failed,
+            "mtbf_target_hours": target,
+            "is_failed": failed is not None,
+        }
+
+    failed = ts("2024-01-02 00:15:00")
+    rows = [component("run", None, 10), component("bad", failed, 7), component("zero", failed, 0)]
+    got = by(records(fleet(spark, components=rows)["fct_component_reliability"]), "component_id")
+    assert got["run"]["observed_hours"] == 732 and got["run"]["actual_vs_target_ratio"] is None
+    assert got["bad"]["observed_hours"] == 24 and got["bad"]["actual_vs_target_ratio"] == 3.429
+    assert got["zero"]["actual_vs_target_ratio"] == math.inf
+
+
+def test_stock_levels_at_their_limits(spark):
+    levels = {0: "critical", 1: "reorder", 9: "reorder", 10: "watch", 14: "watch", 15: "healthy"}
+    inventory = [
+        {"part_number": f"{n:02d}", "on_hand": n + 5, "allocated": 5, "reorder_point": 10} for n in levels
+    ]
+    inventory.append({"part_number": "unknown", "allocated": 5, "reorder_point": 10})
+    got = by(records(fleet(spark, inventory=inventory)["fct_inventory_status"]), "part_number")
+    for n, level in levels.items():
+        assert got[f"{n:02d}"]["stock_status"] == level
+        assert got[f"{n:02d}"]["needs_reorder"] == (n < 10)
+    assert got["unknown"]["stock_status"] == "healthy" and got["unknown"]["needs_reorder"] is False
+
+
+def test_part_of_day_limits_and_site_of_the_tower(spark):
+    hours = {4: "night", 5: "dawn", 7: "dawn", 8: "day", 17: "day", 18: "dusk", 20: "dusk", 21: "night"}
+    detections = [
+        {
+            "detection_id": f"{h:02d}",
+            "tower_id": "T1",
+            "site_id": "S2",
+            "detected_at": ts(f"2024-01-30 {h:02d}:59:59"),
+        }
+        for h in hours
+    ]
+    rows = records(
+        fleet(spark, sites=SITES, towers=TOWERS, detections=detections)["fct_detection_events"]
+    )
+    assert {int(r["detection_id"]): r["time_of_day"] for r in rows} == hours
+    assert {r["site_id"] for r in rows} == {"S1"}
+    assert all(r["hour_of_day"] == int(r["detection_id"]) for r in rows)
+
+
+def test_alert_without_detection_is_dropped_and_orphan_tower_kept(spark):
+    alerts = [{"detection_id": k, "detection_ts": ts("2024-01-30 01:00:00")} for k in ("known", "lost")]
+    detections = [{"detection_id": "known", "tower_id": "T7", "target_class": "human"}]
+    rows = records(fleet(spark, detections=detections, alert_pipeline=alerts)["fct_alert_pipeline_latency"])
+    assert [(r["detection_id"], r["tower_id"], r["site_id"]) for r in rows] == [("known", "T7", None)]
+    assert rows[0]["detection_date"] == date(2024, 1, 30)
+
+
+def test_staging_casts_are_strict(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    raw = {"towers": raw_table(spark, "towers", [{"tower_id": "T1"}]).drop("deploy_date").selectExpr(
+        "*", "'not a date' as deploy_date"
+    )}
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        StarSchema(raw, AS_OF)["stg_towers"].collect()

@@ -2,20 +2,21 @@
 
 ``percentile()`` merges a map of all distinct values into a single task, which cannot
 hold a column of doubles at 100 TB.  Here the column becomes a histogram spread over the
-cluster, and the wanted ranks are located by narrowing: count rows per coarse cell, open
-only the cells that hold a wanted rank, count finer cells inside them, and so on down to
-single values.  With the default widths (4096 s, 1 s) on durations of microsecond grain
-a window orders at most span/4096 cells, then 4096, then 1,000,000.
+cluster.  Its values are counted per cell of fixed width; running totals over the cells
+show which cell holds each wanted rank, and only those cells are opened and ordered value
+by value.  For durations of microsecond grain and the default width of 4 s, a window
+orders at most span/4 cells (eight million for a span of a year) and then at most four
+million values, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_WIDTHS = (4096.0, 1.0)
+CELL_WIDTH = 4.0
 
 
 def percentiles(
@@ -23,7 +24,7 @@ def percentiles(
     measures: Mapping[str, str],
     probabilities: Mapping[str, float],
     *,
-    widths: Sequence[float] = DEFAULT_WIDTHS,
+    width: float = CELL_WIDTH,
     accuracy: int | None = None,
 ) -> DataFrame:
     """One row per measure: ``measure``, one column per probability, ``mean``.
@@ -35,7 +36,7 @@ def percentiles(
     """
     values = _unpivot(df, measures)
     if accuracy is None:
-        found = _exact(values, probabilities, widths)
+        found = _exact(values, probabilities, width)
     else:
         found = _approximate(values, probabilities, accuracy)
     labels = F.array(*[F.lit(label) for label in measures])
@@ -48,7 +49,7 @@ def _unpivot(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
         F.struct(F.lit(label).alias("measure"), F.col(name).cast("double").alias("value"))
         for label, name in measures.items()
     ]
-    return df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    return df.select(F.inline(F.array(*pairs)))
 
 
 def _approximate(values: DataFrame, probabilities: Mapping[str, float], accuracy: int) -> DataFrame:
@@ -58,19 +59,23 @@ def _approximate(values: DataFrame, probabilities: Mapping[str, float], accuracy
     return grouped.select("measure", *columns, "mean")
 
 
-def _exact(values: DataFrame, probabilities: Mapping[str, float], widths: Sequence[float]) -> DataFrame:
-    # The cell numbers are functions of the value, so grouping by them as well costs no
-    # extra rows and lets every level read one and the same shuffled histogram.
-    cells = [f"cell_{level}" for level in range(len(widths))]
-    numbered = values.withColumns(
-        {cell: F.floor(F.col("value") / width) for cell, width in zip(cells, widths)}
+def _exact(values: DataFrame, probabilities: Mapping[str, float], width: float) -> DataFrame:
+    # The cell is a function of the value: grouping by both gives no more rows than by
+    # the value alone.  Dropping NULLs by the cell, which the join below does anyway,
+    # keeps the two uses of the histogram identical, so that one shuffle serves both.
+    histogram = (
+        values.withColumn("cell", F.floor(F.col("value") / width))
+        .where("cell is not null")
+        .groupBy("measure", "cell", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    path = [*cells, "value"]
-    histogram = numbered.groupBy("measure", *path).agg(F.count(F.lit(1)).alias("n"))
-
-    targets = _open_first(histogram, path[0], probabilities)
-    for level in range(1, len(path)):
-        targets = _narrow(histogram, targets, path[:level], path[level])
+    # At most 2 x probabilities x measures rows: a fixed bound, so the hint is safe.
+    targets = F.broadcast(_cells_of_ranks(histogram, probabilities))
+    ordered = Window.partitionBy("measure", "prob", "edge").orderBy("value")
+    counted = histogram.join(targets, ["measure", "cell"]).withColumn(
+        "end", F.col("before") + F.sum("n").over(ordered)
+    )
+    hits = counted.where(_holds_rank())
 
     def at(prob: int, edge: str) -> Column:
         return F.max(F.when((F.col("prob") == prob) & (F.col("edge") == edge), F.col("value")))
@@ -80,20 +85,20 @@ def _exact(values: DataFrame, probabilities: Mapping[str, float], widths: Sequen
         position = (F.max("total") - 1) * F.lit(float(p))
         weight = position - F.floor(position)
         interpolated.append((at(prob, "low") + (at(prob, "high") - at(prob, "low")) * weight).alias(name))
-    return targets.groupBy("measure").agg(*interpolated, F.max("mean").alias("mean"))
+    return hits.groupBy("measure").agg(*interpolated, F.max("mean").alias("mean"))
 
 
-def _open_first(histogram: DataFrame, cell: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """Totals per measure, the wanted ranks, and the coarse cell each rank lies in."""
-    coarse = histogram.groupBy("measure", cell).agg(
+def _cells_of_ranks(histogram: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
+    """The two ranks next to each probability, the cell each lies in, rows before that cell."""
+    cells = histogram.groupBy("measure", "cell").agg(
         F.sum("n").alias("n"), F.sum(F.col("value") * F.col("n")).alias("mass")
     )
     whole = Window.partitionBy("measure")
-    counted = coarse.select(
+    counted = cells.select(
         "measure",
-        cell,
+        "cell",
         "n",
-        F.sum("n").over(whole.orderBy(cell)).alias("end"),
+        F.sum("n").over(whole.orderBy("cell")).alias("end"),
         F.sum("n").over(whole).alias("total"),
         (F.sum("mass").over(whole) / F.sum("n").over(whole)).alias("mean"),
     )
@@ -105,25 +110,12 @@ def _open_first(histogram: DataFrame, cell: str, probabilities: Mapping[str, flo
                 F.struct(F.lit(prob).alias("prob"), F.lit(edge).alias("edge"), rank.alias("rank"))
             )
     spread = counted.select("*", F.inline(F.array(*ranks)))
-    return spread.where(_holds(F.col("end") - F.col("n"), F.col("end"))).select(
-        "measure", "prob", "edge", "rank", "total", "mean", cell, (F.col("end") - F.col("n")).alias("base")
-    )
-
-
-def _narrow(histogram: DataFrame, targets: DataFrame, parents: list[str], cell: str) -> DataFrame:
-    """Replace each target's cell by the finer cell that holds its rank."""
-    inside = ["measure", *parents]
-    # At most 2 x probabilities x measures rows: a fixed bound, so the hint is safe.
-    opened = F.broadcast(targets.select(*inside).distinct())
-    finer = histogram.join(opened, inside, "left_semi").groupBy(*inside, cell).agg(F.sum("n").alias("n"))
-    running = F.sum("n").over(Window.partitionBy(*inside).orderBy(cell))
-    counted = finer.select(*inside, cell, "n", running.alias("upto"))
-    joined = counted.join(F.broadcast(targets), inside)
-    end = F.col("base") + F.col("upto")
-    return joined.where(_holds(end - F.col("n"), end)).select(
-        *inside, cell, "prob", "edge", "rank", "total", "mean", (end - F.col("n")).alias("base")
+    return spread.where(_holds_rank()).select(
+        "measure", "cell", "prob", "edge", "rank", "total", "mean", (F.col("end") - F.col("n")).alias("before")
     )
 
 
-def _holds(start: Column, end: Column) -> Column:
-    return (start <= F.col("rank")) & (F.col("rank") < end)
+def _holds_rank() -> Column:
+    """Ranks count from 0; ``end`` is the number of rows up to and including this one."""
+    rank = F.col("rank")
+    return (F.col("end") - F.col("n") <= rank) & (rank < F.col("end"))

@@ -14,7 +14,7 @@ from watchpost.operators.quality import dq_suite
 from watchpost.operators.staging import STAGING_MODELS
 from watchpost.plans.checks import declared_checks
 from watchpost.plans.marts import MARTS
-from watchpost.plans.star import StarSchema
+from watchpost.plans.star import DIMENSIONS, StarSchema
 from watchpost.sources.lazy import LazyTables
 from watchpost.sources.run_log import RUN_LOG, write_run_log
 from watchpost.sources.warehouse import materialize, read_tables
@@ -32,17 +32,15 @@ def materialize_star(
     facts, so that raw files are read once and no dimension is computed per fact.
     """
     seconds: dict[str, float] = {}
-    dimensions = [name for name in MARTS if name.startswith("dim_")]
-    facts = [name for name in MARTS if name not in dimensions]
+    facts = [name for name in MARTS if name not in DIMENSIONS]
     planned = StarSchema(raw, as_of)
     ready: dict[str, DataFrame] = {}
-    for layer in (list(STAGING_MODELS), dimensions, facts):
+    for layer in (list(STAGING_MODELS), DIMENSIONS, facts):
         for name in layer:
             started = time.perf_counter()
             materialize(planned, root, [name])
             seconds[name] = time.perf_counter() - started
-        written = read_tables(spark, root, planned)
-        ready |= {name: written[name] for name in layer}
+        ready |= read_tables(spark, root, {name: planned[name].schema for name in layer})
         planned = StarSchema(raw, as_of, ready)
     return planned, seconds
 

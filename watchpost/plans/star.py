@@ -6,14 +6,17 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from watchpost.functions.clock import AsOf
 from watchpost.operators.staging import STAGING_MODELS
 from watchpost.plans.marts import MARTS
 from watchpost.sources.lazy import LazyTables
+from watchpost.sources.warehouse import materialize
 
 MODEL_NAMES = (*STAGING_MODELS, *MARTS)
+DIMENSIONS = tuple(name for name in MARTS if name.startswith("dim_"))
 
 
 class StarSchema(LazyTables):
@@ -35,3 +38,17 @@ class StarSchema(LazyTables):
         loaders |= {name: partial(model, self, moment) for name, model in MARTS.items()}
         loaders |= {name: partial(ready.__getitem__, name) for name in ready}
         super().__init__(loaders)
+
+
+def write_dimensions(
+    spark: SparkSession, raw: Mapping[str, DataFrame], as_of: AsOf | datetime | str, root: str
+) -> dict[str, StructType]:
+    """Write the dimensions below ``root``; return the schemas to read them back with.
+
+    A fact that joins a *planned* dimension is judged by an estimate (the product of the
+    dimension's inputs), which is far too high: Spark would shuffle the fact.  Over a
+    written dimension the choice follows from the size of its files.
+    """
+    planned = StarSchema(raw, as_of)
+    materialize(planned, root, DIMENSIONS)
+    return {name: planned[name].schema for name in DIMENSIONS}

@@ -9,6 +9,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from watchpost.sources.lazy import LazyTables
 
@@ -61,11 +62,12 @@ def materialize(tables: Mapping[str, DataFrame], root: str, names: Iterable[str]
         write_table(tables[name], f"{root}/{name}", partition_by=PARTITIONED_BY.get(name))
 
 
-def read_tables(spark: SparkSession, root: str, like: Mapping[str, DataFrame]) -> LazyTables:
-    """Materialized tables with the schemas of ``like`` (no inference, same column order)."""
-    return LazyTables({name: partial(_read, spark, f"{root}/{name}", like, name) for name in like})
+def read_tables(spark: SparkSession, root: str, schemas: Mapping[str, StructType]) -> LazyTables:
+    """Written tables with their known schemas: no inference, same column order."""
+    return LazyTables(
+        {name: partial(_read, spark, f"{root}/{name}", schema) for name, schema in schemas.items()}
+    )
 
 
-def _read(spark: SparkSession, path: str, like: Mapping[str, DataFrame], name: str) -> DataFrame:
-    wanted = like[name]
-    return spark.read.schema(wanted.schema).parquet(path).select(*wanted.columns)
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
