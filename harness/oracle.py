@@ -183,7 +183,7 @@ def _header(site: str | None) -> str:
     where = "" if site is None else f"and site_id = '{site}'"
     cutoff = f"{NOW} - interval 7 day"
     return f"""
-        select n.*,
+        select n.* replace (round(uptime_7d, 6) as uptime_7d, round(uptime_prev_7d, 6) as uptime_prev_7d),
           case when abs(uptime_7d - uptime_prev_7d) >= 0.05
             then round(uptime_7d - uptime_prev_7d, 6) end as uptime_delta,
           case when failed_components_30d <> failed_components_prev_30d
@@ -198,9 +198,9 @@ def _header(site: str | None) -> str:
             (select count(*) from known_incidents where closed_at is null {where}) as open_incidents,
             (select count(*) from known_incidents
               where closed_at is null and severity in ('P1', 'P2') {where}) as critical_open,
-            (select round(avg(comms_uptime_pct), 6) from fct_fleet_health_daily
+            (select avg(comms_uptime_pct) from fct_fleet_health_daily
               where health_date >= {TODAY} - 7 {where}) as uptime_7d,
-            (select round(avg(comms_uptime_pct), 6) from fct_fleet_health_daily
+            (select avg(comms_uptime_pct) from fct_fleet_health_daily
               where health_date >= {TODAY} - 14 and health_date < {TODAY} - 7 {where}) as uptime_prev_7d,
             (select count(*) from fct_component_reliability
               where is_failed and failed_at >= {NOW} - interval 30 day {where}) as failed_components_30d,

@@ -1,0 +1,188 @@
+"""Physical plans: what is scanned, shuffled, broadcast and pushed down."""
+
+from __future__ import annotations
+
+import io
+import re
+from contextlib import contextmanager, redirect_stdout
+from datetime import datetime, timedelta
+
+import pytest
+from fleet import AS_OF, SITES, TOWERS, raw_table
+from pyspark.sql import functions as F
+
+from harness.mapping import raw_tables
+from harness.queries import QUERIES
+from watchpost.functions.clock import AsOf
+from watchpost.operators import detection, header, operations, reliability, rules
+from watchpost.operators.quality import dq_not_null
+from watchpost.plans.rebuild import materialize_star
+from watchpost.plans.star import StarSchema
+from watchpost.sources.warehouse import new_folder
+
+SF_DIR = "/root/testdata/sf0.01"
+MOMENT = AsOf.of(AS_OF)
+
+
+@pytest.fixture(scope="module")
+def written(spark):
+    return materialize_star(spark, raw_tables(spark, SF_DIR), MOMENT, new_folder(spark, "star"))[0]
+
+
+def plan(df, *, run=False) -> str:
+    """Formatted plan; after a run the tree that was executed, with the node details."""
+    if run:
+        df.collect()
+    printed = io.StringIO()
+    with redirect_stdout(printed):
+        df.explain("formatted")
+    text = printed.getvalue()
+    if not run:
+        return text
+    executed, rest = text.split("== Initial Plan ==", 1)
+    return executed + rest[rest.index("\n(1) ") :]
+
+
+def scans(text: str) -> int:
+    return len(re.findall(r"^\s*[:+* -]*Scan parquet", text, flags=re.M))
+
+
+@contextmanager
+def settings(spark, **values):
+    values = {key.replace("__", "."): value for key, value in values.items()}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in values:
+            spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"materialize_roundtrip", "dq_suite"}))
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    for node in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoopJoin"):
+        assert node not in text
+
+
+def test_one_scan_for_conditional_aggregates(spark, written):
+    for query in (
+        detection.detection_kpis(written, MOMENT),
+        header.uptime(written, MOMENT),
+        header.failures(written, MOMENT),
+        reliability.mtbf_long(written),
+    ):
+        assert scans(plan(query)) == 1
+
+
+def test_header_reads_each_table_once(spark, written):
+    # health, deployments, components, incidents, and the tower dimension twice:
+    # once counted, once joined.
+    assert scans(plan(header.kpi_header(written, MOMENT))) == 6
+
+
+def test_stage_percentiles_share_one_shuffled_histogram(spark, written):
+    text = plan(detection.latency_by_stage(written), run=True)
+    assert scans(text) == 1 and text.count("ReusedExchange") >= 1
+    assert "percentile" not in text
+
+
+@pytest.mark.parametrize(
+    "query", [operations.active_missions, detection.tower_detection_summary, reliability.top_root_causes]
+)
+def test_top_k_never_sorts_everything(spark, written, query):
+    text = plan(query(written))
+    assert "TakeOrderedAndProject" in text
+
+
+def test_date_windows_prune_partitions(spark, written):
+    for query, column in (
+        (header.uptime(written, MOMENT), "health_date"),
+        (operations.detection_density(written, MOMENT), "detection_date"),
+    ):
+        filters = re.search(r"PartitionFilters: \[(.*)\]", plan(query)).group(1)
+        assert column in filters and ">=" in filters
+
+
+def test_filters_and_columns_reach_the_scan(spark, written):
+    text = plan(operations.active_missions(written))
+    assert re.search(r"PushedFilters: \[.*EqualTo\(status,active\)", text)
+    schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert "end_ts" not in schema and "duration_hours" not in schema
+    checks = plan(dq_not_null(written))
+    assert re.search(r"PushedFilters: \[Or\(.*IsNull\(tower_id\)", checks)
+
+
+def test_facts_are_not_shuffled_to_meet_a_small_dimension(spark, written):
+    tables = StarSchema(
+        {}, MOMENT, {name: written[name] for name in written if not name.startswith("fct_")}
+    )
+    for name in ("fct_detection_events", "fct_deployment_status", "fct_component_reliability"):
+        text = plan(tables[name])
+        assert "BroadcastHashJoin" in text and not re.search(r"\bExchange \(", text)
+
+
+def test_daily_health_joins_incidents_without_another_shuffle(spark, written):
+    tables = StarSchema({}, MOMENT, {k: written[k] for k in ("stg_telemetry", "stg_incidents", "dim_tower")})
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(tables["fct_fleet_health_daily"])
+    # One per aggregate, then the aggregated rows and the dimension by tower.
+    assert len(re.findall(r"^\(\d+\) Exchange", text, flags=re.M)) == 4
+
+
+def test_a_hot_tower_is_split_when_the_dimension_is_too_large_to_broadcast(spark, tmp_path):
+    """A third of all rows on one tower; the dimension may not be broadcast."""
+    rows = spark.range(0, 300_000, 1, 16).select(
+        F.concat(F.lit("DET"), "id").alias("detection_id"),
+        F.when(F.col("id") % 3 == 0, "T1")
+        .otherwise(F.concat(F.lit("T"), (F.col("id") % 5000).cast("string")))
+        .alias("tower_id"),
+        F.lit(datetime(2024, 1, 30, 3)).cast("timestamp_ntz").alias("detected_at"),
+        *[
+            F.lit(None).cast(field.dataType).alias(field.name)
+            for field in raw_table(spark, "detections", []).schema
+            if field.name not in ("detection_id", "tower_id", "detected_at")
+        ],
+    )
+    rows.write.parquet(str(tmp_path / "detections"))
+    raw = {
+        "sites": raw_table(spark, "sites", SITES),
+        "towers": raw_table(spark, "towers", TOWERS),
+        "detections": spark.read.parquet(str(tmp_path / "detections")),
+    }
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100k",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    ):
+        tables = StarSchema(raw, AS_OF)
+        events = tables["fct_detection_events"]
+        text = plan(events, run=True)
+        assert re.search(r"SortMergeJoin.*skew=true", text) or "SortMergeJoin(skew=true)" in text
+        assert events.count() == 300_000
+        # A grouping by tower sums up before the shuffle and before the join.
+        summary = plan(detection.tower_detection_summary(tables), run=True)
+        shuffled = [int(float(n)) for n in re.findall(r"rowCount=([\d.E+]+)", summary)]
+        assert max(shuffled) <= 16 * 5001
+
+
+def test_latest_deployment_needs_no_window(spark, written):
+    text = plan(rules.latest_deployment_per_tower(written))
+    assert "Window" not in text and "partial_max" in text
+
+
+def test_incidents_are_counted_before_they_meet_the_dimension(spark, written):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(header.open_incidents(written), run=True)
+    # What is shuffled for the join is one row per tower, far fewer than incidents.
+    assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
+    assert "partial_count" in text
+
+
+def test_as_of_is_a_literal(spark, written):
+    early = AsOf.of(datetime(2024, 1, 31, 12) - timedelta(days=365))
+    assert "current_" not in plan(header.kpi_header(written, early))

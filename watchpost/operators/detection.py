@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from watchpost.functions.clock import AsOf
 from watchpost.functions.numeric import percent_mean, percent_true, round_half_away
 from watchpost.functions.quantiles import percentiles
-from watchpost.operators.scope import at_site
+from watchpost.operators.scope import at_site, known_towers
 
 Tables = Mapping[str, DataFrame]
 
@@ -109,17 +109,33 @@ def detection_hourly(tables: Tables, *, site_id: str | None = None) -> DataFrame
 
 
 def tower_detection_summary(tables: Tables, *, site_id: str | None = None) -> DataFrame:
-    """The towers that escalate the largest share of their detections."""
+    """The towers that escalate the largest share of their detections.
+
+    Summed per tower before the dimension is joined.  Grouping the joined fact by tower
+    instead would reuse the join's partitioning, where a hot tower is one task.
+    """
+    shares = {
+        "auto_resolve_pct": F.col("auto_resolved").cast("int"),
+        "escalation_pct": F.col("escalated_to_operator").cast("int"),
+        "fp_rate_pct": F.col("false_positive").cast("int"),
+        "avg_confidence_pct": F.col("confidence_score"),
+    }
+    sums = [F.sum(value).alias(f"{name}_sum") for name, value in shares.items()]
+    counts = [F.count(value).alias(f"{name}_n") for name, value in shares.items()]
+    per_tower = (
+        tables["stg_detections"]
+        .groupBy("tower_id")
+        .agg(F.count(F.lit(1)).alias("n"), *sums, *counts)
+    )
+    towers = known_towers(tables, site_id, "site_name")
+    percentages = [
+        round_half_away(F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0)) * 100, 1).alias(name)
+        for name in shares
+    ]
     return (
-        _detections(tables, site_id)
+        per_tower.join(towers, "tower_id", "left" if site_id is None else "inner")
         .groupBy("tower_id", "site_name")
-        .agg(
-            F.count(F.lit(1)).alias("detections"),
-            percent_true(F.col("auto_resolved")).alias("auto_resolve_pct"),
-            percent_true(F.col("escalated_to_operator")).alias("escalation_pct"),
-            percent_true(F.col("false_positive")).alias("fp_rate_pct"),
-            percent_mean(F.col("confidence_score")).alias("avg_confidence_pct"),
-        )
-        .orderBy(F.desc_nulls_last("escalation_pct"), "tower_id", "site_name")
+        .agg(F.sum("n").alias("detections"), *percentages)
+        .orderBy(F.desc_nulls_last("escalation_pct"), F.asc_nulls_last("tower_id"), F.asc_nulls_last("site_name"))
         .limit(TOWER_LIST_LENGTH)
     )

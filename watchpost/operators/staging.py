@@ -9,7 +9,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, TimestampNTZType
+from pyspark.sql.types import DateType, LongType, TimestampNTZType
 
 from watchpost.sources.schemas import RAW_TABLES, staging_schema
 
@@ -19,11 +19,10 @@ def stage(name: str, raw: DataFrame) -> DataFrame:
     columns = []
     for field in staging_schema(name):
         value = F.col(field.name)
-        nanoseconds = isinstance(field.dataType, TimestampNTZType) and isinstance(
-            raw.schema[field.name].dataType, LongType
-        )
-        typed = _from_nanoseconds(field.name) if nanoseconds else value.cast(field.dataType)
-        columns.append(typed.alias(field.name))
+        temporal = isinstance(field.dataType, (TimestampNTZType, DateType))
+        if temporal and isinstance(raw.schema[field.name].dataType, LongType):
+            value = _from_nanoseconds(field.name)
+        columns.append(value.cast(field.dataType).alias(field.name))
     return raw.select(*columns)
 
 
