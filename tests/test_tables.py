@@ -18,7 +18,13 @@ from watchpost.plans.star import MODEL_NAMES, StarSchema
 from watchpost.sources.raw import allow_nanosecond_files, read_raw
 from watchpost.sources.run_log import read_run_log
 from watchpost.sources.schemas import RAW_TABLES
-from watchpost.sources.warehouse import new_folder, read_tables, shared_folder, write_table
+from watchpost.sources.warehouse import (
+    new_folder,
+    read_tables,
+    register_views,
+    shared_folder,
+    write_table,
+)
 from watchpost.streaming.ingest import ingest_available
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -46,6 +52,15 @@ def test_rebuild_writes_every_model_and_a_log(spark, tmp_path):
     assert (status["status"], status["n_total"], status["n_passed"]) == ("fail", 74, 72)
 
 
+def test_views_answer_ad_hoc_sql(spark):
+    register_views(fleet(spark, sites=SITES, towers=TOWERS))
+    query = "select site_name, count(*) as n from dim_tower where status = :status group by 1 order by 1"
+    rows = records(spark.sql(query, args={"status": "active"}))
+    assert rows == [{"site_name": None, "n": 1}, {"site_name": "Alpha", "n": 1}]
+    for name in MODEL_NAMES:
+        assert spark.catalog.dropTempView(name)
+
+
 def test_null_dates_survive_partitioning(spark, tmp_path):
     detections = [{"detection_id": "a"}, {"detection_id": "b", "detected_at": ts("2024-01-30 01:00:00")}]
     events = fleet(spark, detections=detections)["fct_detection_events"]

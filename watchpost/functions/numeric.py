@@ -2,7 +2,8 @@
 
 Spark's own ``round``/``bround`` work on the shortest decimal text of a double; the
 results to be matched were made by binary arithmetic.  They differ on ties such as
-1.005, hence the three helpers.
+1.005, hence the three helpers.  Each uses its argument several times: give it a column
+of an earlier projection or an aggregate, not a long expression that would be repeated.
 """
 
 from __future__ import annotations

@@ -82,8 +82,8 @@ def run_log_steps(log: DataFrame) -> DataFrame:
         F.element_at(parts, 1).alias("kind"),
         F.element_at(parts, -1).alias("name"),
         step["status"].alias("status"),
-        round_exact(seconds, 3).alias("elapsed_s"),
-    )
+        seconds.alias("seconds"),
+    ).select("generated_at", "kind", "name", "status", round_exact(F.col("seconds"), 3).alias("elapsed_s"))
 
 
 def run_log_summary(log: DataFrame) -> DataFrame:

@@ -10,9 +10,8 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchpost.plans.checks import (
@@ -42,38 +41,31 @@ def run_checks(tables: Tables, checks: Iterable[Check]) -> DataFrame:
     found += [_bad_rows(tables[model], listed) for model, listed in by_model.items()]
 
     failures = reduce(DataFrame.unionByName, found)
-    spark = failures.sparkSession
-    listing = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("number"),
-                F.lit(check.model).alias("model"),
-                F.lit(check.column).alias("column_name"),
-                F.lit(check.test).alias("test"),
-            )
-            for number, check in numbered
-        ]
+    listing = ", ".join(
+        f"struct({number} as number, {_text(check.model)} as model,"
+        f" {_text(check.column)} as column_name, {_text(check.test)} as test)"
+        for number, check in numbered
     )
-    count = F.coalesce("failures", F.lit(0).cast("bigint"))
     return (
-        spark.range(1)
-        .select(F.inline(listing))
+        failures.sparkSession.range(1)
+        .selectExpr(f"inline(array({listing}))")
         .join(failures, "number", "left")
-        .select(
-            "model",
-            "column_name",
-            "test",
-            count.alias("failures"),
-            F.when(count == 0, "pass").otherwise("fail").alias("status"),
-        )
+        .selectExpr("model", "column_name", "test", "coalesce(failures, 0L) as failures")
+        .selectExpr("*", "if(failures = 0, 'pass', 'fail') as status")
     )
 
 
-def _violated(check: Check) -> Column:
-    value = F.col(check.column)
+# Conditions are SQL text: one expression per table instead of dozens of column objects.
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _violated(check: Check) -> str:
     if check.test == NOT_NULL:
-        return value.isNull()
-    return value.isNotNull() & ~value.isin(*check.values)
+        return f"(`{check.column}` is null)"
+    # NULL is neither in the list nor outside of it.
+    return f"(`{check.column}` not in ({', '.join(map(_text, check.values))}))"
 
 
 def _bad_rows(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
@@ -82,26 +74,21 @@ def _bad_rows(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
     The filter comes first: it is pushed to the parquet reader, which skips row groups
     whose statistics show no NULL, and on clean data nothing is left for the shuffle.
     """
-    hits = [
-        F.struct(
-            F.lit(number).alias("number"),
-            _violated(check).alias("hit"),
-            (F.col(check.column) if check.test == ACCEPTED_VALUES else F.lit(None))
-            .cast("string")
-            .alias("value"),
-        )
+    hits = ", ".join(
+        f"struct({number} as number, {_violated(check)} as hit, "
+        + (f"string(`{check.column}`)" if check.test == ACCEPTED_VALUES else "string(null)")
+        + " as value)"
         for number, check in checks
-    ]
-    bad = df.where(reduce(or_, [_violated(check) for _, check in checks]))
+    )
     per_value = (
-        bad.select(F.inline(F.array(*hits)))
+        df.where(" or ".join(_violated(check) for _, check in checks))
+        .selectExpr(f"inline(array({hits}))")
         .where("hit")
         .groupBy("number", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # A NULL value stands for rows of a not_null check, any other for one bad value.
-    weight = F.when(F.col("value").isNull(), F.col("n")).otherwise(1)
-    return per_value.groupBy("number").agg(F.sum(weight).alias("failures"))
+    return per_value.groupBy("number").agg(F.expr("sum(if(value is null, n, 1L)) as failures"))
 
 
 def _duplicates(df: DataFrame, number: int, check: Check) -> DataFrame:
@@ -111,26 +98,22 @@ def _duplicates(df: DataFrame, number: int, check: Check) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(number).alias("number"), "failures"
-    )
+    return repeated.agg(F.count(F.lit(1)).alias("failures")).selectExpr(f"{number} as number", "failures")
 
 
 def _orphans(tables: Tables, number: int, check: Check) -> DataFrame:
     """Counted per value before the anti join: a hot value is one row there."""
     model, column = check.parent
-    parents = tables[model].select(F.col(column).alias("value"))
+    parents = tables[model].selectExpr(f"`{column}` as value")
     values = (
         tables[check.model]
-        .select(F.col(check.column).alias("value"))
+        .selectExpr(f"`{check.column}` as value")
         .where("value is not null")
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     orphans = values.join(parents, "value", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures")).select(
-        F.lit(number).alias("number"), "failures"
-    )
+    return orphans.selectExpr(f"{number} as number", "coalesce(sum(n), 0L) as failures")
 
 
 def _of_kind(tables: Tables, test: str) -> DataFrame:

@@ -57,29 +57,29 @@ def escalation_queue(tables: Tables) -> DataFrame:
 
 def escalation_gaps(tables: Tables) -> DataFrame:
     """Where queue and alert pipeline disagree: ``detection_id``, ``problem``."""
-    queue = escalation_queue(tables).select("detection_id")
-    alerts = tables["stg_alert_pipeline"].select("detection_id")
-    missing = queue.join(alerts, "detection_id", "left_anti")
-    unexpected = alerts.join(queue, "detection_id", "left_anti")
-    return missing.withColumn("problem", F.lit("no alert")).unionByName(
-        unexpected.withColumn("problem", F.lit("not escalated"))
-    )
+    queue = escalation_queue(tables).select("detection_id", F.lit(True).alias("queued"))
+    alerts = tables["stg_alert_pipeline"].select("detection_id", F.lit(True).alias("alerted"))
+    problem = F.when(F.col("alerted").isNull(), "no alert").when(F.col("queued").isNull(), "not escalated")
+    both = queue.join(alerts, "detection_id", "full").select("detection_id", problem.alias("problem"))
+    return both.where("problem is not null")
 
 
 def stage_latencies(tables: Tables) -> DataFrame:
     """The five durations recomputed from the stage timestamps, to 0.1 s."""
 
-    def seconds(start: str, end: str) -> Column:
-        return round_exact(seconds_elapsed(F.col(start), F.col(end)), 1)
-
-    return tables["stg_alert_pipeline"].select(
+    stamps = ["detection_ts", "alert_generated_ts", "operator_notified_ts", "operator_ack_ts", "resolved_ts"]
+    spans = {
+        "detection_to_alert_s": (stamps[0], stamps[1]),
+        "alert_to_notify_s": (stamps[1], stamps[2]),
+        "notify_to_ack_s": (stamps[2], stamps[3]),
+        "ack_to_resolve_s": (stamps[3], stamps[4]),
+        "total_response_s": (stamps[0], stamps[4]),
+    }
+    exact = tables["stg_alert_pipeline"].select(
         "detection_id",
-        seconds("detection_ts", "alert_generated_ts").alias("detection_to_alert_s"),
-        seconds("alert_generated_ts", "operator_notified_ts").alias("alert_to_notify_s"),
-        seconds("operator_notified_ts", "operator_ack_ts").alias("notify_to_ack_s"),
-        seconds("operator_ack_ts", "resolved_ts").alias("ack_to_resolve_s"),
-        seconds("detection_ts", "resolved_ts").alias("total_response_s"),
+        *[seconds_elapsed(F.col(start), F.col(end)).alias(name) for name, (start, end) in spans.items()],
     )
+    return exact.select("detection_id", *[round_exact(F.col(name), 1).alias(name) for name in spans])
 
 
 def latest_deployment_per_tower(tables: Tables) -> DataFrame:

@@ -7,8 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DateType, LongType, TimestampNTZType
 
 from watchpost.sources.schemas import RAW_TABLES, staging_schema
@@ -18,17 +17,17 @@ def stage(name: str, raw: DataFrame) -> DataFrame:
     """Raw table ``name`` with its pinned columns and types.  Also works on a stream."""
     columns = []
     for field in staging_schema(name):
-        value = F.col(field.name)
+        value = f"`{field.name}`"
         temporal = isinstance(field.dataType, (TimestampNTZType, DateType))
         if temporal and isinstance(raw.schema[field.name].dataType, LongType):
-            value = _from_nanoseconds(field.name)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return raw.select(*columns)
+            value = _from_nanoseconds(value)
+        columns.append(f"cast({value} as {field.dataType.simpleString()}) as `{field.name}`")
+    return raw.selectExpr(*columns)
 
 
-def _from_nanoseconds(name: str) -> Column:
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.expr(f"(`{name}` - pmod(`{name}`, 1000)) div 1000"), epoch)
+def _from_nanoseconds(value: str) -> str:
+    microseconds = f"({value} - pmod({value}, 1000)) div 1000"
+    return f"timestampadd(MICROSECOND, {microseconds}, timestamp_ntz'1970-01-01 00:00:00')"
 
 
 def _staging_model(name: str) -> Callable[[Mapping[str, DataFrame]], DataFrame]:

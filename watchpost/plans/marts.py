@@ -146,9 +146,11 @@ def fct_component_reliability(tables: Tables, as_of: AsOf) -> DataFrame:
     """Components with hours observed, to failure or to now, against the target."""
     failed_at = F.col("failed_at")
     hours = hours_between(F.col("installed_at"), F.coalesce(failed_at, as_of.now()))
-    ratio = round_half_away(ieee_divide(hours, F.col("mtbf_target_hours")), 3)
+    ratio = F.when(failed_at.isNotNull(), ieee_divide(F.col("observed_hours"), F.col("mtbf_target_hours")))
+    # One projection per step: the ratio uses the hours, and the rounding the ratio, often.
+    measured = tables["stg_components"].withColumn("observed_hours", hours).withColumn("ratio", ratio)
     return _with_tower(
-        tables["stg_components"],
+        measured,
         tables,
         site_id="site_id",
         site_name="site_name",
@@ -167,8 +169,8 @@ def fct_component_reliability(tables: Tables, as_of: AsOf) -> DataFrame:
         "failed_at",
         "is_failed",
         "mtbf_target_hours",
-        hours.alias("observed_hours"),
-        F.when(failed_at.isNotNull(), ratio).alias("actual_vs_target_ratio"),
+        "observed_hours",
+        round_half_away(F.col("ratio"), 3).alias("actual_vs_target_ratio"),
     )
 
 

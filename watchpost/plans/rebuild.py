@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from watchpost.sources.warehouse import materialize, read_tables
 
 # First part of the step ids in the log.
 PROJECT = "watchpost"
+CONCURRENT_WRITES = 4
 
 
 def materialize_star(
@@ -29,17 +32,25 @@ def materialize_star(
     """Write every model below ``root``; return the written tables and seconds per model.
 
     Staging is read back before the marts are built on it, and the dimensions before the
-    facts, so that raw files are read once and no dimension is computed per fact.
+    facts, so that raw files are read once and no dimension is computed per fact.  Models
+    of one layer do not depend on each other; a few are written at a time, so that a small
+    one does not leave the cluster idle.
     """
     seconds: dict[str, float] = {}
     facts = [name for name in MARTS if name not in DIMENSIONS]
     planned = StarSchema(raw, as_of)
     ready: dict[str, DataFrame] = {}
-    for layer in (list(STAGING_MODELS), DIMENSIONS, facts):
-        for name in layer:
+    for layer in (tuple(STAGING_MODELS), DIMENSIONS, facts):
+        tables = {name: planned[name] for name in layer}
+
+        @inheritable_thread_target(spark)
+        def write(name: str) -> float:
             started = time.perf_counter()
-            materialize(planned, root, [name])
-            seconds[name] = time.perf_counter() - started
+            materialize(tables, root, [name])
+            return time.perf_counter() - started
+
+        with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+            seconds |= dict(zip(layer, pool.map(write, layer)))
         ready |= read_tables(spark, root, {name: planned[name].schema for name in layer})
         planned = StarSchema(raw, as_of, ready)
     return planned, seconds

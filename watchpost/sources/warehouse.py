@@ -69,5 +69,11 @@ def read_tables(spark: SparkSession, root: str, schemas: Mapping[str, StructType
     )
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make every table a temporary view of its name, for ad-hoc ``spark.sql``."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+
+
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
