@@ -30,7 +30,8 @@ WIDE_RESULTS = {
     "fct_detection_events": "events",
     "fct_alert_pipeline_latency": "events",
 }
-SMALL_SCAN = 32
+SMALL_SCAN = 8
+RESULT_TASKS = 32
 
 
 _written_dimensions: dict[tuple[str, str], tuple[str, dict[str, StructType]]] = {}
@@ -57,7 +58,7 @@ def _model(name: str) -> Query:
         # A test table is one file, so its whole result would reach the driver as one
         # task result.  A scan that already has many tasks is left as it is.
         source = spark.read.parquet(f"{sf_dir}/{WIDE_RESULTS[name]}.parquet")
-        return model if source.rdd.getNumPartitions() >= SMALL_SCAN else model.repartition(SMALL_SCAN)
+        return model if source.rdd.getNumPartitions() >= SMALL_SCAN else model.repartition(RESULT_TASKS)
 
     return query
 

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Doubles at or beyond 2^52 have no fractional part, so there is nothing to round.
-_INTEGRAL_FROM = float(2**52)
 # Splits a 53-bit double into two halves whose product with a small integer is exact.
 _SPLITTER = float(2**27 + 1)
 
@@ -21,9 +19,10 @@ def round_half_away(value: Column, digits: int) -> Column:
     """Scale, round half away from zero, scale back.  Used where the rule is SQL ROUND."""
     unit = float(10**digits)
     scaled = F.abs(value) * unit
-    below = F.floor(scaled).cast("double")
-    nearest = F.when(scaled - below >= 0.5, below + 1.0).otherwise(below)
-    return F.when(scaled < _INTEGRAL_FROM, F.signum(value) * nearest / unit).otherwise(value)
+    even = F.rint(scaled)
+    # Rounding half to even went down exactly where half a unit is left.
+    nearest = even + F.when(scaled - even == 0.5, 1.0).otherwise(0.0)
+    return F.signum(value) * nearest / unit
 
 
 def round_half_even(value: Column, digits: int) -> Column:
@@ -41,15 +40,11 @@ def round_exact(value: Column, digits: int) -> Column:
     """
     unit = float(10**digits)
     scaled = value * unit
-    below = F.floor(scaled).cast("double")
     carried = value * _SPLITTER
     high = carried - (carried - value)
     error = (high * unit - scaled) + (value - high) * unit
-    tie = scaled - below == 0.5
-    nearest = (
-        F.when(tie & (error > 0), below + 1.0).when(tie & (error < 0), below).otherwise(F.rint(scaled))
-    )
-    return F.when(F.abs(scaled) < _INTEGRAL_FROM, nearest / unit).otherwise(value)
+    tie = F.abs(scaled - F.rint(scaled)) == 0.5
+    return F.rint(scaled + F.when(tie, F.signum(error) * 0.25).otherwise(0.0)) / unit
 
 
 def ieee_divide(numerator: Column, denominator: Column) -> Column:

@@ -88,12 +88,14 @@ def latest_deployment_per_tower(tables: Tables) -> DataFrame:
     An aggregate, not a window: map-side ``max`` leaves one row per tower and task
     before the shuffle, so a tower with a huge history is no hot spot.
     """
-    active = tables["stg_towers"].where(F.col("status") == "active").select("tower_id")
+    # Distinct and joined, not a semi join: that would be moved below the aggregate, where
+    # it meets every deployment instead of one per tower.
+    active = tables["stg_towers"].where(F.col("status") == "active").select("tower_id").distinct()
     history = tables["stg_deployments"]
     newest = F.max(
         F.struct("start_ts", "deployment_id", "mission_name", "end_ts", "status")
     ).alias("newest")
-    latest = history.groupBy("tower_id").agg(newest).join(active, "tower_id", "left_semi")
+    latest = history.groupBy("tower_id").agg(newest).join(active, "tower_id")
     return latest.select(
         "tower_id",
         "newest.deployment_id",
