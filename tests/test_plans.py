@@ -59,7 +59,7 @@ def settings(spark, **values):
             spark.conf.unset(key)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"materialize_roundtrip", "dq_suite"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"materialize_roundtrip"}))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     for node in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoopJoin"):
