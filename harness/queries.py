@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -41,9 +42,14 @@ def star(spark: SparkSession, sf_dir: str) -> StarSchema:
     """Facts planned over dimensions that are written once per application and input."""
     raw = raw_tables(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written_dimensions:
-        root = new_folder(spark, "dimensions")
-        _written_dimensions[key] = (root, write_dimensions(spark, raw, MOMENT, root))
+    if key in _written_dimensions:
+        try:
+            dimensions = read_tables(spark, *_written_dimensions[key])
+            return StarSchema(raw, MOMENT, {name: dimensions[name] for name in dimensions})
+        except AnalysisException:  # the folder was cleared: write them again
+            del _written_dimensions[key]
+    root = new_folder(spark, "dimensions")
+    _written_dimensions[key] = (root, write_dimensions(spark, raw, MOMENT, root))
     return StarSchema(raw, MOMENT, read_tables(spark, *_written_dimensions[key]))
 
 

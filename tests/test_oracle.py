@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from harness import queries
 from harness.compare import difference, open_tables
 from harness.oracle import ORACLE_SQL
 from harness.queries import QUERIES
@@ -38,6 +39,14 @@ def test_result_does_not_depend_on_partitioning(spark, connection, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_dimensions_are_written_again_when_their_folder_is_gone(spark, connection, monkeypatch):
+    name, key = "tower_detection_summary", (spark.sparkContext.applicationId, SF_DIR)
+    schemas = queries._written_dimensions[key][1]
+    monkeypatch.setitem(queries._written_dimensions, key, ("/nowhere", schemas))
+    assert difference(spark, connection, name, SF_DIR) is None
+    assert queries._written_dimensions[key][0] != "/nowhere"
+
+
 def test_entry(spark):
     import __spark_entry__
 
