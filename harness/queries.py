@@ -15,7 +15,7 @@ from watchpost.functions.clock import AsOf
 from watchpost.operators import detection, header, health, operations, quality, reliability, rules
 from watchpost.plans.rebuild import materialize_star
 from watchpost.plans.star import MODEL_NAMES, StarSchema, write_dimensions
-from watchpost.sources.run_log import read_run_log, write_run_log
+from watchpost.sources.run_log import parse_run_log
 from watchpost.sources.warehouse import new_folder, read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,12 +83,11 @@ def _six_digits(query: Query, *columns: str) -> Query:
 
 
 def _logged(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    """The operator over build logs written as JSON and read back."""
+    """The operator over build logs that arrive as JSON text."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = new_folder(spark, "run-log")
-        write_run_log(run_logs(spark, sf_dir), path)
-        return operator(read_run_log(spark, path, multiline=False))
+        lines = run_logs(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+        return operator(parse_run_log(lines))
 
     return query
 

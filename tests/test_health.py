@@ -8,7 +8,7 @@ from fleet import AS_OF, fleet, records, ts
 
 from watchpost.functions.clock import AsOf
 from watchpost.operators import health
-from watchpost.sources.run_log import read_run_log, write_run_log
+from watchpost.sources.run_log import parse_run_log, read_run_log, write_run_log
 
 MOMENT = AsOf.of(AS_OF)
 
@@ -99,6 +99,13 @@ def test_logs_survive_a_round_trip_as_lines(spark, tmp_path):
     assert records(health.run_log_steps(again)) == records(health.run_log_steps(logged))
 
 
+def test_logs_arrive_as_text(spark, tmp_path):
+    lines = spark.createDataFrame([(json.dumps(LOG),), ("{}",), ("no json",)], "value string")
+    steps = records(health.run_log_steps(parse_run_log(lines)))
+    assert steps == records(health.run_log_steps(log(spark, tmp_path, LOG)))
+    assert verdict(health.pipeline_status(parse_run_log(lines))) == ("fail", "pipeline degraded", 2, 1, 4)
+
+
 def test_freshness_limits_are_exclusive(spark):
     tables = fleet(
         spark,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 # The fields of a log document.
@@ -32,6 +33,11 @@ def read_run_log(spark: SparkSession, path: str, *, multiline: bool = True) -> D
         return spark.createDataFrame([], RUN_LOG)
 
 
+def parse_run_log(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Log documents from a text column, one JSON document per row (a table, a stream)."""
+    return lines.select(F.from_json(column, RUN_LOG).alias("log")).select("log.*")
+
+
 def write_run_log(log: DataFrame, path: str) -> None:
     """One document per line."""
     log.select(*RUN_LOG.fieldNames()).write.mode("overwrite").json(path)
