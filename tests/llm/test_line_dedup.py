@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+from collections import Counter
+from urllib.parse import urlsplit
+
+from pyspark.sql import functions as F
+
+from watchpost.llm import line_dedup as ld
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def brute(rows, ratio=0.3, min_pages=4):
+    """``page: kept lines`` for rows of id, address and lines."""
+    total, holding = Counter(), Counter()
+    host = lambda url: urlsplit(url).hostname if url and "://" in url else None
+    for _, url, lines in rows:
+        total[host(url)] += 1
+        holding.update({(host(url), line) for line in lines})
+    gone = lambda h, line: h and total[h] >= min_pages and holding[h, line] > ratio * total[h]
+    return sorted(((p, "\n".join(x for x in lines if not gone(host(url), x))) for p, url, lines in rows), key=str)
+
+
+def answer(df):
+    return sorted(((r["page_id"], r["text"]) for r in df.collect()), key=str)
+
+
+def test_lines_above_the_ratio_go(spark):
+    rows = []
+    for i in range(40):
+        host = ("http://a.org/x", "https://u@B.com:80/y?z", "http://few.net", "ftp://c.org#d")[(i > 20) + (i > 36) + (i > 38)]
+        lines = ["menu", f"text {i}", "footer" if i % 3 else f"foot {i}", "rare" if i % 7 == 0 else "menu", f"t {i % 4}"]
+        rows.append((i, host, lines))
+    rows += [(None, "http://a.org", ["menu", "nobody"]), (50, None, ["menu"]), (51, "no address", ["menu"]), (51, "http://a.org/", ["menu"])]
+    pages = spark.createDataFrame([(p, u, "<p>" + "</p><div>".join(x)) for p, u, x in rows], SCHEMA)
+    assert answer(ld.drop_boilerplate_lines(pages.withColumn("host", F.lit("own")))) == brute(rows)
+
+
+def test_table_equals_brute_force(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    lines = pages.select("page_id", "url", ld.page_lines(F.col("html"))).collect()
+    out = ld.drop_boilerplate_lines(pages)
+    assert answer(out) == brute([tuple(r) for r in lines])
+    assert sum(r["n_dropped"] for r in out.collect()) > 0
+
+
+def test_text_of_a_page(spark):
+    html = (
+        "<!DOCTYPE html><html><head><title>A  title</title><style>p{x}</style><script>var t='</p>';</script></head>"
+        "<body><!-- <p>no</p> --><p>one <b>two</b>\tthree<br/>four</p>\r\n<li>five</li>  <p> </p>six"
+    )
+    pages = spark.createDataFrame([(html,), (None,), ("",), ("x " * 100_000,)], "html string")
+    found = [r[0] for r in pages.select(ld.page_lines(F.col("html"))).collect()]
+    assert found[0] == ["A title", "one two three", "four", "five", "six"]
+    assert found[1:3] == [[], []] and len(found[3][0]) == 199_999
+
+
+def test_empty_table(spark):
+    assert ld.drop_boilerplate_lines(spark.createDataFrame([], SCHEMA)).count() == 0

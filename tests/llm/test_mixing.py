@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import pytest
+from brute import spaced_words
+from pyspark.sql import functions as F
+
+from watchpost.llm import mixing
+from watchpost.llm.queries import op7_source_mixing
+
+
+def brute_targets(sizes):
+    """Share, stop, reshare, as the rules say it; ``sizes`` by source."""
+    sources = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sources)}
+    whole, target, stopped = 1.5 * sum(sizes.values()), {}, set()
+    while True:
+        free = [s for s in sources if s not in stopped]
+        rest = whole - sum(2 * sizes[s] for s in stopped)
+        target = {s: 2.0 * sizes[s] for s in stopped}
+        target |= {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if target[s] > 2 * sizes[s]}
+        if not over:
+            return target
+        stopped |= over
+
+
+def answer(docs):
+    return {r["source"]: r["target"] for r in mixing.source_targets(docs).collect()}
+
+
+@pytest.mark.parametrize(
+    "counts",
+    [
+        {"a": 10, "b": 10, "c": 10, "d": 1, None: 3},
+        {"a": 100, "b": 1, "c": 1, "d": 1},
+        {"b": 1, "a": 1},
+        {"a": 0, "b": 7, "é": 9, "Z": 2, "z": 30, None: 0},
+        {"a": 0},
+    ],
+)
+def test_targets_equal_resharing(spark, documents, counts):
+    texts = [" ".join(["w"] * n) for n in counts.values()]
+    assert answer(documents(texts, sources=list(counts))) == pytest.approx(brute_targets(counts))
+
+
+def test_query_takes_words_near_targets(spark, sf_dir):
+    texts = {r["doc_id"]: r for r in spark.read.parquet(f"{sf_dir}/../sf0.1/documents.parquet").collect()}
+    rows = op7_source_mixing(spark, f"{sf_dir}/../sf0.1").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    sizes, taken, targets = {}, {}, {}
+    for r in rows:
+        source = texts[r["doc_id"]]["source"]
+        assert r["size"] == len(spaced_words(texts[r["doc_id"]]["text"]))
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+        sizes[source] = sizes.get(source, 0) + r["size"]
+        taken[source] = taken.get(source, 0) + r["taken"]
+        targets[source] = r["target"]
+    assert targets == pytest.approx(brute_targets(sizes))
+    assert all(r["source_size"] == sizes[texts[r["doc_id"]]["source"]] for r in rows)
+    for source, target in targets.items():
+        assert taken[source] == pytest.approx(target, rel=0.15)
+    again = op7_source_mixing(spark, f"{sf_dir}/../sf0.1").collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
+def test_fraction_is_a_probability(spark):
+    rows = spark.range(20_000).select(mixing.copies(F.lit(1.25), [F.col("id")]).alias("n")).groupBy("n").count()
+    found = {r["n"]: r["count"] for r in rows.collect()}
+    assert set(found) == {1, 2} and found[2] == pytest.approx(5000, rel=0.05)
+    whole = spark.range(500).select(mixing.copies(F.lit(2.0), [F.col("id")]).alias("n")).distinct().collect()
+    assert [r["n"] for r in whole] == [2]
+
+
+def test_mix_repeats_rows_and_keeps_columns(spark, documents):
+    docs = documents(["a b c", "d", None, "", "e f", "e f"], [1, 2, 3, 4, None, None], ["x", "x", None, "y", "y", "y"])
+    docs = docs.withColumn("weight", F.lit("own"))
+    targets = mixing.source_targets(docs).withColumn("rate", F.lit(2.0))
+    mix = mixing.mixed(docs, targets)
+    assert mix.columns == docs.columns
+    assert sorted(map(str, mix.collect())) == sorted([*map(str, docs.collect())] * 2)
+    assert mixing.mixed(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="already have"):
+        mixing.mixed(docs.withColumn("rate", F.lit(1)))

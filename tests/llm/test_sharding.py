@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+from binascii import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from watchpost.llm import sharding as sh
+from watchpost.llm.queries import op9_slot_sharding
+
+
+def test_query_fills_shards_evenly_and_without_gaps(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/../sf0.1/documents.parquet").collect()}
+    rows = op9_slot_sharding(spark, f"{sf_dir}/../sf0.1").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    load, places, shard_of = {}, {}, {}
+    for r in rows:
+        data = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 16, crc32(data), "bytes", None)
+        load[r["shard"]] = load.get(r["shard"], 0) + r["size"]
+        places.setdefault(r["shard"], []).append(r["slot"])
+        assert shard_of.setdefault(r["virtual_slot"], r["shard"]) == r["shard"]
+    assert sorted(load) == list(range(40))
+    assert max(load.values()) <= 1.01 * min(load.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_edge_cases(spark, documents):
+    docs = documents([None, "", "é" * 9, "same", "same", "same"], [1, 2, None, 4, 4, None])
+    records = sh.digests(docs)
+    rows = sh.numbered(records, sh.balanced_map(records, shards=2)).collect()
+    assert sorted(r["size"] for r in rows) == [16, 16, 20, 20, 20, 34]
+    for shard in {r["shard"] for r in rows}:
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    whole = sh.with_shards(docs.withColumn("slot", F.lit("own")))
+    assert whole.columns[:6] == [*docs.columns, "slot"] or set(docs.columns) < set(whole.columns)
+    assert whole.count() == 6
+    empty = sh.digests(docs.limit(0))
+    assert sh.numbered(empty, sh.balanced_map(empty)).count() == 0
+    with pytest.raises(ValueError, match="already have"):
+        sh.with_slots(docs.withColumn("size", F.lit(1)))
+
+
+def test_a_row_that_repeats_is_spread(spark, documents):
+    docs = documents(["same"]).crossJoin(spark.range(3000).select("id")).drop("id")
+    records = sh.digests(docs, slots=64)
+    assert records.groupBy("virtual_slot").count().agg(F.max("count")).first()[0] < 100
+
+
+def load_of(shard_of, nbytes, shards):
+    return np.bincount(shard_of, nbytes, shards)
+
+
+def test_rebalancing_evens_out_and_a_new_shard_only_takes():
+    nbytes = np.random.default_rng(2).lognormal(10, 1, 4096).astype(np.int64)
+    first = sh.first_map(4096, 40)
+    second = sh.rebalance(first, nbytes, 40)
+    load = load_of(second, nbytes, 40)
+    assert load.max() <= 1.001 * load.mean() and load.min() >= 0.999 * load.mean()
+    assert (first != second).mean() < 0.25  # few slots move
+    third = sh.rebalance(second, nbytes, 41)
+    grown = load_of(third, nbytes, 41)
+    assert grown.max() <= 1.01 * grown.mean() and grown.min() >= 0.99 * grown.mean()
+    assert (second != third).mean() < 0.1
+    assert np.array_equal(sh.rebalance(second, nbytes, 40), second)
+
+
+def test_one_slot_larger_than_a_share():
+    nbytes = np.array([1000, 1, 1, 1, 1, 0, 0, 0])
+    assert sorted(load_of(sh.rebalance(sh.first_map(8, 3), nbytes, 3), nbytes, 3)) == [2, 2, 1000]
+
+
+def test_map_is_versioned(spark):
+    table = sh.store_map(spark, [sh.first_map(16, 4), sh.first_map(16, 5)])
+    found = {(r["version"], r["slot"]): r["shard"] for r in table.collect()}
+    assert len(found) == 32 and found[0, 5] == 1 and found[1, 5] == 0

@@ -95,6 +95,21 @@ def jaccard_components(
     return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component, with their columns.
+
+    Of rows that repeat that id, one stays; rows without an id all stay, as nothing tells them apart.
+    """
+    named = docs.where(F.col(id_col).isNotNull())
+    classes = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
+    first = classes.where(F.col(id_col) == F.col("component_id"))
+    kept = written(first.groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("__rows")), "jaccard-kept")
+    rows = named.join(kept, named[id_col] == kept["__id"])
+    once = rows.where("__rows = 1").select(*docs.columns)
+    repeated = rows.where("__rows > 1").dropDuplicates(["__id"]).select(*docs.columns)
+    return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
+
+
 # --- sets -----------------------------------------------------------------------------
 
 
