@@ -7,9 +7,10 @@ those a query needs in front of it as common table expressions.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from harness.mapping import AS_OF, raw_ctes
-from harness.queries import SITE
+from harness.queries import AT_EMPTY_SITE, EMPTY_SITE, SITE, SITE_FILTERED
 from watchpost.operators.detection import STAGES
 from watchpost.plans.checks import ACCEPTED, KEYS, REFERENCES, REQUIRED
 from watchpost.plans.star import MODEL_NAMES
@@ -29,6 +30,12 @@ def _staging(name: str) -> str:
     return f"select {', '.join(columns)} from {name}"
 
 
+def _mean(value: str, where: str = "") -> str:
+    """Mean by a sum of decimals, which does not depend on its order."""
+    counted = f" filter ({where})" if where else ""
+    return f"(sum(cast({value} as decimal(18,6))){counted}::double / nullif(count({value}){counted}, 0))"
+
+
 MODELS: dict[str, str] = {
     **raw_ctes(),
     **{f"stg_{name}": _staging(name) for name in RAW_TABLES},
@@ -45,18 +52,18 @@ MODELS: dict[str, str] = {
           s.site_id, s.site_name, s.region, s.env
         from stg_towers t left join stg_sites s on s.site_id = t.site_id
     """,
-    "fct_fleet_health_daily": """
+    "fct_fleet_health_daily": f"""
         select h.tower_id, d.site_id, d.site_name, d.region, d.model, h.health_date,
           h.avg_cpu_pct, h.avg_mem_pct, h.avg_sensor_health, h.comms_uptime_pct,
           h.avg_power_watts, h.avg_ambient_temp_c, h.last_heartbeat_ts,
           coalesce(i.opened, 0) as incidents_opened, coalesce(i.critical, 0) as critical_incidents
         from (
           select tower_id, cast(ts as date) as health_date,
-            round(avg(cpu_pct), 2) as avg_cpu_pct, round(avg(mem_pct), 2) as avg_mem_pct,
-            round(avg(sensor_health_score), 2) as avg_sensor_health,
-            round(avg(comms_uptime_min) / 60.0 * 100, 2) as comms_uptime_pct,
-            round(avg(power_watts), 2) as avg_power_watts,
-            round(avg(ambient_temp_c), 2) as avg_ambient_temp_c, max(ts) as last_heartbeat_ts
+            round({_mean('cpu_pct')}, 2) as avg_cpu_pct, round({_mean('mem_pct')}, 2) as avg_mem_pct,
+            round({_mean('sensor_health_score')}, 2) as avg_sensor_health,
+            round({_mean('comms_uptime_min')} / 60.0::double * 100, 2) as comms_uptime_pct,
+            round({_mean('power_watts')}, 2) as avg_power_watts,
+            round({_mean('ambient_temp_c')}, 2) as avg_ambient_temp_c, max(ts) as last_heartbeat_ts
           from stg_telemetry group by 1, 2
         ) h
         left join (
@@ -133,8 +140,9 @@ MODELS: dict[str, str] = {
           count(*) as installed, count(*) filter (is_failed) as failed
         from fct_component_reliability group by 1
     """,
-    "uptime_by_day": """
-        select health_date, avg(comms_uptime_pct) as uptime_pct, avg(avg_sensor_health) as sensor_health
+    "uptime_by_day": f"""
+        select health_date, {_mean('comms_uptime_pct')} as uptime_pct,
+          {_mean('avg_sensor_health')} as sensor_health
         from fct_fleet_health_daily group by 1
     """,
     "log_rows": """
@@ -151,16 +159,16 @@ def _references(sql: str) -> list[str]:
     return [name for name in MODELS if name in words]
 
 
-def _compose(sql: str) -> str:
+def _compose(sql: str, models: Mapping[str, str] = MODELS) -> str:
     needed: dict[str, str] = {}
 
     def require(name: str) -> None:
         if name in needed:
             return
-        for other in _references(MODELS[name]):
+        for other in _references(models[name]):
             if other != name:
                 require(other)
-        needed[name] = MODELS[name]
+        needed[name] = models[name]
 
     for name in _references(sql):
         require(name)
@@ -168,24 +176,19 @@ def _compose(sql: str) -> str:
     return f"with {ctes}\n{sql}" if ctes else sql
 
 
-def _rounded(*columns: str) -> str:
-    return ", ".join(f"round({c}, 6) as {c}" for c in columns)
-
-
 def _pct(flag: str) -> str:
     return f"round(avg({flag}::int) * 100, 1)"
 
 
-CONFIDENCE = "round(avg(confidence_score) * 100, 1)"
+CONFIDENCE = f"round({_mean('confidence_score')} * 100, 1)"
 
 
 def _header(site: str | None) -> str:
     where = "" if site is None else f"and site_id = '{site}'"
     cutoff = f"{NOW} - interval 7 day"
     return f"""
-        select n.* replace (round(uptime_7d, 6) as uptime_7d, round(uptime_prev_7d, 6) as uptime_prev_7d),
-          case when abs(uptime_7d - uptime_prev_7d) >= 0.05
-            then round(uptime_7d - uptime_prev_7d, 6) end as uptime_delta,
+        select n.*,
+          case when abs(uptime_7d - uptime_prev_7d) >= 0.05e0 then uptime_7d - uptime_prev_7d end as uptime_delta,
           case when failed_components_30d <> failed_components_prev_30d
             then (failed_components_30d - failed_components_prev_30d)::double end as failures_delta,
           case when open_incidents <> inc_open_7d_ago
@@ -198,9 +201,9 @@ def _header(site: str | None) -> str:
             (select count(*) from known_incidents where closed_at is null {where}) as open_incidents,
             (select count(*) from known_incidents
               where closed_at is null and severity in ('P1', 'P2') {where}) as critical_open,
-            (select avg(comms_uptime_pct) from fct_fleet_health_daily
+            (select {_mean('comms_uptime_pct')} from fct_fleet_health_daily
               where health_date >= {TODAY} - 7 {where}) as uptime_7d,
-            (select avg(comms_uptime_pct) from fct_fleet_health_daily
+            (select {_mean('comms_uptime_pct')} from fct_fleet_health_daily
               where health_date >= {TODAY} - 14 and health_date < {TODAY} - 7 {where}) as uptime_prev_7d,
             (select count(*) from fct_component_reliability
               where is_failed and failed_at >= {NOW} - interval 30 day {where}) as failed_components_30d,
@@ -219,7 +222,7 @@ def _stage_row(label: str, column: str) -> str:
         for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))
     )
     return f"""
-        select '{label}' as stage, {quantiles}, round(avg({column}), 1) as avg_s
+        select '{label}' as stage, {quantiles}, round({_mean(column)}, 1) as avg_s
         from fct_alert_pipeline_latency
     """
 
@@ -280,11 +283,57 @@ def _dq_all() -> str:
     return f"select *, if(failures = 0, 'pass', 'fail') as status from ({_union(rows)})"
 
 
+# Columns of the marts in their order, and all columns of doubles.
+MART_COLUMNS = {
+    "dim_site": """site_id site_name region env lat lng commissioned_date tower_count active_tower_count
+        maintenance_tower_count""",
+    "dim_tower": "tower_id model firmware_version status deploy_date age_days site_id site_name region env",
+    "fct_fleet_health_daily": """tower_id site_id site_name region model health_date avg_cpu_pct avg_mem_pct
+        avg_sensor_health comms_uptime_pct avg_power_watts avg_ambient_temp_c last_heartbeat_ts
+        incidents_opened critical_incidents""",
+    "fct_deployment_status": """deployment_id tower_id site_id site_name region model mission_name start_ts
+        end_ts status duration_hours duration_days""",
+    "fct_component_reliability": """component_id tower_id site_id site_name region tower_model component_type
+        part_number installed_at failed_at is_failed mtbf_target_hours observed_hours
+        actual_vs_target_ratio""",
+    "fct_inventory_status": """part_number description category on_hand in_transit allocated available
+        reorder_point needs_reorder stock_status lead_time_days last_updated""",
+    "fct_detection_events": """detection_id tower_id site_id site_name region tower_model detected_at
+        detection_date hour_of_day time_of_day target_class confidence_score bearing_deg range_m
+        auto_resolved escalated_to_operator false_positive""",
+    "fct_alert_pipeline_latency": """detection_id tower_id site_id site_name target_class confidence_score
+        detection_ts detection_date is_overnight detection_to_alert_s alert_to_notify_s notify_to_ack_s
+        ack_to_resolve_s total_response_s alert_generated_ts operator_notified_ts operator_ack_ts
+        resolved_ts""",
+}
+DOUBLES = set(
+    """lat lng avg_cpu_pct avg_mem_pct avg_sensor_health comms_uptime_pct avg_power_watts avg_ambient_temp_c
+    actual_vs_target_ratio confidence_score bearing_deg detection_to_alert_s alert_to_notify_s
+    notify_to_ack_s ack_to_resolve_s total_response_s""".split()
+)
+DOUBLES |= {f.name for t in RAW_TABLES for f in staging_schema(t) if f.dataType.simpleString() == "double"}
+
+
+def _columns(model: str) -> list[str]:
+    if model in MART_COLUMNS:
+        return MART_COLUMNS[model].split()
+    return staging_schema(model.removeprefix("stg_")).fieldNames()
+
+
+def _counted(model: str) -> str:
+    """Rows, and the sum of a hash of each row's values in the model's order."""
+    values = []
+    for name in _columns(model):
+        value = f"cast({name} as decimal(18,6))" if name in DOUBLES else name
+        values.append(f"coalesce(cast({value} as varchar), '~')")
+    row = f"md5(concat_ws('|', {', '.join(values)}))"
+    return f"""select '{model}' as model, count(*) as row_count,
+      coalesce(sum(cast('0x' || substr({row}, 1, 8) as bigint)), 0)::bigint as checksum from {model}"""
+
+
 _STATEMENTS: dict[str, str] = {
     **{name: f"select * from {name}" for name in MODEL_NAMES},
-    "materialize_roundtrip": _union(
-        [f"select '{name}' as model, count(*) as row_count from {name}" for name in MODEL_NAMES]
-    ),
+    "materialize_roundtrip": _union([_counted(name) for name in MODEL_NAMES]),
     "rule_auto_resolve": """
         select detection_id, target_class, confidence_score,
           target_class in ('human', 'vehicle', 'UAS') and not confidence_score < 0.85e0 as auto_resolved,
@@ -338,9 +387,9 @@ _STATEMENTS: dict[str, str] = {
         from known_incidents where closed_at is null
     """,
     "kpi_uptime": f"""
-        select round(avg(comms_uptime_pct) filter (health_date >= {TODAY} - 7), 6) as uptime_7d,
-          round(avg(comms_uptime_pct)
-            filter (health_date >= {TODAY} - 14 and health_date < {TODAY} - 7), 6) as uptime_prev_7d
+        select {_mean('comms_uptime_pct', f'health_date >= {TODAY} - 7')} as uptime_7d,
+          {_mean('comms_uptime_pct', f'health_date >= {TODAY} - 14 and health_date < {TODAY} - 7')}
+            as uptime_prev_7d
         from fct_fleet_health_daily
     """,
     "kpi_failures": f"""
@@ -417,22 +466,22 @@ _STATEMENTS: dict[str, str] = {
         order by escalation_pct desc, tower_id, site_name limit 30
     """,
     "mtbf_by_subsystem": f"""
-        select component_type, {_rounded('target_hours', 'actual_hours_when_failed')}, installed, failed,
+        select component_type, target_hours, actual_hours_when_failed, installed, failed,
           round_even(failed::double / installed * 100, 1) as failure_rate_pct
         from mtbf order by component_type
     """,
     "mtbf_long": """
-        select component_type, 'Target' as metric, round(target_hours, 6) as hours from mtbf
+        select component_type, 'Target' as metric, target_hours as hours from mtbf
         union all
-        select component_type, 'Observed at failure', round(actual_hours_when_failed, 6) from mtbf
+        select component_type, 'Observed at failure', actual_hours_when_failed from mtbf
     """,
     "uptime_trend": f"""
-        select health_date, {_rounded('uptime_pct', 'sensor_health')} from uptime_by_day
+        select health_date, uptime_pct, sensor_health from uptime_by_day
     """,
     "uptime_long": """
-        select health_date, 'Comms uptime %' as metric, round(uptime_pct, 6) as value from uptime_by_day
+        select health_date, 'Comms uptime %' as metric, uptime_pct as value from uptime_by_day
         union all
-        select health_date, 'Sensor health score', round(sensor_health, 6) from uptime_by_day
+        select health_date, 'Sensor health score', sensor_health from uptime_by_day
     """,
     "incidents_by_category": f"""
         select category, severity, count(*) as incidents from known_incidents
@@ -448,21 +497,22 @@ _STATEMENTS: dict[str, str] = {
                        'inventory': 'last_updated'})})
     """,
     "freshness_status": f"""
-        select source, last_ts, round(age_hours, 6) as age_hours,
+        select source, last_ts, age_hours,
           case when age_hours <= 6 then 'pass' when age_hours <= 24 then 'warn' else 'error' end as status
-        from (select *, epoch({NOW} - last_ts) / 3600 as age_hours from (
+        from (select *, epoch({NOW} - last_ts) / 3600::double as age_hours from (
           {_freshness({'telemetry': 'ts', 'detections': 'detected_at', 'alert_pipeline': 'detection_ts'})}))
     """,
     "run_log_steps": "select generated_at, kind, name, status, elapsed_s from log_rows",
-    "run_log_summary": """
+    "run_log_files": "select generated_at, kind, name, status, elapsed_s from log_rows",
+    "run_log_summary": f"""
         select kind, count(*) as steps, count(*) filter (status in ('pass', 'success')) as passed,
           count(*) filter (status is null or status not in ('pass', 'success', 'skipped')) as failed,
-          round_even(avg(elapsed_s), 3) as avg_s
+          round_even({_mean('elapsed_s')}, 3) as avg_s
         from log_rows group by 1
     """,
     "pipeline_status": """
         select if(n_total = n_passed, 'ok', 'fail') as status,
-          if(n_total = n_passed, 'pipeline nominal', 'pipeline degraded') as detail,
+          if(n_total = n_passed, 'ok', 'failed') as detail,
           n_total, n_passed, n_failed, elapsed_s, generated_at
         from (
           select generated_at, run % 100 / 8.0e0 as elapsed_s, count(*) as n_total,
@@ -475,6 +525,32 @@ _STATEMENTS: dict[str, str] = {
     "dq_accepted_values": _dq(_accepted_rows()),
     "dq_relationships": _dq(_relationship_rows()),
     "dq_suite": _dq_all(),
+    "empty_site_kpis": _header(EMPTY_SITE),
+}
+
+# Models whose rows a site filter cuts; all others of a statement stay whole.
+_SITED = (
+    "dim_site",
+    "known_incidents",
+    "fct_fleet_health_daily",
+    "fct_deployment_status",
+    "fct_component_reliability",
+    "fct_detection_events",
+    "fct_alert_pipeline_latency",
+)
+
+
+def _at(site: str, sql: str) -> str:
+    """The statement over the models of one site."""
+    models = {name: MODELS[name] for name in MODELS}
+    for name in _SITED:
+        models[name] = f"select * from ({MODELS[name]}) whole where site_id = '{site}'"
+    return _compose(sql, models)
+
+
+ORACLE_SITES: dict[str, str] = {
+    **{f"{name}_at_site": _at(SITE, _STATEMENTS[name]) for name in SITE_FILTERED},
+    **{f"{name}_at_empty_site": _at(EMPTY_SITE, _STATEMENTS[name]) for name in AT_EMPTY_SITE},
 }
 
-ORACLE_SQL: dict[str, str] = {name: _compose(sql) for name, sql in _STATEMENTS.items()}
+ORACLE_SQL: dict[str, str] = {name: _compose(sql) for name, sql in _STATEMENTS.items()} | ORACLE_SITES

@@ -2,86 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from harness.mapping import AS_OF, raw_tables, run_logs
+from harness.scratch import scratch_folder
 from watchpost.functions.clock import AsOf
 from watchpost.operators import detection, header, health, operations, quality, reliability, rules
 from watchpost.plans.rebuild import materialize_star
-from watchpost.plans.star import MODEL_NAMES, StarSchema, write_dimensions
-from watchpost.sources.run_log import parse_run_log
-from watchpost.sources.warehouse import new_folder, read_tables
+from watchpost.plans.star import MODEL_NAMES, StarSchema
+from watchpost.sources.run_log import parse_run_log, read_run_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 MOMENT = AsOf.of(AS_OF)
-SITE = "S05"
-
-# Wide row-level results, and the driver table that decides how many tasks scan them.
-WIDE_RESULTS = {
-    "stg_components": "lineitem",
-    "fct_component_reliability": "lineitem",
-    "stg_deployments": "orders",
-    "fct_deployment_status": "orders",
-    "fct_detection_events": "events",
-    "fct_alert_pipeline_latency": "events",
-}
-SMALL_SCAN = 8
-RESULT_TASKS = 32
-
-
-_written_dimensions: dict[tuple[str, str], tuple[str, dict[str, StructType]]] = {}
+# A site of the driver's tables with towers, detections and incidents, and one without any tower.
+SITE, EMPTY_SITE = "S05", "S22"
 
 
 def star(spark: SparkSession, sf_dir: str) -> StarSchema:
-    """Facts planned over dimensions that are written once per application and input."""
-    raw = raw_tables(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _written_dimensions:
-        try:
-            dimensions = read_tables(spark, *_written_dimensions[key])
-            return StarSchema(raw, MOMENT, {name: dimensions[name] for name in dimensions})
-        except AnalysisException:  # the folder was cleared: write them again
-            del _written_dimensions[key]
-    root = new_folder(spark, "dimensions")
-    _written_dimensions[key] = (root, write_dimensions(spark, raw, MOMENT, root))
-    return StarSchema(raw, MOMENT, read_tables(spark, *_written_dimensions[key]))
+    """All models, planned: dimensions are computed in the query that needs them."""
+    return StarSchema(raw_tables(spark, sf_dir), MOMENT)
 
 
 def _model(name: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if not name.startswith("fct_"):
-            model = StarSchema(raw_tables(spark, sf_dir), MOMENT)[name]
-        else:
-            model = star(spark, sf_dir)[name]
-        if name not in WIDE_RESULTS:
-            return model
-        # A test table is one file, so its whole result would reach the driver as one
-        # task result.  A scan that already has many tasks is left as it is.
-        source = spark.read.parquet(f"{sf_dir}/{WIDE_RESULTS[name]}.parquet")
-        return model if source.rdd.getNumPartitions() >= SMALL_SCAN else model.repartition(RESULT_TASKS)
-
-    return query
+    return lambda spark, sf_dir: star(spark, sf_dir)[name]
 
 
 def _on_star(operator: Callable[..., DataFrame], *args, **options) -> Query:
     return lambda spark, sf_dir: operator(star(spark, sf_dir), *args, **options)
 
 
-def _six_digits(query: Query, *columns: str) -> Query:
-    """Plain means depend on the order of summation in their last bits."""
-
-    def rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(spark, sf_dir).withColumns({c: F.round(c, 6) for c in columns})
-
-    return rounded
-
-
 def _logged(operator: Callable[[DataFrame], DataFrame]) -> Query:
     """The operator over build logs that arrive as JSON text."""
 
@@ -92,20 +45,60 @@ def _logged(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of build logs that lie in files, one document in each, spread over lines."""
+    folder = scratch_folder(spark, "logs")
+    document = F.to_json(F.struct("*"), {"pretty": "true"}).alias("value")
+    logs = run_logs(spark, sf_dir).select(document, F.col("metadata.generated_at").alias("build"))
+    logs.write.partitionBy("build").text(folder)
+    return health.run_log_steps(read_run_log(spark, folder, multiline=True))
+
+
+def _checksum(table: DataFrame) -> Column:
+    """Sum over all rows of a hash of all values in order, the same in any order of rows."""
+
+    def text(field) -> Column:
+        value = F.col(field.name)
+        value = value.cast("decimal(18,6)") if field.dataType.simpleString() == "double" else value
+        return F.coalesce(value.cast("string"), F.lit("~"))
+
+    row = F.md5(F.concat_ws("|", *[text(field) for field in table.schema]))
+    return F.coalesce(F.sum(F.conv(F.substring(row, 1, 8), 16, 10).cast("bigint")), F.lit(0))
+
+
 def materialize_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of all models, counted in the tables written to disk."""
-    root = new_folder(spark, "star")
+    """Rows and checksums of all models, read from the tables written to disk."""
+    root = scratch_folder(spark, "star")
     tables, _ = materialize_star(spark, raw_tables(spark, sf_dir), MOMENT, root)
     counts = [
-        tables[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("model"), "row_count")
+        tables[name]
+        .agg(F.count(F.lit(1)).alias("row_count"), _checksum(tables[name]).alias("checksum"))
+        .select(F.lit(name).alias("model"), "row_count", "checksum")
         for name in MODEL_NAMES
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
-KPI_MEANS: Sequence[str] = ("uptime_7d", "uptime_prev_7d")
-HEADER_MEANS = (*KPI_MEANS, "uptime_delta")
-MTBF_MEANS = ("target_hours", "actual_hours_when_failed")
+# Queries that take the site filter, with what they need besides.
+SITE_FILTERED: dict[str, tuple[Callable[..., DataFrame], tuple]] = {
+    "site_status": (operations.site_status, ()),
+    "site_status_density": (operations.site_status_density, (MOMENT,)),
+    "active_missions": (operations.active_missions, ()),
+    "open_incidents": (operations.open_incident_list, (MOMENT,)),
+    "det_kpi": (detection.detection_kpis, (MOMENT,)),
+    "latency_overall": (detection.latency_overall, ()),
+    "det_volume": (detection.detection_volume, ()),
+    "det_breakdown": (detection.detection_breakdown, ()),
+    "det_hourly": (detection.detection_hourly, ()),
+    "latency_by_stage": (detection.latency_by_stage, ()),
+    "tower_detection_summary": (detection.tower_detection_summary, ()),
+    "mtbf_by_subsystem": (reliability.mtbf_by_subsystem, ()),
+    "uptime_trend": (reliability.uptime_trend, ()),
+    "incidents_by_category": (reliability.incidents_by_category, (MOMENT,)),
+    "top_root_causes": (reliability.top_root_causes, ()),
+}
+# Also asked for a site that has no tower, where they must not fail.
+AT_EMPTY_SITE = ("det_kpi", "latency_by_stage", "site_status_density", "tower_detection_summary")
 
 QUERIES: dict[str, Query] = {
     **{name: _model(name) for name in MODEL_NAMES},
@@ -118,16 +111,17 @@ QUERIES: dict[str, Query] = {
     "stage_latencies_from_ts": _on_star(rules.stage_latencies),
     "latest_deployment_per_tower": _on_star(rules.latest_deployment_per_tower),
     # header
-    "site_filtered_kpis": _six_digits(_on_star(header.kpi_header, MOMENT, site_id=SITE), *HEADER_MEANS),
+    "site_filtered_kpis": _on_star(header.kpi_header, MOMENT, site_id=SITE),
+    "empty_site_kpis": _on_star(header.kpi_header, MOMENT, site_id=EMPTY_SITE),
     "site_options": _on_star(header.site_options),
     "last_telemetry": _on_star(header.last_telemetry),
     "kpi_active_towers": _on_star(header.active_towers),
     "kpi_active_deployments": _on_star(header.active_deployments),
     "kpi_open_incidents": _on_star(header.open_incidents),
-    "kpi_uptime": _six_digits(_on_star(header.uptime, MOMENT), *KPI_MEANS),
+    "kpi_uptime": _on_star(header.uptime, MOMENT),
     "kpi_failures": _on_star(header.failures, MOMENT),
     "kpi_backlog_7d_ago": _on_star(header.backlog_7d_ago, MOMENT),
-    "kpi_header": _six_digits(_on_star(header.kpi_header, MOMENT), *HEADER_MEANS),
+    "kpi_header": _on_star(header.kpi_header, MOMENT),
     # operations
     "site_status": _on_star(operations.site_status),
     "det_density": _on_star(operations.detection_density, MOMENT),
@@ -144,22 +138,29 @@ QUERIES: dict[str, Query] = {
     "latency_by_stage": _on_star(detection.latency_by_stage),
     "tower_detection_summary": _on_star(detection.tower_detection_summary),
     # reliability
-    "mtbf_by_subsystem": _six_digits(_on_star(reliability.mtbf_by_subsystem), *MTBF_MEANS),
-    "mtbf_long": _six_digits(_on_star(reliability.mtbf_long), "hours"),
-    "uptime_trend": _six_digits(_on_star(reliability.uptime_trend), "uptime_pct", "sensor_health"),
-    "uptime_long": _six_digits(_on_star(reliability.uptime_long), "value"),
+    "mtbf_by_subsystem": _on_star(reliability.mtbf_by_subsystem),
+    "mtbf_long": _on_star(reliability.mtbf_long),
+    "uptime_trend": _on_star(reliability.uptime_trend),
+    "uptime_long": _on_star(reliability.uptime_long),
     "incidents_by_category": _on_star(reliability.incidents_by_category, MOMENT),
     "top_root_causes": _on_star(reliability.top_root_causes),
     # pipeline health
     "source_freshness": _on_star(health.source_freshness, MOMENT),
-    "freshness_status": _six_digits(_on_star(health.freshness_status, MOMENT), "age_hours"),
+    "freshness_status": _on_star(health.freshness_status, MOMENT),
     "run_log_steps": _logged(health.run_log_steps),
     "run_log_summary": _logged(health.run_log_summary),
     "pipeline_status": _logged(health.pipeline_status),
+    "run_log_files": log_files,
     # data quality
     "dq_not_null": _on_star(quality.dq_not_null),
     "dq_unique": _on_star(quality.dq_unique),
     "dq_accepted_values": _on_star(quality.dq_accepted_values),
     "dq_relationships": _on_star(quality.dq_relationships),
     "dq_suite": _on_star(quality.dq_suite),
+    # with the site filter
+    **{f"{name}_at_site": _on_star(f, *more, site_id=SITE) for name, (f, more) in SITE_FILTERED.items()},
+    **{
+        f"{name}_at_empty_site": _on_star(SITE_FILTERED[name][0], *SITE_FILTERED[name][1], site_id=EMPTY_SITE)
+        for name in AT_EMPTY_SITE
+    },
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from fleet import AS_OF, fleet, records, ts
 
 from watchpost.functions.clock import AsOf
@@ -52,7 +53,7 @@ def verdict(df):
 
 def test_status_of_a_degraded_build(spark, tmp_path):
     status = health.pipeline_status(log(spark, tmp_path, LOG))
-    assert verdict(status) == ("fail", "pipeline degraded", 2, 1, 4)
+    assert verdict(status) == ("fail", "failed", 2, 1, 4)
     row = records(status)[0]
     assert (row["generated_at"], row["elapsed_s"]) == ("2024-01-31T12:00:00Z", 3.2)
 
@@ -60,13 +61,13 @@ def test_status_of_a_degraded_build(spark, tmp_path):
 def test_a_skipped_step_alone_degrades_without_a_failure(spark, tmp_path):
     document = LOG | {"results": [LOG["results"][0], LOG["results"][3]]}
     assert verdict(health.pipeline_status(log(spark, tmp_path, document))) == (
-        "fail", "pipeline degraded", 1, 0, 2,
+        "fail", "failed", 1, 0, 2,
     )
 
 
 def test_a_step_without_status_or_id_has_failed(spark, tmp_path):
     logged = log(spark, tmp_path, {"generated_at": "x", "results": [{"execution_time": 1.0}, {}]})
-    assert verdict(health.pipeline_status(logged)) == ("fail", "pipeline degraded", 0, 2, 2)
+    assert verdict(health.pipeline_status(logged)) == ("fail", "failed", 0, 2, 2)
     assert records(health.run_log_summary(logged)) == [
         {"kind": "", "steps": 2, "passed": 0, "failed": 2, "avg_s": 0.5}
     ]
@@ -76,19 +77,19 @@ def test_a_step_without_status_or_id_has_failed(spark, tmp_path):
 def test_all_passed_is_nominal(spark, tmp_path):
     document = LOG | {"results": LOG["results"][:2]}
     assert verdict(health.pipeline_status(log(spark, tmp_path, document))) == (
-        "ok", "pipeline nominal", 2, 0, 2,
+        "ok", "ok", 2, 0, 2,
     )
 
 
 def test_absent_empty_and_resultless_logs_warn(spark, tmp_path):
     absent = read_run_log(spark, str(tmp_path / "nothing.json"))
-    assert verdict(health.pipeline_status(absent)) == ("warn", "pipeline status unavailable", 0, 0, 0)
+    assert verdict(health.pipeline_status(absent)) == ("warn", "no_log", 0, 0, 0)
     assert verdict(health.pipeline_status(log(spark, tmp_path, {})))[:2] == (
-        "warn", "pipeline status unavailable",
+        "warn", "no_log",
     )
     for document in (LOG | {"results": []}, {"elapsed_time": 1.0}):
         assert verdict(health.pipeline_status(log(spark, tmp_path, document)))[:2] == (
-            "warn", "no pipeline runs recorded",
+            "warn", "empty",
         )
 
 
@@ -103,7 +104,26 @@ def test_logs_arrive_as_text(spark, tmp_path):
     lines = spark.createDataFrame([(json.dumps(LOG),), ("{}",), ("no json",)], "value string")
     steps = records(health.run_log_steps(parse_run_log(lines)))
     assert steps == records(health.run_log_steps(log(spark, tmp_path, LOG)))
-    assert verdict(health.pipeline_status(parse_run_log(lines))) == ("fail", "pipeline degraded", 2, 1, 4)
+    rows = {(r["status"], r["detail"]) for r in records(health.pipeline_status(parse_run_log(lines)))}
+    assert rows == {("fail", "failed"), ("fail", "unreadable")}
+
+
+@pytest.mark.parametrize("broken", ['{"results": [{"status": "pa', " \n", "no json", '{"results": 5}', "[1]"])
+def test_a_log_that_cannot_be_read_fails(spark, tmp_path, broken):
+    """Next to a good one, whose row stays as it is."""
+    good = json.dumps(LOG | {"results": LOG["results"][:2]}, indent=2)
+    for name, text in {"good": good, "broken": broken}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = health.pipeline_status(read_run_log(spark, str(tmp_path)))
+    assert sorted((r["status"], r["detail"], r["n_total"]) for r in records(found)) == [
+        ("fail", "unreadable", 0), ("ok", "ok", 2),
+    ]
+
+
+def test_empty_and_missing_texts_are_unreadable_logs(spark):
+    lines = spark.createDataFrame([("",), (None,)], "value string")
+    found = records(health.pipeline_status(parse_run_log(lines)))
+    assert [(r["status"], r["detail"]) for r in found] == [("fail", "unreadable")] * 2
 
 
 def test_freshness_limits_are_exclusive(spark):

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from fleet import AS_OF, SITES, TOWERS, fleet, records, ts
+from fleet import AS_OF, SITES, TOWERS, fleet, raw_table, records, ts
 from pyspark.sql import functions as F
 
 from watchpost.functions.clock import AsOf
 from watchpost.operators import detection, header, operations, reliability, rules
+from watchpost.plans.star import StarSchema
+from watchpost.sources.raw import read_raw
 
 MOMENT = AsOf.of(AS_OF)
 
@@ -121,6 +123,15 @@ def test_site_density_without_a_detection_table(spark):
     assert (types["dets_7d"], types["dets_per_active_tower"]) == ("bigint", "double")
 
 
+def test_site_density_of_a_folder_without_detections(spark, tmp_path):
+    for name, rows in {"sites": SITES, "towers": TOWERS, "incidents": []}.items():
+        raw_table(spark, name, rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    tables = StarSchema(read_raw(spark, str(tmp_path)), AS_OF)
+    assert "fct_detection_events" not in tables and "dim_site" in tables
+    result = operations.site_status_density(tables, MOMENT)
+    assert [(r["dets_7d"], r["dets_per_active_tower"]) for r in records(result)] == [(0, 0.0), (0, 0.0)]
+
+
 def test_open_incidents_are_ranked_by_severity_age_and_id(spark):
     incidents = [
         incident("d", severity="P4"),

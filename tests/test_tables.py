@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pandas as pd
 import pyarrow as pa
@@ -11,13 +12,14 @@ import pytest
 from fleet import AS_OF, SITES, TOWERS, fleet, raw_table, records, ts
 
 from harness.mapping import raw_tables
+from harness.scratch import scratch_folder
 from watchpost.operators import health
 from watchpost.operators.staging import stage
 from watchpost.plans.rebuild import rebuild
 from watchpost.plans.star import MODEL_NAMES, StarSchema
 from watchpost.sources.raw import allow_nanosecond_files, read_raw
 from watchpost.sources.run_log import read_run_log
-from watchpost.sources.schemas import RAW_TABLES
+from watchpost.sources.schemas import RAW_TABLES, staging_schema
 from watchpost.sources.warehouse import (
     new_folder,
     read_tables,
@@ -75,13 +77,33 @@ def test_only_the_recomputed_dates_are_replaced(spark, tmp_path):
         return spark.createDataFrame([(value, dt.date(2024, 1, n))], "v int, d date")
 
     write_table(day(1, 1).union(day(2, 2)), path, partition_by="d")
-    write_table(day(2, 20), path, partition_by="d")
+    write_table(day(2, 20), path, partition_by="d", only_given=True)
     assert sorted(r["v"] for r in records(spark.read.parquet(path))) == [1, 20]
+    write_table(day(2, 30), path, partition_by="d")
+    assert sorted(r["v"] for r in records(spark.read.parquet(path))) == [30]
+
+
+def test_a_second_rebuild_leaves_no_old_rows(spark, tmp_path):
+    days = ["2024-01-05 01:00:00", "2024-01-06 01:00:00"]
+    first = [{"detection_id": d, "tower_id": "T1", "detected_at": ts(d)} for d in days]
+    for rows in (first, first[1:]):
+        raw = {name: raw_table(spark, name, []) for name in RAW_TABLES}
+        raw["detections"] = raw_table(spark, "detections", rows)
+        rebuild(spark, raw, AS_OF, str(tmp_path))
+    planned = StarSchema(raw, AS_OF)
+    for name in MODEL_NAMES:
+        same(read_tables(spark, str(tmp_path), {name: planned[name].schema})[name], planned[name])
 
 
 def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder
+    unset = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="local[8]")
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(unset)
+    assert scratch_folder(unset, "x") != scratch_folder(unset, "x")
     assert new_folder(spark, "x").startswith(folder) and new_folder(spark, "x") != new_folder(spark, "x")
 
 
@@ -120,6 +142,29 @@ def test_raw_files_with_nanosecond_timestamps(spark, tmp_path):
     assert {r["commissioned_date"] for r in sites} == {dt.date(2024, 1, 2)}
 
 
+def test_streamed_staging_takes_files_as_they_are(spark, tmp_path):
+    """Whole numbers of 64 bits, and timestamps in nanoseconds."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    frame = pd.DataFrame({"detection_id": ["a"], "range_m": [70], "detected_at": pd.to_datetime(["2024-01-03 01:02:03"])})
+    frame["detected_at"] = frame["detected_at"].astype("datetime64[ns]")
+    table = pa.Table.from_pandas(frame, preserve_index=False)
+    for field in staging_schema("detections"):
+        if field.name not in table.column_names:
+            kind = {"double": pa.float64(), "boolean": pa.bool_()}.get(field.dataType.simpleString(), pa.string())
+            table = table.append_column(field.name, pa.nulls(1, kind))
+    pq.write_table(table, landing / "f.parquet", version="2.6")
+    assert "timestamp[ns]" in str(pq.read_schema(landing / "f.parquet"))
+    allow_nanosecond_files(spark)
+    try:
+        query = ingest_available(spark, "detections", str(landing), str(tmp_path / "t"), str(tmp_path / "c"))
+        query.awaitTermination(120)
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+    (row,) = records(spark.read.parquet(str(tmp_path / "t")))
+    assert (row["range_m"], row["detected_at"]) == (70, ts("2024-01-03 01:02:03"))
+
+
 def test_staging_pins_names_and_types(spark):
     for name in RAW_TABLES:
         raw = raw_table(spark, name, [])

@@ -53,6 +53,17 @@ def ieee_divide(numerator: Column, denominator: Column) -> Column:
     return F.when(bottom == 0, top * float("inf")).otherwise(F.try_divide(top, bottom))
 
 
+def exact_mean(value: Column) -> Column:
+    """Aggregate: mean of doubles that does not depend on the order of summation.
+
+    Values are summed as decimals of six digits, and the sum is divided once.  A column with
+    values that such a decimal cannot hold (not finite, or 10^12 and more) gets the plain mean.
+    """
+    decimal = value.try_cast("decimal(18,6)")
+    mean = F.sum(decimal).cast("double") / F.nullif(F.count(value), F.lit(0))
+    return F.when(F.count(value) == F.count(decimal), mean).otherwise(F.avg(value))
+
+
 def percent_true(flag: Column) -> Column:
     """Aggregate: share of true values in percent, one decimal."""
     return round_half_away(F.avg(flag.cast("int")) * 100, 1)
@@ -60,4 +71,4 @@ def percent_true(flag: Column) -> Column:
 
 def percent_mean(fraction: Column) -> Column:
     """Aggregate: mean of a 0..1 score in percent, one decimal."""
-    return round_half_away(F.avg(fraction) * 100, 1)
+    return round_half_away(exact_mean(fraction) * 100, 1)

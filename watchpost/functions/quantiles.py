@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELL_WIDTH = 4.0
+# NaN ranks above all numbers; infinity is in this cell too, and Spark orders it below NaN.
+TOP_CELL = 2**63 - 1
 
 
 def percentiles(
@@ -64,7 +66,7 @@ def _exact(values: DataFrame, probabilities: Mapping[str, float], width: float)
     # the value alone.  Dropping NULLs by the cell, which the join below does anyway,
     # keeps the two uses of the histogram identical, so that one shuffle serves both.
     histogram = (
-        values.withColumn("cell", F.floor(F.col("value") / width))
+        values.withColumn("cell", F.when(F.isnan("value"), TOP_CELL).otherwise(F.floor(F.col("value") / width)))
         .where("cell is not null")
         .groupBy("measure", "cell", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -91,7 +93,7 @@ def _exact(values: DataFrame, probabilities: Mapping[str, float], width: float)
 def _cells_of_ranks(histogram: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
     """The two ranks next to each probability, the cell each lies in, rows before that cell."""
     cells = histogram.groupBy("measure", "cell").agg(
-        F.sum("n").alias("n"), F.sum(F.col("value") * F.col("n")).alias("mass")
+        F.sum("n").alias("n"), _mass(F.col("value"), F.col("n")).alias("mass")
     )
     whole = Window.partitionBy("measure")
     counted = cells.select(
@@ -100,7 +102,7 @@ def _cells_of_ranks(histogram: DataFrame, probabilities: Mapping[str, float]) ->
         "n",
         F.sum("n").over(whole.orderBy("cell")).alias("end"),
         F.sum("n").over(whole).alias("total"),
-        (F.sum("mass").over(whole) / F.sum("n").over(whole)).alias("mean"),
+        (F.sum("mass").over(whole).cast("double") / F.sum("n").over(whole)).alias("mean"),
     )
     ranks = []
     for prob, p in enumerate(probabilities.values()):
@@ -115,6 +117,14 @@ def _cells_of_ranks(histogram: DataFrame, probabilities: Mapping[str, float]) ->
     )
 
 
+def _mass(value: Column, n: Column) -> Column:
+    """Sum of values, each ``n`` times, in whole millionths, whatever the order; as a double where
+    a value is no such number."""
+    millionths = F.round(value * 1e6).try_cast("bigint").cast("decimal(20,0)")
+    exact = F.sum(millionths * n).cast("double") / 1e6
+    return F.when(F.count(value) == F.count(millionths), exact).otherwise(F.sum(value * n))
+
+
 def _holds_rank() -> Column:
     """Ranks count from 0; ``end`` is the number of rows up to and including this one."""
     rank = F.col("rank")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from watchpost.functions.clock import AsOf
 from watchpost.functions.numeric import percent_mean, percent_true, round_half_away
 from watchpost.functions.quantiles import percentiles
-from watchpost.operators.scope import at_site, known_towers
+from watchpost.operators.scope import facts_at, known_towers
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,11 +23,10 @@ STAGES = {
     "Ack → Resolved": "ack_to_resolve_s",
     "Total Response": "total_response_s",
 }
-TOWER_LIST_LENGTH = 30
 
 
 def _detections(tables: Tables, site_id: str | None) -> DataFrame:
-    return at_site(tables["fct_detection_events"], site_id)
+    return facts_at(tables, "fct_detection_events", site_id)
 
 
 def detection_kpis(tables: Tables, as_of: AsOf, *, site_id: str | None = None) -> DataFrame:
@@ -53,7 +52,7 @@ def latency_overall(
     tables: Tables, *, site_id: str | None = None, accuracy: int | None = None
 ) -> DataFrame:
     """P50/P95/P99 of the total response in whole seconds; one row, NULLs without alerts."""
-    alerts = at_site(tables["fct_alert_pipeline_latency"], site_id)
+    alerts = facts_at(tables, "fct_alert_pipeline_latency", site_id)
     found = percentiles(alerts, {"total": "total_response_s"}, PERCENTILES, accuracy=accuracy)
     return found.select(*[round_half_away(F.col(name), 0).alias(name) for name in PERCENTILES])
 
@@ -62,7 +61,7 @@ def latency_by_stage(
     tables: Tables, *, site_id: str | None = None, accuracy: int | None = None
 ) -> DataFrame:
     """P50/P95/P99 and mean per stage in seconds; always one row per stage."""
-    alerts = at_site(tables["fct_alert_pipeline_latency"], site_id)
+    alerts = facts_at(tables, "fct_alert_pipeline_latency", site_id)
     found = percentiles(alerts, STAGES, PERCENTILES, accuracy=accuracy)
     return found.select(
         F.col("measure").alias("stage"),
@@ -108,8 +107,8 @@ def detection_hourly(tables: Tables, *, site_id: str | None = None) -> DataFrame
     )
 
 
-def tower_detection_summary(tables: Tables, *, site_id: str | None = None) -> DataFrame:
-    """The towers that escalate the largest share of their detections.
+def tower_detection_summary(tables: Tables, *, site_id: str | None = None, length: int = 30) -> DataFrame:
+    """The ``length`` towers that escalate the largest share of their detections.
 
     Summed per tower before the dimension is joined.  Grouping the joined fact by tower
     instead would reuse the join's partitioning, where a hot tower is one task.
@@ -118,7 +117,8 @@ def tower_detection_summary(tables: Tables, *, site_id: str | None = None) -> Da
         "auto_resolve_pct": F.col("auto_resolved").cast("int"),
         "escalation_pct": F.col("escalated_to_operator").cast("int"),
         "fp_rate_pct": F.col("false_positive").cast("int"),
-        "avg_confidence_pct": F.col("confidence_score"),
+        # Six digits, so that the sum does not depend on its order; see exact_mean.
+        "avg_confidence_pct": F.col("confidence_score").cast("decimal(18,6)"),
     }
     sums = [F.sum(value).alias(f"{name}_sum") for name, value in shares.items()]
     counts = [F.count(value).alias(f"{name}_n") for name, value in shares.items()]
@@ -129,7 +129,9 @@ def tower_detection_summary(tables: Tables, *, site_id: str | None = None) -> Da
     )
     towers = known_towers(tables, site_id, "site_name")
     percentages = [
-        round_half_away(F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0)) * 100, 1).alias(name)
+        round_half_away(
+            F.sum(f"{name}_sum").cast("double") / F.nullif(F.sum(f"{name}_n"), F.lit(0)) * 100, 1
+        ).alias(name)
         for name in shares
     ]
     return (
@@ -137,5 +139,5 @@ def tower_detection_summary(tables: Tables, *, site_id: str | None = None) -> Da
         .groupBy("tower_id", "site_name")
         .agg(F.sum("n").alias("detections"), *percentages)
         .orderBy(F.desc_nulls_last("escalation_pct"), F.asc_nulls_last("tower_id"), F.asc_nulls_last("site_name"))
-        .limit(TOWER_LIST_LENGTH)
+        .limit(length)
     )

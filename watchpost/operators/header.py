@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchpost.functions.clock import AsOf
-from watchpost.operators.scope import at_site, sum_by_tower
+from watchpost.functions.numeric import exact_mean
+from watchpost.operators.scope import at_site, facts_at, sum_by_tower
 
 Tables = Mapping[str, DataFrame]
 
@@ -40,7 +41,7 @@ def active_towers(tables: Tables, *, site_id: str | None = None) -> DataFrame:
 
 
 def active_deployments(tables: Tables, *, site_id: str | None = None) -> DataFrame:
-    active = at_site(tables["fct_deployment_status"], site_id).where(F.col("status") == "active")
+    active = facts_at(tables, "fct_deployment_status", site_id).where(F.col("status") == "active")
     return active.agg(F.count(F.lit(1)).alias("active_deployments"))
 
 
@@ -78,17 +79,17 @@ def uptime(tables: Tables, as_of: AsOf, *, site_id: str | None = None) -> DataFr
     calendar dates when today is already there; the previous one spans seven.
     """
     day, start = F.col("health_date"), as_of.date_days_ago(7)
-    recent = at_site(tables["fct_fleet_health_daily"], site_id).where(day >= as_of.date_days_ago(14))
+    recent = facts_at(tables, "fct_fleet_health_daily", site_id).where(day >= as_of.date_days_ago(14))
     return recent.agg(
-        F.avg(F.when(day >= start, F.col("comms_uptime_pct"))).alias("uptime_7d"),
-        F.avg(F.when(day < start, F.col("comms_uptime_pct"))).alias("uptime_prev_7d"),
+        exact_mean(F.when(day >= start, F.col("comms_uptime_pct"))).alias("uptime_7d"),
+        exact_mean(F.when(day < start, F.col("comms_uptime_pct"))).alias("uptime_prev_7d"),
     )
 
 
 def failures(tables: Tables, as_of: AsOf, *, site_id: str | None = None) -> DataFrame:
     """Components that failed in the last 30 days and in the 30 days before."""
     failed_at, start = F.col("failed_at"), as_of.days_ago(30)
-    failed = at_site(tables["fct_component_reliability"], site_id).where(
+    failed = facts_at(tables, "fct_component_reliability", site_id).where(
         F.col("is_failed") & (failed_at >= as_of.days_ago(60))
     )
     return failed.agg(

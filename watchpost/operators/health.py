@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchpost.functions.clock import AsOf, minutes_between, seconds_elapsed
-from watchpost.functions.numeric import round_exact, round_half_even
+from watchpost.functions.numeric import exact_mean, round_exact, round_half_even
 
 Tables = Mapping[str, DataFrame]
 
@@ -31,6 +31,9 @@ ERROR_AFTER_HOURS = 24
 PASSED = ("pass", "success")
 SKIPPED = ("skipped",)
 
+# Codes that say why a build has its status.
+NO_LOG, EMPTY, OK, FAILED, UNREADABLE = "no_log", "empty", "ok", "failed", "unreadable"
+
 
 def _last_records(tables: Tables, columns: Mapping[str, str]) -> DataFrame:
     newest = [
@@ -96,7 +99,7 @@ def run_log_summary(log: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("steps"),
             F.count_if(_passed(status)).alias("passed"),
             F.count_if(_failed(status)).alias("failed"),
-            round_half_even(F.avg("elapsed_s"), 3).alias("avg_s"),
+            round_half_even(exact_mean(F.col("elapsed_s")), 3).alias("avg_s"),
         )
         .orderBy("kind")
     )
@@ -106,26 +109,31 @@ def pipeline_status(log: DataFrame) -> DataFrame:
     """Verdict per logged build; a single warning row when nothing is logged.
 
     Only a build whose every step passed is ``ok``: a skipped step turns it to ``fail``
-    although it is not counted in ``failed``.
+    although it is not counted in ``failed``.  A log that cannot be read fails too.
     """
+    broken = F.col("unreadable").isNotNull() if "unreadable" in log.columns else F.lit(False)
     steps = F.coalesce(F.col("results"), F.array().cast(log.schema["results"].dataType))
     verdict = (
-        F.when(F.col("n_total") == 0, "warn")
+        F.when(F.col("broken"), "fail")
+        .when(F.col("n_total") == 0, "warn")
         .when(F.col("n_passed") == F.col("n_total"), "ok")
         .otherwise("fail")
     )
     detail = (
-        F.when(F.col("n_total") == 0, "no pipeline runs recorded")
-        .when(F.col("n_passed") == F.col("n_total"), "pipeline nominal")
-        .otherwise("pipeline degraded")
+        F.when(F.col("broken"), UNREADABLE)
+        .when(F.col("n_total") == 0, EMPTY)
+        .when(F.col("n_passed") == F.col("n_total"), OK)
+        .otherwise(FAILED)
     )
     logged = log.where(
         F.coalesce("metadata.generated_at", "generated_at").isNotNull()
         | F.col("elapsed_time").isNotNull()
         | F.col("results").isNotNull()
+        | broken
     )
     builds = logged.select(
         _generated_at(log),
+        broken.alias("broken"),
         F.size(steps).alias("n_total"),
         F.size(F.filter(steps, lambda s: _passed(s["status"]))).alias("n_passed"),
         F.size(F.filter(steps, lambda s: _failed(s["status"]))).alias("n_failed"),
@@ -139,7 +147,7 @@ def pipeline_status(log: DataFrame) -> DataFrame:
     )
     nothing = logged.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0).select(
         F.lit("warn").alias("status"),
-        F.lit("pipeline status unavailable").alias("detail"),
+        F.lit(NO_LOG).alias("detail"),
         *[F.lit(0).cast("bigint").alias(n) for n in ("n_total", "n_passed", "n_failed")],
         F.lit(0.0).alias("elapsed_s"),
         F.lit("").alias("generated_at"),

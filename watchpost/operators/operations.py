@@ -14,10 +14,9 @@ from watchpost.operators.scope import at_site, known_towers
 
 Tables = Mapping[str, DataFrame]
 
-# Display order of severities and of stock levels, length of the lists.
+# Display order of severities and of stock levels.
 SEVERITIES = ("P1", "P2", "P3")
 STOCK_LEVELS = ("critical", "reorder", "watch")
-LIST_LENGTH = 25
 
 
 def _site_order() -> list:
@@ -90,12 +89,12 @@ def site_status_density(tables: Tables, as_of: AsOf, *, site_id: str | None = No
     ).orderBy(*_site_order())
 
 
-def active_missions(tables: Tables, *, site_id: str | None = None) -> DataFrame:
-    """Running deployments, newest first."""
+def active_missions(tables: Tables, *, site_id: str | None = None, length: int = 25) -> DataFrame:
+    """Running deployments, the ``length`` newest first."""
     running = at_site(tables["fct_deployment_status"], site_id).where(F.col("status") == "active")
     return (
         running.orderBy(F.desc_nulls_last("start_ts"), "deployment_id")
-        .limit(LIST_LENGTH)
+        .limit(length)
         .select(
             "deployment_id",
             "mission_name",
@@ -107,8 +106,10 @@ def active_missions(tables: Tables, *, site_id: str | None = None) -> DataFrame:
     )
 
 
-def open_incident_list(tables: Tables, as_of: AsOf, *, site_id: str | None = None) -> DataFrame:
-    """Open incidents of known towers, most severe and oldest first."""
+def open_incident_list(
+    tables: Tables, as_of: AsOf, *, site_id: str | None = None, length: int = 25
+) -> DataFrame:
+    """Open incidents of known towers, the ``length`` most severe and oldest first."""
     listed = (
         tables["stg_incidents"]
         .where(F.col("closed_at").isNull())
@@ -116,7 +117,7 @@ def open_incident_list(tables: Tables, as_of: AsOf, *, site_id: str | None = Non
         .orderBy(
             rank_in(F.col("severity"), SEVERITIES), F.asc_nulls_last("opened_at"), "incident_id"
         )
-        .limit(LIST_LENGTH)
+        .limit(length)
     )
     return listed.select(
         "incident_id",

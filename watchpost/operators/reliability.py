@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchpost.functions.clock import AsOf
-from watchpost.functions.numeric import round_half_even
-from watchpost.operators.scope import at_site, known_towers
+from watchpost.functions.numeric import exact_mean, round_half_even
+from watchpost.operators.scope import facts_at, known_towers
 
 Tables = Mapping[str, DataFrame]
 
-# Names of the series in the long forms, and the length of the list.
+# Names of the series in the long forms.
 MTBF_SERIES = {
     "target_hours": "Target",
     "actual_hours_when_failed": "Observed at failure",
@@ -22,12 +22,11 @@ UPTIME_SERIES = {
     "uptime_pct": "Comms uptime %",
     "sensor_health": "Sensor health score",
 }
-CAUSE_LIST_LENGTH = 10
 
 
 def mtbf_by_subsystem(tables: Tables, *, site_id: str | None = None) -> DataFrame:
     """Per component type: target, hours reached by failed units, failure rate."""
-    components = at_site(tables["fct_component_reliability"], site_id)
+    components = facts_at(tables, "fct_component_reliability", site_id)
     grouped = components.groupBy("component_type").agg(
         F.avg("mtbf_target_hours").alias("target_hours"),
         F.avg(F.when(F.col("is_failed"), F.col("observed_hours"))).alias("actual_hours_when_failed"),
@@ -48,14 +47,14 @@ def uptime_trend(
     tables: Tables, as_of: AsOf | None = None, *, site_id: str | None = None, days: int | None = None
 ) -> DataFrame:
     """Fleet means per day, over all days or, with ``days`` and ``as_of``, the last ones."""
-    health = at_site(tables["fct_fleet_health_daily"], site_id)
+    health = facts_at(tables, "fct_fleet_health_daily", site_id)
     if days is not None:
         health = health.where(F.col("health_date") >= as_of.date_days_ago(days))
     return (
         health.groupBy("health_date")
         .agg(
-            F.avg("comms_uptime_pct").alias("uptime_pct"),
-            F.avg("avg_sensor_health").alias("sensor_health"),
+            exact_mean(F.col("comms_uptime_pct")).alias("uptime_pct"),
+            exact_mean(F.col("avg_sensor_health")).alias("sensor_health"),
         )
         .orderBy(F.asc_nulls_last("health_date"))
     )
@@ -77,12 +76,12 @@ def incidents_by_category(tables: Tables, as_of: AsOf, *, site_id: str | None =
     )
 
 
-def top_root_causes(tables: Tables, *, site_id: str | None = None) -> DataFrame:
-    """The most frequent pairs of root cause and category."""
+def top_root_causes(tables: Tables, *, site_id: str | None = None, length: int = 10) -> DataFrame:
+    """The ``length`` most frequent pairs of root cause and category."""
     return (
         _count_incidents(tables["stg_incidents"], tables, site_id, "root_cause", "category")
         .orderBy(F.desc("incidents"), F.asc_nulls_last("root_cause"), F.asc_nulls_last("category"))
-        .limit(CAUSE_LIST_LENGTH)
+        .limit(length)
     )
 
 

@@ -15,6 +15,17 @@ def at_site(df: DataFrame, site_id: str | None) -> DataFrame:
     return df if site_id is None else df.where(F.col("site_id") == F.lit(site_id))
 
 
+def facts_at(tables: Tables, name: str, site_id: str | None) -> DataFrame:
+    """A fact at one site or, without the columns of the tower, everywhere.
+
+    Without a site nothing of the tower dimension is needed, so it isn't joined where the fact
+    is planned; see ``StarSchema.without_tower``.  A plain mapping gives the table it has.
+    """
+    if site_id is None and hasattr(tables, "without_tower"):
+        return tables.without_tower(name)
+    return at_site(tables[name], site_id)
+
+
 def known_towers(tables: Tables, site_id: str | None, *columns: str) -> DataFrame:
     return at_site(tables["dim_tower"], site_id).select("tower_id", *columns)
 

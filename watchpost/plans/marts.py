@@ -14,10 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchpost.functions.clock import AsOf, days_between, hours_between
-from watchpost.functions.numeric import ieee_divide, round_half_away
+from watchpost.functions.numeric import exact_mean, ieee_divide, round_half_away
 
 Tables = Mapping[str, DataFrame]
 
+# Columns of the telemetry whose daily mean is kept.
+MEASURED = (
+    "cpu_pct",
+    "mem_pct",
+    "sensor_health_score",
+    "comms_uptime_min",
+    "power_watts",
+    "ambient_temp_c",
+)
+
 
 def _with_tower(facts: DataFrame, tables: Tables, **columns: str) -> DataFrame:
     """Left join with dim_tower; ``columns`` maps new names to dimension columns."""
@@ -63,11 +73,11 @@ def dim_tower(tables: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
-def fct_fleet_health_daily(tables: Tables, as_of: AsOf) -> DataFrame:
+def _daily_health(tables: Tables, as_of: AsOf) -> DataFrame:
     """Tower x day.  Incidents on a day without telemetry do not appear."""
 
     def mean(column: str) -> Column:
-        return round_half_away(F.avg(column), 2)
+        return round_half_away(F.col(f"{column}_mean"), 2)
 
     day = ["tower_id", "health_date"]
     health = (
@@ -75,13 +85,18 @@ def fct_fleet_health_daily(tables: Tables, as_of: AsOf) -> DataFrame:
         .withColumn("health_date", F.to_date("ts"))
         .groupBy(*day)
         .agg(
+            *[exact_mean(F.col(column)).alias(f"{column}_mean") for column in MEASURED],
+            F.max("ts").alias("last_heartbeat_ts"),
+        )
+        .select(
+            *day,
             mean("cpu_pct").alias("avg_cpu_pct"),
             mean("mem_pct").alias("avg_mem_pct"),
             mean("sensor_health_score").alias("avg_sensor_health"),
-            round_half_away(F.avg("comms_uptime_min") / 60.0 * 100, 2).alias("comms_uptime_pct"),
+            round_half_away(F.col("comms_uptime_min_mean") / 60.0 * 100, 2).alias("comms_uptime_pct"),
             mean("power_watts").alias("avg_power_watts"),
             mean("ambient_temp_c").alias("avg_ambient_temp_c"),
-            F.max("ts").alias("last_heartbeat_ts"),
+            "last_heartbeat_ts",
         )
     )
     incidents = (
@@ -94,7 +109,12 @@ def fct_fleet_health_daily(tables: Tables, as_of: AsOf) -> DataFrame:
         )
     )
     # Both sides are already hashed on (tower, day), so this join needs no shuffle.
-    daily = health.join(incidents, day, "left").fillna(0, ["incidents_opened", "critical_incidents"])
+    return health.join(incidents, day, "left").fillna(0, ["incidents_opened", "critical_incidents"])
+
+
+def fct_fleet_health_daily(tables: Tables, as_of: AsOf) -> DataFrame:
+    """Tower x day with the tower's site."""
+    daily = _daily_health(tables, as_of)
     return _with_tower(
         daily, tables, site_id="site_id", site_name="site_name", region="region", model="model"
     ).select(
@@ -116,11 +136,17 @@ def fct_fleet_health_daily(tables: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
+def _deployment_durations(tables: Tables, as_of: AsOf) -> DataFrame:
+    start, end = F.col("start_ts"), F.coalesce(F.col("end_ts"), as_of.now())
+    return tables["stg_deployments"].withColumns(
+        {"duration_hours": hours_between(start, end), "duration_days": days_between(start, end)}
+    )
+
+
 def fct_deployment_status(tables: Tables, as_of: AsOf) -> DataFrame:
     """Deployments with their duration so far: to the end, or to now while end is NULL."""
-    start, end = F.col("start_ts"), F.coalesce(F.col("end_ts"), as_of.now())
     return _with_tower(
-        tables["stg_deployments"],
+        _deployment_durations(tables, as_of),
         tables,
         site_id="site_id",
         site_name="site_name",
@@ -137,20 +163,24 @@ def fct_deployment_status(tables: Tables, as_of: AsOf) -> DataFrame:
         "start_ts",
         "end_ts",
         "status",
-        hours_between(start, end).alias("duration_hours"),
-        days_between(start, end).alias("duration_days"),
+        "duration_hours",
+        "duration_days",
     )
 
 
-def fct_component_reliability(tables: Tables, as_of: AsOf) -> DataFrame:
-    """Components with hours observed, to failure or to now, against the target."""
+def _component_ages(tables: Tables, as_of: AsOf) -> DataFrame:
     failed_at = F.col("failed_at")
     hours = hours_between(F.col("installed_at"), F.coalesce(failed_at, as_of.now()))
     ratio = F.when(failed_at.isNotNull(), ieee_divide(F.col("observed_hours"), F.col("mtbf_target_hours")))
     # One projection per step: the ratio uses the hours, and the rounding the ratio, often.
     measured = tables["stg_components"].withColumn("observed_hours", hours).withColumn("ratio", ratio)
+    return measured.withColumn("actual_vs_target_ratio", round_half_away(F.col("ratio"), 3)).drop("ratio")
+
+
+def fct_component_reliability(tables: Tables, as_of: AsOf) -> DataFrame:
+    """Components with hours observed, to failure or to now, against the target."""
     return _with_tower(
-        measured,
+        _component_ages(tables, as_of),
         tables,
         site_id="site_id",
         site_name="site_name",
@@ -170,7 +200,7 @@ def fct_component_reliability(tables: Tables, as_of: AsOf) -> DataFrame:
         "is_failed",
         "mtbf_target_hours",
         "observed_hours",
-        round_half_away(F.col("ratio"), 3).alias("actual_vs_target_ratio"),
+        "actual_vs_target_ratio",
     )
 
 
@@ -204,8 +234,7 @@ def fct_inventory_status(tables: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
-def fct_detection_events(tables: Tables, as_of: AsOf) -> DataFrame:
-    """Detections with calendar parts.  The site is the tower's, not the detection's own."""
+def _detection_events(tables: Tables, as_of: AsOf) -> DataFrame:
     hour = F.hour("detected_at")
     part_of_day = (
         F.when(hour.between(5, 7), "dawn")
@@ -213,8 +242,19 @@ def fct_detection_events(tables: Tables, as_of: AsOf) -> DataFrame:
         .when(hour.between(18, 20), "dusk")
         .otherwise("night")
     )
+    return tables["stg_detections"].drop("site_id").withColumns(
+        {
+            "detection_date": F.to_date("detected_at"),
+            "hour_of_day": hour.cast("bigint"),
+            "time_of_day": part_of_day,
+        }
+    )
+
+
+def fct_detection_events(tables: Tables, as_of: AsOf) -> DataFrame:
+    """Detections with calendar parts.  The site is the tower's, not the detection's own."""
     return _with_tower(
-        tables["stg_detections"].drop("site_id"),
+        _detection_events(tables, as_of),
         tables,
         site_id="site_id",
         site_name="site_name",
@@ -228,9 +268,9 @@ def fct_detection_events(tables: Tables, as_of: AsOf) -> DataFrame:
         "region",
         "tower_model",
         "detected_at",
-        F.to_date("detected_at").alias("detection_date"),
-        hour.cast("bigint").alias("hour_of_day"),
-        part_of_day.alias("time_of_day"),
+        "detection_date",
+        "hour_of_day",
+        "time_of_day",
         "target_class",
         "confidence_score",
         "bearing_deg",
@@ -241,12 +281,17 @@ def fct_detection_events(tables: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
-def fct_alert_pipeline_latency(tables: Tables, as_of: AsOf) -> DataFrame:
-    """Escalated detections with stage times; alerts without a detection are dropped."""
+def _alert_stages(tables: Tables, as_of: AsOf) -> DataFrame:
     detections = tables["stg_detections"].select(
         "detection_id", "tower_id", "target_class", "confidence_score"
     )
     alerts = tables["stg_alert_pipeline"].join(detections, "detection_id")
+    return alerts.withColumn("detection_date", F.to_date("detection_ts"))
+
+
+def fct_alert_pipeline_latency(tables: Tables, as_of: AsOf) -> DataFrame:
+    """Escalated detections with stage times; alerts without a detection are dropped."""
+    alerts = _alert_stages(tables, as_of)
     return _with_tower(alerts, tables, site_id="site_id", site_name="site_name").select(
         "detection_id",
         "tower_id",
@@ -255,7 +300,7 @@ def fct_alert_pipeline_latency(tables: Tables, as_of: AsOf) -> DataFrame:
         "target_class",
         "confidence_score",
         "detection_ts",
-        F.to_date("detection_ts").alias("detection_date"),
+        "detection_date",
         "is_overnight",
         "detection_to_alert_s",
         "alert_to_notify_s",
@@ -282,3 +327,24 @@ MARTS: dict[str, Callable[[Tables, AsOf], DataFrame]] = {
         fct_alert_pipeline_latency,
     )
 }
+
+# What each mart is built from.
+INPUTS: dict[str, tuple[str, ...]] = {
+    "dim_site": ("stg_sites", "stg_towers"),
+    "dim_tower": ("stg_sites", "stg_towers"),
+    "fct_fleet_health_daily": ("stg_telemetry", "stg_incidents", "dim_tower"),
+    "fct_deployment_status": ("stg_deployments", "dim_tower"),
+    "fct_component_reliability": ("stg_components", "dim_tower"),
+    "fct_inventory_status": ("stg_inventory",),
+    "fct_detection_events": ("stg_detections", "dim_tower"),
+    "fct_alert_pipeline_latency": ("stg_alert_pipeline", "stg_detections", "dim_tower"),
+}
+
+# The facts before they meet the tower dimension, for queries that use none of its columns.
+WITHOUT_TOWER: dict[str, Callable[[Tables, AsOf], DataFrame]] = {
+    "fct_fleet_health_daily": _daily_health,
+    "fct_deployment_status": _deployment_durations,
+    "fct_component_reliability": _component_ages,
+    "fct_detection_events": _detection_events,
+    "fct_alert_pipeline_latency": _alert_stages,
+}

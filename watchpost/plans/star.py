@@ -6,14 +6,12 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame
 
 from watchpost.functions.clock import AsOf
 from watchpost.operators.staging import STAGING_MODELS
-from watchpost.plans.marts import MARTS
+from watchpost.plans.marts import INPUTS, MARTS, WITHOUT_TOWER
 from watchpost.sources.lazy import LazyTables
-from watchpost.sources.warehouse import materialize
 
 MODEL_NAMES = (*STAGING_MODELS, *MARTS)
 DIMENSIONS = tuple(name for name in MARTS if name.startswith("dim_"))
@@ -23,7 +21,7 @@ class StarSchema(LazyTables):
     """``stg_*``, ``dim_*`` and ``fct_*`` over raw tables, planned on first access.
 
     A model may be replaced by a table that is already materialized (``ready``); the
-    models built on it then read that table.
+    models built on it then read that table.  A model whose raw tables are missing is missing too.
     """
 
     def __init__(
@@ -34,21 +32,16 @@ class StarSchema(LazyTables):
     ):
         moment = AsOf.of(as_of)
         ready = ready or {}
-        loaders = {name: partial(model, raw) for name, model in STAGING_MODELS.items()}
-        loaders |= {name: partial(model, self, moment) for name, model in MARTS.items()}
+        self._as_of, self._ready = moment, set(ready)
+        staged = {f"stg_{name}" for name in raw}
+        loaders = {name: partial(model, raw) for name, model in STAGING_MODELS.items() if name in staged}
+        for name, model in MARTS.items():  # in an order in which inputs come first
+            if all(source in loaders or source in ready for source in INPUTS[name]):
+                loaders[name] = partial(model, self, moment)
         loaders |= {name: partial(ready.__getitem__, name) for name in ready}
         super().__init__(loaders)
 
-
-def write_dimensions(
-    spark: SparkSession, raw: Mapping[str, DataFrame], as_of: AsOf | datetime | str, root: str
-) -> dict[str, StructType]:
-    """Write the dimensions below ``root``; return the schemas to read them back with.
-
-    A fact that joins a *planned* dimension is judged by an estimate (the product of the
-    dimension's inputs), which is far too high: Spark would shuffle the fact.  Over a
-    written dimension the choice follows from the size of its files.
-    """
-    planned = StarSchema(raw, as_of)
-    materialize(planned, root, DIMENSIONS)
-    return {name: planned[name].schema for name in DIMENSIONS}
+    def without_tower(self, name: str) -> DataFrame:
+        """A fact for a query that uses no column of the tower dimension: the written table, or
+        the fact planned without that join."""
+        return self[name] if name in self._ready else WITHOUT_TOWER[name](self, self._as_of)

@@ -10,10 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot tower even if an aggregate after the join then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Hash instead of sort in a shuffled join, once no partition is larger than this.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
-    # Rebuild only the dates that were recomputed.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

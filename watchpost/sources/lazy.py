@@ -19,6 +19,10 @@ class LazyTables(Mapping[str, DataFrame]):
             self._planned[name] = self._loaders[name]()
         return self._planned[name]
 
+    def __contains__(self, name: object) -> bool:
+        """Whether there is such a table; nothing is planned for the answer."""
+        return name in self._loaders
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._loaders)
 

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from functools import partial
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from watchpost.sources.lazy import LazyTables
 from watchpost.sources.schemas import RAW_TABLES
 
 
-def read_raw(spark: SparkSession, root: str) -> LazyTables:
-    """The nine raw tables with the types their files declare; staging pins them."""
-    return LazyTables({name: partial(_read, spark, f"{root}/{name}.parquet") for name in RAW_TABLES})
+def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The raw tables that are there, with the types their files declare; staging pins them.
+
+    A missing file or folder is a missing table; any other fault is an error.
+    """
+    found = {}
+    for name in RAW_TABLES:
+        try:
+            found[name] = spark.read.parquet(f"{root}/{name}.parquet")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
 
 
 def allow_nanosecond_files(spark: SparkSession) -> None:
@@ -23,7 +31,3 @@ def allow_nanosecond_files(spark: SparkSession) -> None:
     session setting in Spark, not a reader option, so it is left to the caller.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -20,22 +20,38 @@ RUN_LOG = (
     .add("elapsed_time", "double")
     .add("results", ArrayType(STEP))
 )
+# Holds the text of a document that is no log, in full or in part; NULL for all others.
+UNREADABLE = "unreadable"
+READ_LOG = StructType(RUN_LOG.fields).add(UNREADABLE, "string")
 
 
 def read_run_log(spark: SparkSession, path: str, *, multiline: bool = True) -> DataFrame:
-    """One row per log document; no rows when there is no log at ``path``."""
-    reader = spark.read.schema(RUN_LOG).option("multiLine", multiline)
+    """One row per log document; no rows when there is no log at ``path``.
+
+    A document that cannot be read keeps its row, with its text as ``unreadable``.  Spark lists
+    no file of zero bytes, so such a file is no document.
+    """
     try:
-        return reader.json(path)
+        # As text, so that files and rows of text are read by one rule.
+        return parse_run_log(spark.read.text(path, wholetext=multiline).select("value"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], RUN_LOG)
+        return spark.createDataFrame([], READ_LOG)
 
 
 def parse_run_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """Log documents from a text column, one JSON document per row (a table, a stream)."""
-    return lines.select(F.from_json(column, RUN_LOG).alias("log")).select("log.*")
+    text = F.col(column)
+    log = F.from_json(text, READ_LOG, {"columnNameOfCorruptRecord": UNREADABLE})
+    parsed = lines.select(log.alias("log"), text.alias("document"))
+    # An empty document gives no struct at all, and one of white space an empty one.
+    document = F.coalesce("document", F.lit(""))
+    broken = F.when(document.rlike(r"^\s*$"), document)
+    return parsed.select(
+        *[F.col(f"log.{name}") for name in RUN_LOG.fieldNames()],
+        F.coalesce(f"log.{UNREADABLE}", broken).alias(UNREADABLE),
+    )
 
 
 def write_run_log(log: DataFrame, path: str) -> None:

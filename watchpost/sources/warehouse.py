@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
 from functools import partial
@@ -22,19 +21,11 @@ PARTITIONED_BY = {
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session, whose executors share the driver's disk, may go without the
-    setting; it gets a temporary folder, once.
-    """
+    """Folder every executor can reach, taken from ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="watchpost-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -42,19 +33,22 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, path: str, *, partition_by: str | None = None) -> None:
-    """Overwrite the table at ``path``.
+def write_table(
+    df: DataFrame, path: str, *, partition_by: str | None = None, only_given: bool = False
+) -> None:
+    """Overwrite the table at ``path``, or with ``only_given`` the partitions present in ``df``.
 
     A partitioned table is rebalanced by its partition column first: one or few files
     per date instead of one per task and date, and AQE cuts a date that is too large for
-    one task into several.  With ``spark.sql.sources.partitionOverwriteMode=dynamic``
-    only the dates present in ``df`` are replaced.
+    one task into several.  The session's overwrite mode has no say.
     """
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
         return
     rebalanced = df.hint("rebalance", F.col(partition_by))
-    rebalanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    mode = "dynamic" if only_given else "static"
+    writer = rebalanced.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(partition_by).parquet(path)
 
 
 def materialize(tables: Mapping[str, DataFrame], root: str, names: Iterable[str]) -> None:

@@ -8,6 +8,7 @@ skips nor repeats a file.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,8 +25,17 @@ EVENT_TIME = {
 
 
 def staged_stream(spark: SparkSession, name: str, landing: str) -> DataFrame:
-    """Streaming staging table over parquet files landing in a folder."""
-    return stage(name, spark.readStream.schema(staging_schema(name)).parquet(landing))
+    """Streaming staging table over parquet files landing in a folder.
+
+    Read with the types that the landed files declare, and cast by the staging select like a
+    batch: a stream that insists on the target types refuses files of other integer widths.  A
+    folder that is still empty gives the target types.
+    """
+    try:
+        found = spark.read.parquet(landing).schema
+    except AnalysisException:  # nothing has landed yet
+        found = staging_schema(name)
+    return stage(name, spark.readStream.schema(found).parquet(landing))
 
 
 def ingest_available(
