@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="watchpost-llm-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset, only a local session may go
-    on, whose executors are the driver: it takes a temporary folder for its lifetime."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, only a local session may go on,
+    whose executors are the driver: it gets a folder that goes when this process ends."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="watchpost-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
