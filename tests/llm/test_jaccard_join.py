@@ -110,7 +110,7 @@ def test_similar_sets_share_enough_of_their_prefixes():
         if 100 * len(a & b) < 85 * len(a | b):
             continue
         prefix = [set(sorted(s)[: jj.prefix_length(len(s), 85)]) for s in (a, b)]
-        assert len(prefix[0] & prefix[1]) >= min(jj.OVERLAP, jj._needed(max(len(a), len(b)), 85))
+        assert len(prefix[0] & prefix[1]) >= jj.prefix_overlap(len(a), len(b), 85)
 
 
 def test_boundary_is_where_enumerating_costs_more_than_lists(spark):

@@ -32,7 +32,7 @@ def literals(text):
 
 
 def test_query_holds_all_base_spans(spark, sf_dir):
-    folder = f"{sf_dir}/../sf0.01"
+    folder = f"{sf_dir}/../sf0.1"
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = op4_secret_scan(spark, folder).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(texts)

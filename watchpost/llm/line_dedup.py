@@ -47,7 +47,7 @@ def page_lines(html: Column) -> Column:
     for pattern in REMOVED:
         text = F.regexp_replace(text, pattern, " ")
     text = F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), INLINE, "")
-    lines = F.transform(F.split(F.regexp_replace(text, BLANKS, " "), "\n"), F.trim)
+    lines = F.transform(F.split(F.regexp_replace(text, BLANKS, " "), "\n"), lambda line: F.trim(line))
     return F.filter(lines, lambda line: line != "")
 
 
@@ -83,9 +83,8 @@ def drop_boilerplate_lines(
     table = written(boilerplate(lined, ratio=ratio, min_pages=min_pages), "boilerplate")
     lists = table.withColumnRenamed("host", "__host")
     joined = lined.drop("hashes").join(lists, F.col("host") == F.col("__host"), "left")
-    kept = F.when(
-        F.col("boilerplate").isNull(), F.col("lines")
-    ).otherwise(F.filter("lines", lambda line: ~F.array_contains("boilerplate", F.md5(line))))
+    left = F.filter("lines", lambda line: ~F.array_contains("boilerplate", F.md5(line)))
+    kept = F.when(F.col("boilerplate").isNull(), F.col("lines")).otherwise(left)
     return joined.withColumn("kept", kept).select(
         F.col("page").alias(id_col),
         "host",

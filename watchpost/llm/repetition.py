@@ -31,7 +31,7 @@ BASE_WIDTH = 3
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # Per cent of the words' characters that repeated n-grams may cover, by n.
-MAX_COVERAGE: Mapping[int, int] = {5: 30, 7: 25, 10: 20}
+MAX_COVERAGE: Mapping[int, int] = {5: 40, 7: 35, 10: 30}
 MAX_LINE_PERCENT = 30  # of the text's characters, line ends left out, in repeated lines
 
 
