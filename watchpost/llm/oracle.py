@@ -5,7 +5,119 @@ from __future__ import annotations
 LOWER_ASCII = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"'[^\x20\x09-\x0D]+'"
 
+ALPHANUMERIC = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+# Text of a page as lines: what is no text goes, block elements end a line, other elements go.
+_TEXT = "coalesce(html, '')"
+for _pattern, _by in (
+    (r"(?is)<script\b[^>]*>.*?</script\s*>", "' '"),
+    (r"(?is)<style\b[^>]*>.*?</style\s*>", "' '"),
+    (r"(?s)<!--.*?-->", "' '"),
+    (
+        r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|"
+        r"nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>",
+        "chr(10)",
+    ),
+    (r"<[^>]*>", "''"),
+    (r"[\t\x0B\f\r ]+", "' '"),
+):
+    _TEXT = f"regexp_replace({_TEXT}, '{_pattern}', {_by}, 'g')"
+
+# Base32 of a digest: five hexadecimal digits are four letters.
+BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  ((cast('0x' || substr(sha1(payload), 5 * (i // 4) + 1, 5) as bigint) >> (15 - 5 * (i % 4))) & 31)::int + 1, 1)
+  for i in range(0, 32)], '')"""
+
+
+def _covered(width: int) -> str:
+    """Words inside windows of this width that their text holds twice or more."""
+    gram = " || chr(1) || ".join(f"w[i + {k}]" for k in range(width))
+    return f"""
+      select distinct doc_id, unnest(range(i, i + {width})) as i from (
+        select *, count(*) over (partition by doc_id, gram) as found from (
+          select doc_id, i, {gram} as gram
+          from (select doc_id, w, unnest(range(1, len(w) - {width - 2})) as i from texts)))
+      where found > 1"""
+
+
 ORACLE_SQL = {
+    "op1_line_dedup": f"""
+with lined as (
+  select page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') as host,
+    [trim(x) for x in string_split({_TEXT}, chr(10)) if trim(x) <> ''] as lines
+  from pages
+), totals as (select host, count(*) as total from lined where host is not null group by host having count(*) >= 4),
+counts as (
+  select host, line, count(*) as n from (
+    select page_id, host, unnest(list_distinct(lines)) as line from lined where host is not null) group by all
+), gone as (
+  select host, list(line) as boilerplate from counts join totals using (host) where n * 10 > 3 * total group by host
+), cut as (
+  select page_id, lined.host, lines, [x for x in lines if not list_contains(coalesce(boilerplate, []), x)] as kept
+  from lined left join gone on lined.host = gone.host
+)
+select page_id, host, len(lines) as n_lines, len(lines) - len(kept) as n_dropped, array_to_string(kept, chr(10)) as text
+from cut
+""",
+    "op2_warc_roundtrip": f"""
+with payloads as (select page_id, coalesce(html, '') as payload from pages)
+select page_id, strlen(payload) as payload_bytes, {BASE32} as payload_digest,
+  if(page_id = largest, 'response', 'revisit') as record_type, if(page_id = largest, null, largest) as refers_to
+from (select *, max(page_id) over (partition by payload) as largest from payloads)
+""",
+    "op3_decontaminate": f"""
+with texts as (select doc_id, regexp_extract_all({LOWER_ASCII}, {ALPHANUMERIC}) as w from documents),
+items as (select item_id, regexp_extract_all({LOWER_ASCII}, {ALPHANUMERIC}) as w from benchmark),
+windows as (
+  select distinct item_id, least(10, len(w)) as size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as gram
+  from (select *, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from items where len(w) > 0)
+), sizes as (select distinct size from windows),
+places as (
+  select doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') as gram
+  from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from texts cross join sizes)
+), found as (select doc_id, i, places.size, item_id from places join windows on places.gram = windows.gram and places.size = windows.size),
+hits as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + size)) as j from found) group by 1),
+listed as (
+  select doc_id, count(distinct item_id) as n_items,
+    array_to_string(list_sort(list_distinct(list(cast(item_id as varchar)))), ',') as ids
+  from found group by 1
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from texts left join hits using (doc_id) left join listed using (doc_id)
+""",
+    "op8_repetition_rules": f"""
+with texts as (select doc_id, text, regexp_extract_all(coalesce(text, ''), {SPACED}) as w from documents),
+sizes as (
+  select doc_id, text, w, len(w) as n_words, coalesce(list_sum([length(x) for x in w]), 0)::bigint as word_chars,
+    length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) as n_symbols
+  from texts
+), lines as (
+  select doc_id, line, row_number() over (partition by doc_id, line) as nth from (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents)
+), dup_lines as (
+  select doc_id, count(*) filter (nth > 1 and regexp_matches(line, {SPACED})) as n_dup_lines,
+    coalesce(sum(length(line)) filter (nth > 1 and regexp_matches(line, {SPACED})), 0)::bigint as dup_line_chars,
+    sum(length(line))::bigint as line_chars
+  from lines group by 1
+), covered as (
+  {" union all ".join(f"select {width} as width, * from ({_covered(width)})" for width in (3, 5, 7, 10))}
+), covers as (
+  select doc_id, count(*) filter (width = 3) as n_repeat_words,
+    {", ".join(f"coalesce(sum(length(w[i])) filter (width = {width}), 0)::bigint as dup_chars_{width}" for width in (5, 7, 10))}
+  from covered join texts using (doc_id) group by 1
+), measures as (
+  select doc_id, n_words, word_chars, n_symbols, n_dup_lines, dup_line_chars, line_chars,
+    coalesce(n_repeat_words, 0) as n_repeat_words,
+    {", ".join(f"coalesce(dup_chars_{width}, 0) as dup_chars_{width}" for width in (5, 7, 10))}
+  from sizes join dup_lines using (doc_id) left join covers using (doc_id)
+)
+select * exclude (line_chars), n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words or 100 * dup_line_chars > 30 * line_chars
+    or 100 * dup_chars_5 > 40 * word_chars or 100 * dup_chars_7 > 35 * word_chars
+    or 100 * dup_chars_10 > 30 * word_chars) as kept
+from measures
+""",
     "op6_jaccard_join": f"""
 with recursive texts as (
   select doc_id, regexp_extract_all({LOWER_ASCII}, {SPACED}) as w from documents
