@@ -19,6 +19,7 @@ from watchpost.functions.clock import (
     seconds_elapsed,
 )
 from watchpost.functions.numeric import (
+    exact_mean,
     ieee_divide,
     round_exact,
     round_half_away,
@@ -156,3 +157,29 @@ def test_approximate_percentiles_stay_within_their_rank_error(spark):
     df = spark.range(20_000).select(F.col("id").cast("double").alias("v"))
     row = percentiles(df, {"m": "v"}, {"p95": 0.95}, accuracy=1000).first()
     assert abs(row["p95"] - 19_000) <= 20_000 / 1000 + 1
+
+
+def test_percentiles_rank_nan_above_all_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+
+    def half(values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return percentiles(df, {"m": "v"}, {"p50": 0.5}).first()["p50"]
+
+    assert half([1.0, 2.0, 10.0, nan]) == 6.0
+    assert half([1.0, 2.0, nan]) == 2.0
+    assert half([inf, 5.0, -inf]) == 5.0
+    assert math.isnan(half([1.0, nan, nan]))
+    assert half([1e12, -1e12, 3.0, 3.0, 3.0]) == 3.0
+
+
+def test_exact_mean_does_not_depend_on_order_and_keeps_odd_values(spark):
+    def mean(values, partitions=1):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(partitions)
+        return df.agg(exact_mean(F.col("v")).alias("m")).first()["m"]
+
+    values = [k * 0.1 + 0.005 for k in range(2000)]
+    assert len({mean(v, n) for v in (values, values[::-1]) for n in (1, 7)}) == 1
+    assert mean([]) is None and mean([None, 2.0]) == 2.0
+    assert math.isnan(mean([1.0, float("nan")])) and mean([1.0, float("inf")]) == float("inf")
+    assert mean([1e15, 1e15]) == 1e15

@@ -186,3 +186,22 @@ def test_incidents_are_counted_before_they_meet_the_dimension(spark, written):
 def test_as_of_is_a_literal(spark, written):
     early = AsOf.of(datetime(2024, 1, 31, 12) - timedelta(days=365))
     assert "current_" not in plan(header.kpi_header(written, early))
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "det_kpi", "det_volume", "det_breakdown", "det_hourly", "latency_overall", "kpi_active_deployments",
+        "kpi_uptime", "kpi_failures", "mtbf_by_subsystem", "uptime_trend",
+    ],
+)
+def test_without_a_site_no_dimension_is_joined(spark, name):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(QUERIES[name](spark, SF_DIR))
+    assert "supplier" not in text and "nation" not in text
+    if not name.startswith(("latency", "kpi_uptime", "uptime")):
+        assert not re.search(r"hashpartitioning\(tower_id", text)
+
+
+def test_wide_results_need_no_exchange_of_their_own(spark):
+    assert not re.search(r"Exchange \(", plan(QUERIES["stg_components"](spark, SF_DIR)))
