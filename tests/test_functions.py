@@ -139,10 +139,11 @@ def test_percentiles_with_one_hot_value_and_far_outliers(spark):
     check_percentiles(spark, [7.5] * 900 + [float(k) for k in range(400)] + [1e9, -1e9])
 
 
-def test_percentiles_do_not_depend_on_the_cell_width(spark):
-    values = [random.Random(1).expovariate(0.01) for _ in range(500)]
-    for width in (0.01, 1.0, 1e6):
-        check_percentiles(spark, values, width=width)
+def test_percentiles_do_not_depend_on_the_number_of_cells(spark):
+    rng = random.Random(1)
+    values = [rng.expovariate(0.01) for _ in range(300)] + [5.0] * 200 + [1e9, -1e9]
+    for cells in (1, 2, 7, 1 << 16):
+        check_percentiles(spark, values, cells=cells)
 
 
 def test_percentiles_of_several_measures_and_of_nothing(spark):

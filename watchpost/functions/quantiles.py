@@ -2,11 +2,12 @@
 
 ``percentile()`` merges a map of all distinct values into a single task, which cannot
 hold a column of doubles at 100 TB.  Here the column becomes a histogram spread over the
-cluster.  Its values are counted per cell of fixed width; running totals over the cells
-show which cell holds each wanted rank, and only those cells are opened and ordered value
-by value.  For durations of microsecond grain and the default width of 4 s, a window
-orders at most span/4 cells (eight million for a span of a year) and then at most four
-million values, whatever the number of rows.
+cluster.  The range of its values is cut into a fixed number of cells; running totals over
+the cells show which cell holds each wanted rank; the values of only those cells are cut in
+the same way, by the range that they have, and what is left in the cell that is hit then is
+ordered value by value.  So two windows see at most ``CELLS`` + 2 rows for each percentile,
+whatever the number and the span of the values, and the last one the different values within
+a part in 2^32 of the range, unless outliers take most of it twice over.
 """
 
 from __future__ import annotations
@@ -16,9 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELL_WIDTH = 4.0
-# NaN ranks above all numbers; infinity is in this cell too, and Spark orders it below NaN.
-TOP_CELL = 2**63 - 1
+CELLS = 1 << 16
 
 
 def percentiles(
@@ -26,19 +25,19 @@ def percentiles(
     measures: Mapping[str, str],
     probabilities: Mapping[str, float],
     *,
-    width: float = CELL_WIDTH,
+    cells: int = CELLS,
     accuracy: int | None = None,
 ) -> DataFrame:
     """One row per measure: ``measure``, one column per probability, ``mean``.
 
     ``measures`` maps a label to a column name, ``probabilities`` an output name to a
-    value in [0, 1].  NULLs are ignored; a measure without values yields NULLs.  With
+    value in [0, 1].  NULLs are ignored, NaN ranks above infinity; a measure without values yields NULLs.  With
     ``accuracy`` the sketch ``approx_percentile`` is used instead (rank error at most
     1/accuracy of the rows, one pass, constant memory).
     """
     values = _unpivot(df, measures)
     if accuracy is None:
-        found = _exact(values, probabilities, width)
+        found = _exact(values, probabilities, cells)
     else:
         found = _approximate(values, probabilities, accuracy)
     labels = F.array(*[F.lit(label) for label in measures])
@@ -61,20 +60,27 @@ def _approximate(values: DataFrame, probabilities: Mapping[str, float], accuracy
     return grouped.select("measure", *columns, "mean")
 
 
-def _exact(values: DataFrame, probabilities: Mapping[str, float], width: float) -> DataFrame:
-    # The cell is a function of the value: grouping by both gives no more rows than by
-    # the value alone.  Dropping NULLs by the cell, which the join below does anyway,
-    # keeps the two uses of the histogram identical, so that one shuffle serves both.
-    histogram = (
-        values.withColumn("cell", F.when(F.isnan("value"), TOP_CELL).otherwise(F.floor(F.col("value") / width)))
-        .where("cell is not null")
-        .groupBy("measure", "cell", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+def _exact(values: DataFrame, probabilities: Mapping[str, float], cells: int) -> DataFrame:
+    # Every use of the histogram below reads all its columns, and the joins find their filters
+    # already there, so that one shuffle serves all.
+    known = values.where("value is not null and measure is not null")
+    histogram = known.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    spans = histogram.groupBy("measure").agg(
+        *_span(),
+        F.sum("n").alias("total"),
+        (_mass(F.col("value"), F.col("n")).cast("double") / F.sum("n")).alias("mean"),
     )
-    # At most 2 x probabilities x measures rows: a fixed bound, so the hint is safe.
-    targets = F.broadcast(_cells_of_ranks(histogram, probabilities))
+    # Broadcasts here have at most 2 x probabilities x measures rows: a fixed bound.
+    celled = _in_cells(histogram, F.broadcast(spans.select("measure", "low", "high")), ["measure"], "cell", cells)
+    targets = _narrowed(celled, _ranks(spans, probabilities), ["measure"], "cell")
+
+    inner = celled.join(F.broadcast(targets.select("measure", "cell").distinct()), ["measure", "cell"])
+    group = ["measure", "cell"]
+    inner = _in_cells(inner, F.broadcast(inner.groupBy(*group).agg(*_span())), group, "part", cells)
+    targets = _narrowed(inner, targets, group, "part")
+
     ordered = Window.partitionBy("measure", "prob", "edge").orderBy("value")
-    counted = histogram.join(targets, ["measure", "cell"]).withColumn(
+    counted = inner.join(F.broadcast(targets), [*group, "part"]).withColumn(
         "end", F.col("before") + F.sum("n").over(ordered)
     )
     hits = counted.where(_holds_rank())
@@ -86,24 +92,39 @@ def _exact(values: DataFrame, probabilities: Mapping[str, float], width: float)
     for prob, (name, p) in enumerate(probabilities.items()):
         position = (F.max("total") - 1) * F.lit(float(p))
         weight = position - F.floor(position)
-        interpolated.append((at(prob, "low") + (at(prob, "high") - at(prob, "low")) * weight).alias(name))
+        low, high = at(prob, "low"), at(prob, "high")
+        # Equal neighbours, also infinite ones, need no interpolation.
+        interpolated.append(F.when(low == high, low).otherwise(low + (high - low) * weight).alias(name))
     return hits.groupBy("measure").agg(*interpolated, F.max("mean").alias("mean"))
 
 
-def _cells_of_ranks(histogram: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
-    """The two ranks next to each probability, the cell each lies in, rows before that cell."""
-    cells = histogram.groupBy("measure", "cell").agg(
-        F.sum("n").alias("n"), _mass(F.col("value"), F.col("n")).alias("mass")
-    )
-    whole = Window.partitionBy("measure")
-    counted = cells.select(
-        "measure",
-        "cell",
-        "n",
-        F.sum("n").over(whole.orderBy("cell")).alias("end"),
-        F.sum("n").over(whole).alias("total"),
-        (F.sum("mass").over(whole).cast("double") / F.sum("n").over(whole)).alias("mean"),
-    )
+def _finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value) < float("inf"))
+
+
+def _span() -> list[Column]:
+    """Aggregates: the range of the finite values.
+
+    ``n`` is never 0; it is asked for so that the histogram is the same as where it is counted.
+    """
+    value = F.when(_finite(F.col("value")) & (F.col("n") > 0), F.col("value"))
+    return [F.min(value).alias("low"), F.max(value).alias("high")]
+
+
+def _in_cells(rows: DataFrame, spans: DataFrame, group: list[str], name: str, cells: int) -> DataFrame:
+    """Rows with the number of their cell: 0 to ``cells - 1`` by value, -1 and ``cells`` for what is
+    infinite or no number."""
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    # Halves, because the whole width may be too large for a double.
+    share = (value / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0))
+    inside = F.least(F.coalesce(F.floor(share * cells), F.lit(0)), F.lit(cells - 1))
+    outside = F.when(value == float("-inf"), -1).otherwise(cells)
+    cell = F.when(_finite(value), inside).otherwise(outside).cast("int")
+    return rows.join(spans, group).withColumn(name, cell).drop("low", "high")
+
+
+def _ranks(spans: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
+    """The two ranks next to each probability, counted from 0; no rows come ``before`` a measure."""
     ranks = []
     for prob, p in enumerate(probabilities.values()):
         position = (F.col("total") - 1) * F.lit(float(p))
@@ -111,10 +132,20 @@ def _cells_of_ranks(histogram: DataFrame, probabilities: Mapping[str, float]) ->
             ranks.append(
                 F.struct(F.lit(prob).alias("prob"), F.lit(edge).alias("edge"), rank.alias("rank"))
             )
-    spread = counted.select("*", F.inline(F.array(*ranks)))
-    return spread.where(_holds_rank()).select(
-        "measure", "cell", "prob", "edge", "rank", "total", "mean", (F.col("end") - F.col("n")).alias("before")
+    return spans.select(
+        "measure", "total", "mean", F.lit(0).cast("bigint").alias("before"), F.inline(F.array(*ranks))
+    )
+
+
+def _narrowed(rows: DataFrame, targets: DataFrame, group: list[str], name: str) -> DataFrame:
+    """Targets with the cell that holds their rank, and the rows before that cell."""
+    counts = rows.groupBy(*group, name).agg(F.sum("n").alias("n"))
+    ordered = Window.partitionBy("measure", "prob", "edge").orderBy(name)
+    counted = counts.join(F.broadcast(targets), group).withColumn(
+        "end", F.col("before") + F.sum("n").over(ordered)
     )
+    hit = counted.where(_holds_rank()).withColumn("before", F.col("end") - F.col("n"))
+    return hit.drop("n", "end")
 
 
 def _mass(value: Column, n: Column) -> Column:
@@ -126,6 +157,6 @@ def _mass(value: Column, n: Column) -> Column:
 
 
 def _holds_rank() -> Column:
-    """Ranks count from 0; ``end`` is the number of rows up to and including this one."""
+    """``end`` is the number of rows up to and including this one."""
     rank = F.col("rank")
     return (F.col("end") - F.col("n") <= rank) & (rank < F.col("end"))
