@@ -3,9 +3,12 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from watchpost.llm import quote_links as ql
+from watchpost.llm.oracle import ORACLE_SQL
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -103,14 +106,16 @@ def test_links_equal_brute_force(spark):
     assert not any(re.search(r"^\s*>|wrote:$", r["text"], re.M) for r in found)
 
 
+NESTED = [
+    (1, 0, "user", "How do I sort a table?\nIt is large."),
+    (1, 1, "assistant", "Anna wrote:\n> How do I SORT\n>  a table?\nUse order by, it spills."),
+    (1, 2, "user", ">> How do I sort a table?\n> Use order by,\n> it spills.\n\nThank you very much"),
+    (1, 3, "user", "> Nobody has said this here\nReally not"),
+]
+
+
 def test_nested_quotes_and_clean_text(spark):
-    rows = [
-        (1, 0, "user", "How do I sort a table?\nIt is large."),
-        (1, 1, "assistant", "Anna wrote:\n> How do I SORT\n>  a table?\nUse order by, it spills."),
-        (1, 2, "user", ">> How do I sort a table?\n> Use order by,\n> it spills.\n\nThank you very much"),
-        (1, 3, "user", "> Nobody has said this here\nReally not"),
-    ]
-    found = {r["turn"]: r for r in ql.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    found = {r["turn"]: r for r in ql.link_quotations(spark.createDataFrame(NESTED, SCHEMA)).collect()}
     assert [found[t]["parent_turn"] for t in range(4)] == [None, 0, 1, None]
     assert [found[t]["quoted_turns"] for t in range(4)] == ["", "0", "0,1", ""]
     assert [found[t]["depth"] for t in range(4)] == [0, 1, 2, 0]
@@ -136,6 +141,20 @@ def test_edge_cases(spark):
     assert ql.link_quotations(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [NESTED, conversations(5), [(1, 0, "u", None), (1, 1, "u", "> "), (None, None, None, "")]])
+def test_statement_links_like_the_operator(spark, tmp_path, rows):
+    """The registered SQL over messages that do quote."""
+    frame = spark.createDataFrame(rows, SCHEMA)
+    frame.write.parquet(str(tmp_path / "conversations.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    cursor = connection.execute(ORACLE_SQL["op5_quotation_links"])
+    names = [c[0] for c in cursor.description]
+    result = ql.link_quotations(frame)
+    theirs = sorted((tuple(r[names.index(c)] for c in result.columns) for r in cursor.fetchall()), key=str)
+    assert sorted(map(tuple, result.collect()), key=str) == theirs
+
+
 def test_no_python_runs(spark, sf_dir, capsys):
     ql.link_quotations(spark.read.parquet(f"{sf_dir}/conversations.parquet")).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)

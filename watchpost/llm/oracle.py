@@ -117,6 +117,68 @@ select * exclude (line_chars), n_words < 50 or 100 * n_repeat_words > 50 * n_wor
     or 100 * dup_chars_5 > 40 * word_chars or 100 * dup_chars_7 > 35 * word_chars
     or 100 * dup_chars_10 > 30 * word_chars) as kept
 from measures
+""",
+    "op5_quotation_links": r"""
+with recursive messages as (select row_number() over () as id, * from conversations),
+split_lines as (
+  select id, conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+  from messages
+), leveled as (
+  select *, length(translate(regexp_extract(line, '^([> \t]*)', 1), ' ' || chr(9), '')) as level,
+    regexp_replace(line, '^[> \t]*|[ \t\x0B\f\r]+$', '', 'g') as content
+  from split_lines
+), flagged as (
+  select *, coalesce(lag(level) over w <> level, true) as new_run, coalesce(lag(content) over w = '', false) as after_blank,
+    coalesce(lead(level) over w, 0) as next_level
+  from leveled window w as (partition by id order by i)
+), numbered as (
+  select *, sum(new_run::int) over w as run, sum((new_run or after_blank)::int) over w as paragraph
+  from flagged window w as (partition by id order by i)
+), passages as (
+  select conv_id, turn, level, string_agg(content, ' ' order by i) as passage from numbered group by id, conv_id, turn, level, run
+  union all
+  select conv_id, turn, level, string_agg(content, ' ' order by i) from numbered group by id, conv_id, turn, level, paragraph
+  union all
+  select conv_id, turn, level, content from numbered
+), units as (
+  select distinct conv_id, turn, level, trim(regexp_replace(lower(passage), '[^\p{L}\p{N}]+', ' ', 'g')) as passage
+  from passages
+), origins as (
+  select conv_id, passage, min(turn) as origin from units where level = 0 and length(passage) >= 8 group by all
+), votes as (
+  select u.conv_id, u.turn, u.level, o.origin, sum(length(u.passage)) as chars
+  from units u join origins o on u.conv_id is not distinct from o.conv_id and u.passage = o.passage
+  where u.level > 0 and length(u.passage) >= 8 and o.origin < u.turn
+  group by all
+), links as (
+  select conv_id, turn, first(origin order by level, chars desc, origin) as parent,
+    array_to_string(list_sort(list_distinct(list(origin))), ',') as quoted
+  from votes group by conv_id, turn
+), above(conv_id, turn, thread, depth) as (
+  select conv_id, turn, parent, 1 from links
+  union all
+  select a.conv_id, a.turn, l.parent, a.depth + 1
+  from above a join links l on a.conv_id is not distinct from l.conv_id and a.thread = l.turn
+), roots as (select conv_id, turn, arg_max(thread, depth) as thread, max(depth) as depth from above group by all),
+placed as (
+  select m.conv_id, m.turn, l.parent, coalesce(r.thread, m.turn) as thread, coalesce(r.depth, 0)::bigint as depth,
+    coalesce(l.quoted, '') as quoted_turns
+  from (select distinct conv_id, turn from messages) m
+  left join links l on l.conv_id is not distinct from m.conv_id and l.turn is not distinct from m.turn
+  left join roots r on r.conv_id is not distinct from m.conv_id and r.turn is not distinct from m.turn
+), positions as (
+  select *, row_number() over (partition by conv_id order by thread nulls first, turn nulls first) - 1 as position from placed
+), own as (
+  select id, string_agg(line, chr(10) order by i) as text from flagged
+  where level = 0 and not (next_level > 0 and regexp_matches(line, '(?i)(wrote|schrieb|écrit|escribió).*:\s*$'))
+  group by id
+)
+select m.conv_id, m.turn, m.role, p.parent as parent_turn, p.thread, p.depth, p.position, p.quoted_turns,
+  regexp_replace(coalesce(own.text, ''), '^\n+|\n+$', '', 'g') as text
+from messages m
+join positions p on p.conv_id is not distinct from m.conv_id and p.turn is not distinct from m.turn
+left join own on own.id = m.id
 """,
     "op6_jaccard_join": f"""
 with recursive texts as (

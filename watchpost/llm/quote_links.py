@@ -31,7 +31,7 @@ from watchpost.llm.storage import checkpointed, written
 MIN_CHARS = 8  # of a normalised passage that can link
 KEY = ["conv", "turn"]
 # Fixed value: how a line that introduces a quote ends, in four languages.
-ATTRIBUTION = r"(?i)(wrote|schrieb|écrit|escribió)\b.*:\s*$"
+ATTRIBUTION = r"(?i)(wrote|schrieb|écrit|escribió).*:\s*$"
 
 
 def quote_level(line: Column) -> Column:
