@@ -18,7 +18,8 @@ A subset or list with more than one set gets a hub, its smallest member, and eac
 once to each of its hubs, not once per list: copies that share fifty shingles meet once.  Pairs
 are never emitted: a hub's members are compared inside tasks in blocks of fixed size, by
 counting along inverted lists, and only a spanning forest of the found links leaves the task.
-First only prefixes are sent; whole sets follow for members with a possible partner.
+First only the shared parts of prefixes are sent; whole sets follow for members with a possible
+partner.
 
 What is broadcast has a fixed size: a table of shingle frequencies that decides only the order
 (``FREQUENCY_BITS``), and a Bloom filter of the documents whose sets are needed again
@@ -266,10 +267,10 @@ def _subset_keys(prefixes: pa.Array) -> pa.Array:
 
 
 def _hubs(members: DataFrame, percent: int, boundary: int) -> DataFrame:
-    """``(hub, node, n, shared)``: each set once for each hub, with its prefix.
+    """``(hub, node, n, listed, subsets)``: each set once for each hub, with the keys that it shares.
 
-    A light set is in the lists too if it can be similar to a heavy one.  ``kind`` keeps the
-    keys of subsets apart from those of lists.
+    A light set is in the lists too if it can be similar to a heavy one.  Sets that share too
+    few shingles with all others together have no partner and go.
     """
 
     def subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,9 +289,14 @@ def _hubs(members: DataFrame, percent: int, boundary: int) -> DataFrame:
         .withColumns({"hub": F.min("node").over(same), "length": F.count("*").over(same)})
         .where("length > 1")
     )
-    of_node = shared.groupBy("node").agg(F.collect_set("hub").alias("hubs"))  # as many as a prefix has
-    return of_node.join(members, "node").select(
-        F.explode("hubs").alias("hub"), "node", "n", F.col("prefix").alias("shared")
+    of_kind = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("key")))
+    of_node = (  # as many keys as its prefix gives
+        shared.groupBy("node")
+        .agg(F.collect_set("hub").alias("hubs"), of_kind(1).alias("listed"), of_kind(0).alias("subsets"))
+        .where((F.size("listed") >= OVERLAP) | (F.size("subsets") > 0))
+    )
+    return of_node.join(members.select("node", "n"), "node").select(
+        F.explode("hubs").alias("hub"), "node", "n", "listed", "subsets"
     )
 
 
@@ -349,10 +355,12 @@ def _possible(hubs: DataFrame, percent: int) -> DataFrame:
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "hub", "low", "high"):
             keep = np.zeros(table.num_rows, bool)
-            sizes, shared = table.column("n").to_numpy(), _sets_of(table, "shared")
+            sizes = table.column("n").to_numpy()
+            listed, subsets = _sets_of(table, "listed"), _sets_of(table, "subsets")
             for a, z in run_bounds(table, "hub", "low", "high"):
                 n = sizes[a:z]
-                fit = shared_counts(shared[a:z]) >= np.minimum(OVERLAP, _needed(n, percent))
+                fit = shared_counts(listed[a:z]) >= OVERLAP  # no set that can link has fewer to share
+                fit |= shared_counts(subsets[a:z]) > 0
                 fit &= 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
                 keep[a:z] = fit.any(1)
             yield from table.select(["hub", "node", "n", "low", "high"]).filter(pa.array(keep)).to_batches()
