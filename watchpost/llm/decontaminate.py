@@ -10,9 +10,9 @@ match.  Nothing is shuffled: documents stay where they are read.
 The array is sparse: a place at which no match can begin, because one of the words that every
 window covers there isn't a benchmark word, isn't in it.
 
-The benchmark is the query set.  It is read in blocks of at most ``BLOCK_BYTES`` of text, and one
-block is broadcast at a time, so the broadcast has a fixed size whatever the benchmark's size;
-documents then carry what earlier blocks have found.
+The benchmark is the query set.  One that has more than ``BLOCK_BYTES`` of text is dealt by item over
+blocks of about half that, each broadcast by itself; documents carry what earlier blocks have
+found.
 
 Edge cases: a null or empty text has no words: as a document it is never hit, as an item it
 matches nothing.  An item with a null ``item_id`` marks words but isn't listed.  Rows with the
