@@ -82,8 +82,8 @@ def jaccard_components(
     boundary = light_boundary(members, percent)
     hubs = written(_hubs(members, percent, boundary), "jaccard-hubs")
     possible = written(_possible(hubs, percent), "jaccard-possible")
-    texts = _candidate_sets(docs, classes.join(possible.select("node").distinct(), "node"), width)
-    links = _links(possible, texts, percent)
+    placed = possible.join(classes.select("node", "row_key"), "node")
+    links = _links(placed, _candidate_sets(docs, placed.select("row_key").distinct(), width), percent)
 
     names = components(links).join(classes.select("node", "doc_id"), "node")
     least = names.groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -105,7 +105,7 @@ def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col
     classes = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
     first = classes.where(F.col(id_col) == F.col("component_id"))
     kept = written(first.groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("__rows")), "jaccard-kept")
-    rows = named.join(kept, named[id_col] == kept["__id"])
+    rows = named.join(kept.hint("merge"), named[id_col] == kept["__id"])  # as many as documents stay
     once = rows.where("__rows = 1").select(*docs.columns)
     repeated = rows.where("__rows > 1").dropDuplicates(["__id"]).select(*docs.columns)
     return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
@@ -137,6 +137,16 @@ def prefix_length(n: int, percent: int) -> int:
     return min(n, n - _needed(n, percent) + OVERLAP)
 
 
+def prefix_overlap(n, m, percent: int):
+    """Fewest shingles that the prefixes of two similar sets of these sizes share.
+
+    Of the prefix that ends earlier in the order, all shared shingles are in the other prefix too;
+    behind it, the set has ``needed - OVERLAP`` more, which can be shared at most.
+    """
+    both = -(-percent * (n + m) // (100 + percent))
+    return np.maximum(OVERLAP, both - _needed(np.maximum(n, m), percent) + OVERLAP)
+
+
 def _can_link(n: int, percent: int) -> bool:
     """Whether a set of ``n`` can be similar to another one: one shingle more is too much for few."""
     return 100 * n >= percent * (n + 1)
@@ -359,7 +369,7 @@ def _possible(hubs: DataFrame, percent: int) -> DataFrame:
             listed, subsets = _sets_of(table, "listed"), _sets_of(table, "subsets")
             for a, z in run_bounds(table, "hub", "low", "high"):
                 n = sizes[a:z]
-                fit = shared_counts(listed[a:z]) >= OVERLAP  # no set that can link has fewer to share
+                fit = shared_counts(listed[a:z]) >= prefix_overlap(n[:, None], n, percent)
                 fit |= shared_counts(subsets[a:z]) > 0
                 fit &= 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
                 keep[a:z] = fit.any(1)
@@ -369,9 +379,10 @@ def _possible(hubs: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(node, shingles)`` of the wanted classes, built again from one of their texts.
+    """``(row_key, shingles)`` of the wanted rows, built again from their texts.
 
-    Tasks skip other rows by a Bloom filter of fixed size; the join sorts out the rest.
+    Tasks skip other rows by a Bloom filter of fixed size; the join with what is wanted sorts out the
+    few that pass by chance.
     """
     filter_ = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
 
@@ -391,8 +402,7 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame
                 ["row_key", "shingles"],
             )
 
-    rows = docs.select("row_key", "text").mapInArrow(sets, "row_key long, shingles array<long>")
-    return rows.join(wanted.select("node", "row_key"), "row_key").select("node", "shingles").dropDuplicates(["node"])
+    return docs.select("row_key", "text").mapInArrow(sets, "row_key long, shingles array<long>")
 
 
 def _filter_places(keys: np.ndarray) -> Iterator[np.ndarray]:
@@ -444,7 +454,9 @@ def _links(possible: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     vs.append(nodes[a + v])
             yield pa.record_batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    return _grouped(possible.join(sets, "node")).mapInArrow(links, "u long, v long").distinct()
+    # Merged at every size: what is wanted grows with the corpus, so it isn't broadcast for a while first.
+    together = possible.hint("merge").join(sets, "row_key")
+    return _grouped(together).mapInArrow(links, "u long, v long").distinct()
 
 
 def _forest(linked: np.ndarray) -> Iterator[tuple[int, int]]:
