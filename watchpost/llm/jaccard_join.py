@@ -18,8 +18,8 @@ A subset or list with more than one set gets a hub, its smallest member, and eac
 once to each of its hubs, not once per list: copies that share fifty shingles meet once.  Pairs
 are never emitted: a hub's members are compared inside tasks in blocks of fixed size, by
 counting along inverted lists, and only a spanning forest of the found links leaves the task.
-First only the shared parts of prefixes are sent; whole sets follow for members with a possible
-partner.
+First only the shared parts of prefixes are sent.  What they leave possible makes groups, in which
+each whole set is sent once, or once for each block of a large group.
 
 What is broadcast has a fixed size: a table of shingle frequencies that decides only the order
 (``FREQUENCY_BITS``), and a Bloom filter of the documents whose sets are needed again
@@ -81,9 +81,10 @@ def jaccard_components(
     members = classes.where(F.size("prefix") > 0).select("node", "n", "prefix")
     boundary = light_boundary(members, percent)
     hubs = written(_hubs(members, percent, boundary), "jaccard-hubs")
-    possible = written(_possible(hubs, percent), "jaccard-possible")
-    placed = possible.join(classes.select("node", "row_key"), "node")
-    links = _links(placed, _candidate_sets(docs, placed.select("row_key").distinct(), width), percent)
+    groups = components(_possible(hubs, percent)).withColumnRenamed("component", "hub")
+    placed = groups.join(classes.select("node", "n", "row_key"), "node")
+    placed = written(placed, "jaccard-possible")
+    links = _links(_blocks(placed), _candidate_sets(docs, placed.select("row_key"), width), percent)
 
     names = components(links).join(classes.select("node", "doc_id"), "node")
     least = names.groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -360,22 +361,24 @@ def _sets_of(table: pa.Table, name: str) -> list[np.ndarray]:
 
 
 def _possible(hubs: DataFrame, percent: int) -> DataFrame:
-    """``(hub, node, n, low, high)`` of the members with a possible partner in the block pair."""
+    """``(u, v)``: edges that connect what is possibly similar within each pair of blocks."""
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "hub", "low", "high"):
-            keep = np.zeros(table.num_rows, bool)
-            sizes = table.column("n").to_numpy()
+            nodes, sizes = table.column("node").to_numpy(), table.column("n").to_numpy()
+            us, vs = [], []
             listed, subsets = _sets_of(table, "listed"), _sets_of(table, "subsets")
             for a, z in run_bounds(table, "hub", "low", "high"):
                 n = sizes[a:z]
                 fit = shared_counts(listed[a:z]) >= prefix_overlap(n[:, None], n, percent)
                 fit |= shared_counts(subsets[a:z]) > 0
                 fit &= 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
-                keep[a:z] = fit.any(1)
-            yield from table.select(["hub", "node", "n", "low", "high"]).filter(pa.array(keep)).to_batches()
+                for u, v in _forest(fit):
+                    us.append(nodes[a + u])
+                    vs.append(nodes[a + v])
+            yield pa.record_batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    return _grouped(_blocks(hubs)).mapInArrow(possible, "hub long, node long, n long, low int, high int")
+    return _grouped(_blocks(hubs)).mapInArrow(possible, "u long, v long")
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
