@@ -1,8 +1,8 @@
 """A corpus from raw documents: five stages, each written and read again before the next.
 
 1. quality rules: documents that fail the base rules or repeat themselves too much go;
-2. near duplicates: of each group of documents with similar sets of shingles, that with the
-   smallest id stays;
+2. near duplicates: of each group of documents whose sets of shingles of five words are similar by
+   0.8, that with the smallest id stays;
 3. decontamination: documents that hold a passage of the benchmark go;
 4. mixing: documents are repeated or left out so that sources come near their targets;
 5. sharding: each row gets a virtual slot and a shard.
@@ -26,13 +26,17 @@ from watchpost.llm.storage import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Words of a shingle, and per cent by which near duplicates agree; op6 has its own contract.
+NEAR_WIDTH = 5
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_repetition(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_duplicates(docs)
+    return without_near_duplicates(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
