@@ -2,7 +2,7 @@
 
 1. quality rules: documents that fail the base rules or repeat themselves too much go;
 2. near duplicates: of each group of documents whose sets of shingles of five words are similar by
-   0.8, that with the smallest id stays;
+   0.8, the row with the smallest id stays, rows without an id last;
 3. decontamination: documents that hold a passage of the benchmark go;
 4. mixing: documents are repeated or left out so that sources come near their targets;
 5. sharding: each row gets a virtual slot and a shard.
@@ -36,7 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_duplicates(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
+    return without_near_duplicates(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT, keep_unnamed=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,3 +66,17 @@ def test_copies_of_five_words_and_four_fifths_go(kept):
     found = sorted(d for d, _ in kept([t for _, t in rows], [d for d, _ in rows]))
     assert found == brute_kept(rows)
     assert {1, 3} & set(found) == set() and 5 in found
+
+
+def test_rows_without_id_are_copies_too(kept):
+    a, b = " ".join(words("a", 80)), " ".join(words("b", 80))
+    found = kept([a, a + " end", a, b, b, b + " end", "", ""], [7, *[None] * 7])
+    assert [r for r in found if r[1] in ("", a)] == [(7, a), (None, ""), (None, "")] and len(found) == 4
+    assert [r[1] in (b, b + " end") for r in found].count(True) == 1
+
+
+def test_rows_that_share_an_id_are_judged_by_their_text(kept):
+    a, b, c = (" ".join(words(p, 80)) for p in "abc")
+    assert kept([a, b], [5, 5]) == [(5, a), (5, b)]
+    assert kept([a, a + " end", c], [2, 5, 5]) == [(2, a), (5, c)]
+    assert kept([a, a, a], [5, 5, 5]) == [(5, a)]

@@ -40,7 +40,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchpost.llm.batches import list_array, run_bounds, runs
@@ -72,8 +72,21 @@ def jaccard_components(
     Two rows link when ``100 * |A and B| >= percent * |A or B|`` for their sets of distinct
     shingles of ``width`` words (ASCII letters lower-cased, words split at white space).
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    docs = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    rows = _row_components(docs, id_col, text_col, width, percent)
+    return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(id_col, text_col)
+
+
+def _row_components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """``(doc_id, row_key, n, component, component_id)`` for every row of ``docs``.
+
+    ``component`` is the component's smallest node, and a row's own key where it has no shingles.
+    """
+    key = _row_key(id_col, text_col).alias("row_key")
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), key)
     levels = _frequency_levels(docs, width)
     sets = written(_sets(docs, width, percent, levels), "jaccard-sets")
     classes = written(_classes(sets), "jaccard-classes")
@@ -88,28 +101,54 @@ def jaccard_components(
 
     names = components(links).join(classes.select("node", "doc_id"), "node")
     least = names.groupBy("component").agg(F.min("doc_id").alias("least"))
-    named = names.join(least, "component").select("node", "least")
+    named = names.join(least, "component").select("node", "component", "least")
     of_class = classes.join(named, "node", "left").select(
-        "set_key", F.coalesce("least", "doc_id").alias("component_id")
+        "set_key",
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce("least", "doc_id").alias("component_id"),
     )
-    empty = sets.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    rows = sets.where("n > 0").join(of_class, "set_key").select("doc_id", "n", "component_id").unionByName(empty)
-    return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    columns = ["doc_id", "row_key", "n", "component", "component_id"]
+    empty = sets.where("n = 0").withColumns({"component": F.col("row_key"), "component_id": F.col("doc_id")})
+    return sets.where("n > 0").join(of_class, "set_key").select(*columns).unionByName(empty.select(*columns))
 
 
-def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    keep_unnamed: bool = True,
+) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with their columns.
 
-    Of rows that repeat that id, one stays; rows without an id all stay, as nothing tells them apart.
+    First is the row with the smallest id, of several the one with the smallest hash of id and text.
+    Rows are told apart by both, so of rows that repeat both one stays, and rows that share an id
+    are judged each by its own text.  Rows without an id all stay; without ``keep_unnamed`` they
+    are compared too, come last in their component, and only those without words all stay.
     """
-    named = docs.where(F.col(id_col).isNotNull())
-    classes = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
-    first = classes.where(F.col(id_col) == F.col("component_id"))
-    kept = written(first.groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("__rows")), "jaccard-kept")
-    rows = named.join(kept.hint("merge"), named[id_col] == kept["__id"])  # as many as documents stay
-    once = rows.where("__rows = 1").select(*docs.columns)
-    repeated = rows.where("__rows > 1").dropDuplicates(["__id"]).select(*docs.columns)
-    return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
+    rows = _row_components(docs, id_col, text_col, width, percent)
+    if keep_unnamed:
+        rows = rows.where("doc_id is not null")
+    counted = rows.groupBy("component", (F.col("n") == 0).alias("empty"), "doc_id", "row_key")
+    counted = counted.agg(F.count("*").alias("rows"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key", "rows")
+    first = counted.groupBy("component", "empty").agg(F.min(order).alias("first"))
+    kept = first.select(
+        F.col("first.row_key").alias("__key"),
+        F.col("first.doc_id").alias("__id"),
+        ((F.col("first.rows") > 1) & ~(F.col("empty") & F.col("first.unnamed"))).alias("__repeated"),
+    )
+    kept = written(kept, "jaccard-kept")
+    judged = docs.where(F.col(id_col).isNotNull()) if keep_unnamed else docs
+    same = (_row_key(id_col, text_col) == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    found = judged.join(kept.hint("merge"), same)  # as many as documents stay
+    once = found.where("not __repeated").select(*docs.columns)
+    # Grouped by what isn't the join's key, so that copies are merged before they are sent.
+    repeated = found.where("__repeated").withColumn("__key", F.bitwise_not("__key"))
+    stay = once.unionByName(repeated.dropDuplicates(["__key", "__id"]).select(*docs.columns))
+    return stay.unionByName(docs.where(F.col(id_col).isNull())) if keep_unnamed else stay
 
 
 # --- sets -----------------------------------------------------------------------------
