@@ -57,40 +57,50 @@ PLACEHOLDER = re.compile(
     r"(?i)^(?:x+|\*+|\.+|-+|_+|change.?me.*|.*example.*|.*placeholder.*|your[-_ ].*|<.*>|test|none|null|nil|true|false|"
     r"undefined|todo|dummy|redacted|secret|password|passwd|token)$"
 )
+NO_VALUE = ("${", "$(", "{{", "/", "./", "http")  # how references, paths and addresses begin
+OPENING, MARKED = re.compile(r"(?i)change.?me|your[-_ ]"), re.compile(r"(?i)example|placeholder")  # of long placeholders
 
 MIN_SCORE = 0.45
 MIN_LITERAL = 6
-OPERANDS = 32  # that one right side joins; further ones belong to no name
-
-# Quantifiers are possessive, and names and bare words bounded, so that no text takes more than
-# linear time.
-PART = r"[A-Za-z_$][\w$]{0,80}+"
-NAME = rf"{PART}(?:(?:\.|->|::|-){PART}|\[['\"]?\w{{1,80}}+['\"]?\]){{0,8}}+"
+SHORT = 64  # characters up to which a literal is always judged by itself
+
+# Nothing is bounded.  So that no text takes more than linear time, quantifiers are possessive, a
+# name of several parts is passed over whole if no operator follows, and what several right sides
+# have in common, the end of a bare word and the operands behind it, is read once.
+PART = r"[A-Za-z_$][\w$]*+"
+CHAIN = rf"(?:(?:\.|->|::|-){PART}|\[['\"]?\w++['\"]?\])"
+NAME = rf"{PART}{CHAIN}*+"
+OPERATOR = r":=|=>|={1,3}+|:"
 LITERAL = r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|`[^`\\\n]*+`"
-OPERAND = re.compile(rf"\$\{{(?P<ref>\w+)\}}|(?P<quoted>{LITERAL})|(?P<bare>[^\s\"'`,;(){{}}\[\]<>#]{{1,512}}+)", re.A)
+OPERAND = re.compile(rf"\$\{{(?P<ref>\w+)\}}|(?P<quoted>{LITERAL})|(?P<bare>[^\s\"'`,;(){{}}\[\]<>#]++)", re.A)
 PAIR = re.compile(
-    rf"(?<![\w$])(?:[\"'](?P<quoted>[^\"'\n]{{1,80}}+)[\"']|(?P<name>{NAME}))[ \t]*+(?P<operator>:=|=>|={{1,3}}+|:)", re.A
+    rf"(?<![\w$])(?:[\"'](?P<quoted>[^\"'\n]++)[\"'][ \t]*+(?P<after>{OPERATOR})"
+    rf"|(?P<name>{PART}(?P<chain>{CHAIN}++)?+)(?:[ \t]*+(?P<operator>{OPERATOR})|(?(chain)|(?!))))",
+    re.A,
 )
-ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.:-]*)>(?P<text>[^<>\n]{1,400})</(?P=name)>", re.A)
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.:-]*+)>(?P<text>[^<>\n]++)</(?P=name)>", re.A)
 OPTION = re.compile(r"(?<!\S)--?(?P<name>[A-Za-z][\w-]*)[ \t]+(?P<text>[^\s\"'`-][^\s\"'`]*)", re.A)
-JOIN = re.compile(r"[ \t]*[+.][ \t]*")
-NAME_ONLY = re.compile(rf"{NAME}\Z", re.A)
+JOIN = re.compile(r"[ \t]*+[+.][ \t]*+")
+NAME_ONLY = re.compile(NAME, re.A)
 
 
 @dataclass(frozen=True)
-class Literal:
+class Operand:
+    """A literal or another name on a right side, or a bare word that may be either."""
+
     start: int
     end: int
-    text: str
+    literal: bool
+    name: str | None
+    next: int | None  # where the operand that is joined to it begins
 
 
 @dataclass(frozen=True)
 class Binding:
-    """What an assignment gives to a name: literals, and other names."""
+    """A name, and where the operands that an assignment gives to it begin."""
 
     name: str
-    literals: tuple[Literal, ...]
-    names: tuple[str, ...]
+    first: int
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -105,52 +115,71 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def bindings(text: str) -> list[Binding]:
-    """The name-literal pairs of a text, in its order."""
-    found = []
+def bindings(text: str) -> tuple[list[Binding], dict[int, Operand]]:
+    """The names of a text that something is assigned to, and all operands by their beginnings."""
+    found: list[Binding] = []
+    operands: dict[int, Operand] = {}
+    joined: dict[int, int | None] = {}
+    last = (0, 0, 0)
     for pair in PAIR.finditer(text) if "=" in text or ":" in text else ():
-        if pair["operator"] in ("==", "===") or text[pair.end() : pair.end() + 2] == "//":
-            continue  # a comparison, or the scheme of an address
-        binding = _right_side(text, pair.end(), pair["name"] or pair["quoted"])
-        if binding:
-            found.append((pair.start(), binding))
+        operator = pair["operator"] or pair["after"]
+        if operator in (None, "==", "===") or text[pair.end() : pair.end() + 2] == "//":
+            continue  # a name alone, a comparison, or the scheme of an address
+        at = pair.end()
+        while text[at : at + 1] in (" ", "\t"):
+            at += 1
+        last = _right_side(text, at, operands, joined, last)
+        if at in operands:
+            found.append(Binding(pair["name"] or pair["quoted"], at))
     patterns = [ELEMENT] if "</" in text else []
     patterns += [OPTION] if " -" in text or "\n-" in text or text[:1] == "-" else []
     for pattern in patterns:
         for m in pattern.finditer(text):
-            literal = Literal(m.start("text"), m.end("text"), m["text"])
-            found.append((m.start(), Binding(m["name"], (literal,), ())))
-    return [b for _, b in sorted(found, key=lambda x: x[0])]
-
-
-def _right_side(text: str, at: int, name: str) -> Binding | None:
-    """Operands joined by ``+`` or ``.`` up to the end of the line."""
-    while text[at : at + 1] in (" ", "\t"):
-        at += 1
-    literals, names = [], []
-    for _ in range(OPERANDS):
-        operand = OPERAND.match(text, at)
-        if not operand:
+            # Numbers below zero, as an operand of a pair may begin at the same place.
+            operands[-1 - m.start("text")] = Operand(m.start("text"), m.end("text"), True, None, None)
+            found.append(Binding(m["name"], -1 - m.start("text")))
+    return found, operands
+
+
+def _right_side(text: str, at: int, operands: dict[int, Operand], joined: dict, last: tuple[int, int, int]) -> tuple[int, int, int]:
+    """Adds the operands from ``at`` on that are joined by ``+`` or ``.`` up to the end of the line.
+
+    ``last`` is the last bare word found: beginning, end, and end without what may close a line;
+    ``joined`` says for an end of an operand where the next one begins.
+    """
+    chain: list[tuple[int, int, int, bool, str | None, int | None]] = []
+    while at not in operands:
+        if last[0] <= at < last[1]:  # within a word that is known: it ends where that ends
+            kind, end = "bare", last[1]
+        elif operand := OPERAND.match(text, at):
+            kind, end = operand.lastgroup, operand.end()
+            if kind == "bare":
+                last = (at, end, at + len(operand["bare"].rstrip(".:+")))
+        else:
             break
-        at = operand.end()
-        if operand["ref"]:
-            names.append(operand["ref"])
-        elif operand["quoted"]:
-            start, end = operand.start() + 1, operand.end() - 1
-            literals.append(Literal(start, end, text[start:end]))
-        elif text[at : at + 1] == "(":  # a call
+        start, stop, literal, name = at, end, kind != "ref", None
+        if kind == "ref":
+            name = operand["ref"]
+        elif kind == "quoted":
+            start, stop = at + 1, end - 1
+        elif text[end : end + 1] == "(":  # a call
             break
         else:
-            word = operand["bare"].rstrip(".:+")
-            if NAME_ONLY.match(word):
-                names.append(word)
-            if word:  # a bare word may be a name or, in configuration files, the value itself
-                literals.append(Literal(operand.start(), operand.start() + len(word), word))
-        join = JOIN.match(text, at)
-        if not join:
+            stop = max(at, last[2])
+            if (word := NAME_ONLY.match(text, at, stop)) and word.end() == stop:
+                name = word[0]
+            literal = stop > at  # a bare word may be a name or, in configuration files, the value itself
+        if end not in joined:
+            join = JOIN.match(text, end)
+            joined[end] = join.end() if join else None
+        chain.append((at, start, stop, literal, name, joined[end]))
+        if joined[end] is None:
             break
-        at = join.end()
-    return Binding(name, tuple(literals), tuple(names)) if literals or names else None
+        at = joined[end]
+    for begin, start, stop, literal, name, next_ in reversed(chain):
+        if literal or name or next_ in operands:  # else nothing is given from here on
+            operands[begin] = Operand(start, stop, literal, name, next_)
+    return last
 
 
 def sensitivity(name: str) -> float:
@@ -168,7 +197,7 @@ def sensitivity(name: str) -> float:
 
 def likeness(literal: str) -> float:
     """How much a literal looks like a secret, from 0 to 1."""
-    if len(literal) < MIN_LITERAL or PLACEHOLDER.match(literal) or literal.startswith(("${", "$(", "{{", "/", "./", "http")):
+    if len(literal) < MIN_LITERAL or PLACEHOLDER.match(literal) or literal.startswith(NO_VALUE):
         return 0.0
     if re.search(r"\s", literal):  # a phrase
         return 0.3 if len(literal) < 40 else 0.0
@@ -182,37 +211,90 @@ def likeness(literal: str) -> float:
     return min(1.0, 0.25 * min(entropy, 3.0) + 0.1 * classes)
 
 
-def literal_scores(found: Sequence[Binding]) -> dict[Literal, float]:
-    """The score of each literal by the best name that it reaches.
+def likenesses(text: str, starts: Sequence[int], end: int) -> list[float]:
+    """``likeness`` of the literals from each of ``starts``, in ascending order, to ``end``.
 
-    Names pass their sensitivity on to the names that they are assigned from, until nothing changes.
+    Right sides within one word have their end in common; characters are counted from there, so
+    that a word of many assignments is read once.
+    """
+    if len(starts) == 1:
+        return [likeness(text[starts[0] : end])]
+    found = []
+    counts: Counter[str] = Counter()
+    at, weighted, different = end, 0.0, 0
+    marked = max((m.start() for m in MARKED.finditer(text, starts[0], end)), default=-1)
+    for start in reversed(starts):
+        for c in reversed(text[start:at]):
+            n = counts[c]
+            weighted += (n + 1) * log2(n + 1) - (n * log2(n) if n else 0.0)
+            counts[c] = n + 1
+        at, size = start, end - start
+        if different != len(counts):
+            different, kinds = len(counts), "".join(counts)
+            alone = re.fullmatch(r"(?i)x+|\*|\.|-|_", kinds)
+            phrase, number = re.search(r"\s", kinds), re.fullmatch(r"[\d.,:-]+", kinds)
+            plain = re.fullmatch(r"[A-Za-z_.-]+", kinds)
+            classes = sum(bool(re.search(c, kinds)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        if size <= SHORT:
+            found.append(likeness(text[start:end]))
+        elif alone or marked >= start or OPENING.match(text, start) or text.startswith(NO_VALUE, start):
+            found.append(0.0)
+        elif text[start] == "<" and text[end - 1] == ">" or phrase:
+            found.append(0.0)
+        elif plain or number:
+            found.append(0.2 if plain else 0.3)
+        else:
+            entropy = log2(size) - weighted / size
+            found.append(min(1.0, 0.25 * min(entropy, 3.0) + 0.1 * classes))
+    return found[::-1]
+
+
+def literal_scores(text: str, found: Sequence[Binding], operands: dict[int, Operand]) -> dict[tuple[int, int], float]:
+    """The scores of the literals, by start and end, that may reach ``MIN_SCORE``, by the best name that each reaches.
+
+    Names pass their sensitivity on to the operands and names that they are assigned from, until
+    nothing changes.
     """
     own = {b.name: sensitivity(b.name) for b in found}
-    sources: dict[str, set[str]] = {}  # names that are assigned to a name
+    firsts: dict[str, list[int]] = {}
     for binding in found:
-        sources.setdefault(binding.name, set()).update(n for n in binding.names if n in own)
-    best: dict[str, float] = {}
+        firsts.setdefault(binding.name, []).append(binding.first)
+    best: dict[str | int, float] = {}  # of names, and of operands by their beginnings
     for name in sorted(own, key=lambda n: -own[n]):  # the first to reach a name is the most sensitive
-        stack = [name]
+        stack: list[str | int] = [name]
         while stack:
             at = stack.pop()
-            if at not in best:
-                best[at] = own[name]
-                stack += sources[at]
-    scores: dict[Literal, float] = {}
-    for binding in found:
-        for literal in binding.literals:
-            if literal.text not in sources[binding.name]:  # a bare word that is bound elsewhere is a name
-                scores[literal] = max(scores.get(literal, 0.0), best[binding.name] * likeness(literal.text))
-    return scores
+            if at in best:
+                continue
+            best[at] = own[name]
+            if isinstance(at, str):
+                stack += firsts[at]
+            else:
+                stack += [operands[at].next] if operands[at].next in operands else []
+                stack += [operands[at].name] if operands[at].name in own else []
+    reached: dict[tuple[int, int], float] = {}
+    for at, operand in operands.items():
+        score = best.get(at, 0.0)
+        # A bare word that is bound elsewhere is a name.
+        if operand.literal and score >= MIN_SCORE and operand.name not in own:
+            span = (operand.start, operand.end)
+            reached[span] = max(reached.get(span, 0.0), score)
+    starts: dict[int, list[int]] = {}
+    for start, end in sorted(reached):
+        starts.setdefault(end, []).append(start)
+    return {
+        (start, end): reached[start, end] * like
+        for end, group in starts.items()
+        for start, like in zip(group, likenesses(text, group, end))
+    }
 
 
 def secret_spans(text: str | None) -> list[tuple[int, int, int, float]]:
     """``(start, kind, end, score)`` of the base patterns and of the lexer's literals, in order."""
     text = text or ""
     spans = [(start, kind, end, 1.0) for start, kind, end in base_spans(text)]
-    scores = literal_scores(bindings(text))
-    spans += [(x.start, 3, x.end, score) for x, score in scores.items() if score >= MIN_SCORE]
+    scores = literal_scores(text, *bindings(text))
+    spans += [(start, 3, end, score) for (start, end), score in scores.items() if score >= MIN_SCORE]
     return sorted(spans)
 
 
