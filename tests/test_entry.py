@@ -1,0 +1,25 @@
+"""The driver's contract where the subpackage for training data is absent."""
+
+from __future__ import annotations
+
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+REPO = Path(__file__).resolve().parent.parent
+
+
+@pytest.mark.parametrize("with_pipeline", [True, False])
+def test_entry_imports_without_the_subpackage(tmp_path, with_pipeline):
+    left_out = shutil.ignore_patterns(".git", "llm", "tests", "__pycache__", *[] if with_pipeline else ["corpus_pipeline.py"])
+    copy = shutil.copytree(REPO, tmp_path / "copy", ignore=left_out)
+    listed = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"],
+        cwd=copy, capture_output=True, text=True, check=True, timeout=120,
+    )
+    queries, statements = (set(line.split()) for line in listed.stdout.splitlines())
+    assert len(queries) >= 84 and "dim_tower" in queries and statements == queries
+    assert not any(name.startswith("op") and name[2:3].isdigit() or name == "pipeline" for name in queries)
