@@ -25,4 +25,4 @@ def test_queries_are_registered():
     import __spark_entry__
 
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -40,6 +40,29 @@ def _covered(width: int) -> str:
       where found > 1"""
 
 
+
+def _rounds_of_centroids(rounds: int = 10) -> str:
+    """``c0`` has the first centroids, ``c{rounds}`` the last; each row (c, v)."""
+    distance = "list_sum([(a.v[i] - {c}.v[i]) * (a.v[i] - {c}.v[i]) for i in range(1, 65)])::bigint"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (
+  select a.n, a.vec_id, a.v, min(struct_pack(d := {distance.format(c=f"c{r}")}, c := c{r}.c)) as best
+  from vectors a, c{r} group by all
+)""")
+        if r < rounds:
+            # The remainder of a negative number is negative; taken twice it floors the quotient.
+            steps.append(f"""m{r} as (
+  select best.c as c, generate_subscripts(v, 1) as i, unnest(v) as x from a{r}
+), c{r + 1} as materialized (
+  select c{r}.c, coalesce(any_value(t.v), any_value(c{r}.v)) as v from c{r} left join (
+    select c, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as v
+    from (select c, i, sum(x)::bigint as s, count(*) as n from m{r} group by c, i) group by c
+  ) t on t.c = c{r}.c group by c{r}.c
+)""")
+    return ",\n".join(steps)
+
+
 ORACLE_SQL = {
     "op1_line_dedup": f"""
 with lined as (
@@ -201,5 +224,19 @@ reached(doc_id, root) as (
 )
 select doc_id, any_value(len(s)) as n_shingles, min(root) as component_id
 from reached join sets using (doc_id) group by doc_id
+""",
+    "op13_centroid_clustering": f"""
+with vectors as materialized (
+  select row_number() over () as n, vec_id, [floor(1024 * x::double)::bigint for x in embedding] as v
+  from embeddings
+  where len(embedding) = 64 and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), c0 as materialized (
+  select (row_number() over (order by h nulls last, v) - 1)::int as c, v
+  from (select sha256('3:' || vec_id) as h, v from vectors order by h nulls last, v limit 8)
+), {_rounds_of_centroids()},
+sums as (select best.c as c, sum(best.d)::bigint as s from a10 group by 1)
+select vec_id, best.c as cluster, best.d as distance, sums.s as cluster_inertia,
+  (select sum(s)::bigint from sums) as inertia, sha256(array_to_string(c10.v, ',')) as centroid_sha256
+from a10 join sums on sums.c = best.c join c10 on c10.c = best.c
 """,
 }

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from watchpost.llm.centroids import cluster_vectors, with_inertia
 from watchpost.llm.decontaminate import match_benchmark
 from watchpost.llm.jaccard_join import jaccard_components
 from watchpost.llm.line_dedup import drop_boilerplate_lines
@@ -118,6 +121,13 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clusters, centroids = cluster_vectors(_table(spark, sf_dir, "embeddings"))
+    digests = [hashlib.sha256(",".join(map(str, row)).encode()).hexdigest() for row in centroids.tolist()]
+    digest = F.element_at(F.array(*map(F.lit, digests or [""])), F.col("cluster") + 1)
+    return with_inertia(clusters).withColumn("centroid_sha256", digest)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_warc_roundtrip": op2_warc_roundtrip,
@@ -129,4 +139,5 @@ QUERIES = {
     "op8_repetition_rules": op8_repetition_rules,
     "op9_slot_sharding": op9_slot_sharding,
     "op10_licence_scan": op10_licence_scan,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
