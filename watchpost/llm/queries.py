@@ -18,6 +18,7 @@ from watchpost.llm.repetition import MAX_COVERAGE, base_failed, measure_repetiti
 from watchpost.llm.secrets import scan_secrets
 from watchpost.llm.sharding import balanced_map, digests, numbered
 from watchpost.llm.storage import written
+from watchpost.llm.token_alignment import align_tokens
 from watchpost.llm.warc import read_archives, write_archives
 
 
@@ -121,6 +122,11 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokens(_table(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     clusters, centroids = cluster_vectors(_table(spark, sf_dir, "embeddings"))
     digests = [hashlib.sha256(",".join(map(str, row)).encode()).hexdigest() for row in centroids.tolist()]
@@ -139,5 +145,6 @@ QUERIES = {
     "op8_repetition_rules": op8_repetition_rules,
     "op9_slot_sharding": op9_slot_sharding,
     "op10_licence_scan": op10_licence_scan,
+    "op12_token_alignment": op12_token_alignment,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
