@@ -14,6 +14,7 @@ from watchpost.llm.line_dedup import drop_boilerplate_lines
 from watchpost.llm.licences import scan_licences
 from watchpost.llm.mixing import n_words, source_targets, with_copies
 from watchpost.llm.quote_links import link_quotations
+from watchpost.llm.recurrent_lm import score_documents
 from watchpost.llm.repetition import MAX_COVERAGE, base_failed, measure_repetition, too_repetitive
 from watchpost.llm.secrets import scan_secrets
 from watchpost.llm.sharding import balanced_map, digests, numbered
@@ -122,6 +123,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align_tokens(_table(spark, sf_dir, "documents"), digest=True)
     return aligned.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
@@ -145,6 +150,7 @@ QUERIES = {
     "op8_repetition_rules": op8_repetition_rules,
     "op9_slot_sharding": op9_slot_sharding,
     "op10_licence_scan": op10_licence_scan,
+    "op11_recurrent_scores": op11_recurrent_scores,
     "op12_token_alignment": op12_token_alignment,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
