@@ -91,8 +91,9 @@ MODELS: dict[str, str] = {
     "fct_inventory_status": """
         select part_number, description, category, on_hand, in_transit, allocated, available,
           reorder_point, ifnull(available < reorder_point, false) as needs_reorder,
+          -- fixed values: stock levels
           case when available <= 0 then 'critical' when available < reorder_point then 'reorder'
-            when available * 2 < reorder_point * 3 then 'watch' else 'healthy' end as stock_status,
+            when available < reorder_point * 1.5 then 'watch' else 'healthy' end as stock_status,
           lead_time_days, last_updated
         from (select *, on_hand - allocated as available from stg_inventory)
     """,
@@ -100,9 +101,10 @@ MODELS: dict[str, str] = {
         select e.detection_id, e.tower_id, d.site_id, d.site_name, d.region, d.model as tower_model,
           e.detected_at, cast(e.detected_at as date) as detection_date,
           hour(e.detected_at) as hour_of_day,
-          case when hour(e.detected_at) in (5, 6, 7) then 'dawn'
-            when hour(e.detected_at) in (18, 19, 20) then 'dusk'
-            when hour(e.detected_at) > 7 and hour(e.detected_at) < 18 then 'day'
+          -- fixed values: parts of the day
+          case when hour(e.detected_at) between 5 and 7 then 'dawn'
+            when hour(e.detected_at) between 8 and 17 then 'day'
+            when hour(e.detected_at) between 18 and 20 then 'dusk'
             else 'night' end as time_of_day,
           e.target_class, e.confidence_score, e.bearing_deg, e.range_m,
           e.auto_resolved, e.escalated_to_operator, e.false_positive
@@ -188,10 +190,11 @@ def _header(site: str | None) -> str:
     cutoff = f"{NOW} - interval 7 day"
     return f"""
         select n.*,
+          -- fixed value: a change below 0.05 is not shown
           case when abs(uptime_7d - uptime_prev_7d) >= 0.05e0 then uptime_7d - uptime_prev_7d end as uptime_delta,
-          case when failed_components_30d <> failed_components_prev_30d
+          case when abs(failed_components_30d - failed_components_prev_30d) >= 0.05e0
             then (failed_components_30d - failed_components_prev_30d)::double end as failures_delta,
-          case when open_incidents <> inc_open_7d_ago
+          case when abs(open_incidents - inc_open_7d_ago) >= 0.05e0
             then (open_incidents - inc_open_7d_ago)::double end as incidents_delta
         from (
           select
@@ -336,12 +339,14 @@ _STATEMENTS: dict[str, str] = {
     "materialize_roundtrip": _union([_counted(name) for name in MODEL_NAMES]),
     "rule_auto_resolve": """
         select detection_id, target_class, confidence_score,
-          target_class in ('human', 'vehicle', 'UAS') and not confidence_score < 0.85e0 as auto_resolved,
-          target_class = 'unknown' or confidence_score < 0.85e0 as escalated_to_operator
+          -- fixed values: threshold, and the class that is never resolved
+          confidence_score >= 0.85e0 and target_class <> 'unknown' as auto_resolved,
+          not (confidence_score >= 0.85e0 and target_class <> 'unknown') as escalated_to_operator
         from stg_detections
     """,
     "rule_overnight": """
-        select detection_id, detection_ts, hour(detection_ts) not between 6 and 21 as is_overnight
+        -- fixed values: the night shift
+        select detection_id, detection_ts, hour(detection_ts) >= 22 or hour(detection_ts) < 6 as is_overnight
         from stg_alert_pipeline
     """,
     "escalation_queue": """
@@ -401,7 +406,7 @@ _STATEMENTS: dict[str, str] = {
     "kpi_backlog_7d_ago": f"""
         select count(*) as inc_open_7d_ago from known_incidents
         where opened_at <= {NOW} - interval 7 day
-          and ifnull(closed_at, timestamp '9999-01-01') > {NOW} - interval 7 day
+          and (closed_at is null or closed_at > {NOW} - interval 7 day)
     """,
     "kpi_header": _header(None),
     "site_status": "select * from status_by_site order by tower_count desc, site_id",
