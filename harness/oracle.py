@@ -142,6 +142,24 @@ MODELS: dict[str, str] = {
           count(*) as installed, count(*) filter (is_failed) as failed
         from fct_component_reliability group by 1
     """,
+    # Product-limit survival: units at risk by a running sum, survival by a running product.
+    "survival_curve": """
+        select component_type, age_hours, at_risk, failures, left_working,
+          case when ended then 0.0::double else round(exp(sum(step) over earlier), 9) end as survival
+        from (select *, failures = at_risk as ended,
+            case when failures <> at_risk then ln((at_risk - failures)::double / at_risk) end as step
+          from (select *, (sum(failures + left_working) over
+              (partition by component_type order by age_hours desc rows unbounded preceding))::bigint as at_risk
+            from (select component_type, observed_hours as age_hours,
+                count(*) filter (ifnull(is_failed, false)) as failures,
+                count(*) filter (not ifnull(is_failed, false)) as left_working
+              from fct_component_reliability where observed_hours is not null group by 1, 2)))
+        window earlier as (partition by component_type order by age_hours rows unbounded preceding)
+    """,
+    "life_ratios": f"""
+        select component_type, round({_mean('actual_vs_target_ratio')}, 3) as life_ratio
+        from fct_component_reliability where is_failed group by 1
+    """,
     "uptime_by_day": f"""
         select health_date, {_mean('comms_uptime_pct')} as uptime_pct,
           {_mean('avg_sensor_health')} as sensor_health
@@ -496,6 +514,40 @@ _STATEMENTS: dict[str, str] = {
         select root_cause, category, count(*) as incidents from known_incidents group by 1, 2
         order by incidents desc, root_cause, category limit 10
     """,
+    "component_survival": "select * from survival_curve",
+    "remaining_life": """
+        select c.component_type, c.age_hours, c.at_risk, c.failures, c.left_working, c.survival,
+          case when survival > 0 then (select min(h.age_hours) from survival_curve h
+            where h.component_type is not distinct from c.component_type and h.failures > 0
+              and h.survival <= c.survival / 2 + 5e-10) - c.age_hours end as median_remaining_hours,
+          case when survival > 0 then round(area / survival, 1) end as expected_remaining_hours
+        from (select *, sum(survival * (next_age - age_hours)) over
+            (partition by component_type order by age_hours desc rows unbounded preceding) as area
+          from (select *, lead(age_hours, 1, age_hours) over
+              (partition by component_type order by age_hours) as next_age
+            from survival_curve)) c
+    """,
+    "replacement_queue": f"""
+        select component_id, tower_id, component_type, part_number, expected_failure, queue_place,
+          case when queue_place <= stock then 'covered'
+            when queue_place <= stock + coming and arrival <= cast(expected_failure as date) then 'covered'
+            when queue_place <= stock + coming then 'late' else 'short' end as supply,
+          case when queue_place > stock and queue_place <= stock + coming then arrival end as arrives_on
+        from (
+          select u.*, greatest(ifnull(i.available, 0), 0) as stock,
+            case when i.lead_time_days is null then 0 else greatest(ifnull(i.in_transit, 0), 0) end as coming,
+            {TODAY} + i.lead_time_days::int as arrival,
+            row_number() over (partition by u.part_number order by expected_failure, component_id) as queue_place
+          from (
+            select c.component_id, c.tower_id, c.component_type, c.part_number,
+              installed_at + to_hours(floor(mtbf_target_hours * ifnull(life_ratio, 1.0::double))::int)
+                as expected_failure
+            from fct_component_reliability c
+            left join life_ratios r on r.component_type is not distinct from c.component_type
+            where not ifnull(is_failed, false) and installed_at is not null) u
+          left join fct_inventory_status i on i.part_number = u.part_number
+          where expected_failure <= {NOW} + interval 90 day)
+    """,
     "source_freshness": f"""
         select source, last_ts, date_diff('minute', last_ts, {NOW}) as age_minutes from (
           {_freshness({'telemetry': 'ts', 'incidents': 'opened_at', 'deployments': 'start_ts',

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from harness.mapping import AS_OF, raw_tables, run_logs
 from harness.scratch import scratch_folder
 from watchpost.functions.clock import AsOf
-from watchpost.operators import detection, header, health, operations, quality, reliability, rules
+from watchpost.operators import detection, header, health, lifecycle, operations, quality, reliability, rules
 from watchpost.plans.rebuild import materialize_star
 from watchpost.plans.star import MODEL_NAMES, StarSchema
 from watchpost.sources.run_log import parse_run_log, read_run_log
@@ -96,6 +96,8 @@ SITE_FILTERED: dict[str, tuple[Callable[..., DataFrame], tuple]] = {
     "uptime_trend": (reliability.uptime_trend, ()),
     "incidents_by_category": (reliability.incidents_by_category, (MOMENT,)),
     "top_root_causes": (reliability.top_root_causes, ()),
+    "remaining_life": (lifecycle.remaining_life, ()),
+    "replacement_queue": (lifecycle.replacement_queue, (MOMENT,)),
 }
 # Also asked for a site that has no tower, where they must not fail.
 AT_EMPTY_SITE = ("det_kpi", "latency_by_stage", "site_status_density", "tower_detection_summary")
@@ -144,6 +146,10 @@ QUERIES: dict[str, Query] = {
     "uptime_long": _on_star(reliability.uptime_long),
     "incidents_by_category": _on_star(reliability.incidents_by_category, MOMENT),
     "top_root_causes": _on_star(reliability.top_root_causes),
+    # component lifecycle
+    "component_survival": _on_star(lifecycle.component_survival),
+    "remaining_life": _on_star(lifecycle.remaining_life),
+    "replacement_queue": _on_star(lifecycle.replacement_queue, MOMENT),
     # pipeline health
     "source_freshness": _on_star(health.source_freshness, MOMENT),
     "freshness_status": _on_star(health.freshness_status, MOMENT),
