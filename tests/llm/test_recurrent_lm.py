@@ -138,7 +138,7 @@ def plain_score(net, texts, first_input):
             candidate = np.tanh(x[2 * hidden :] + r * u[2 * hidden :])
             state = candidate + z * (state - candidate)
             c = net.class_of[s]
-            p = softmax(state @ w["classes"] + w["class_bias"])[c]
+            p = softmax(w["classes"] @ state + w["class_bias"])[c]
             if c < len(net.edges) - 1:
                 low, high = net.edges[c], net.edges[c + 1]
                 p *= softmax(w["symbols"][low:high] @ state + w["symbol_bias"][low:high])[s - low]

@@ -45,7 +45,7 @@ class Network:
         weights = {
             "inputs": draw.normal(0, 0.1, (n + 1, 3 * hidden)),
             "states": draw.normal(0, hidden**-0.5, (hidden, 3 * hidden)),
-            "classes": np.zeros((hidden, len(edges))),
+            "classes": np.zeros((len(edges), hidden)),
             "class_bias": np.log(mass / mass.sum()),
             "symbols": np.zeros((n, hidden)),
             "symbol_bias": np.log(counts + 0.1),
@@ -73,30 +73,41 @@ class Network:
         return Network(self.edges, weights)
 
     # One step of all lanes: reset and update gates, candidate, new state.
-    def step(self, state: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
-        hidden = self.hidden
-        inputs, carried = self.weights["inputs"][symbols], state @ self.weights["states"]
+    def step(self, state: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``inputs``: the symbols' rows of the input weights."""
+        hidden, carried = self.hidden, state @ self.weights["states"]
         gates = _sigmoid(inputs[:, : 2 * hidden] + carried[:, : 2 * hidden])
         reset, update = gates[:, :hidden], gates[:, hidden:]
         own = carried[:, 2 * hidden :]
-        candidate = 2 * _sigmoid(2 * (inputs[:, 2 * hidden :] + reset * own)) - 1
-        return candidate + update * (state - candidate), reset, update, candidate, own
+        candidate = reset * own
+        candidate += inputs[:, 2 * hidden :]
+        candidate *= 2
+        _sigmoid(candidate)
+        candidate *= 2
+        candidate -= 1
+        new = state - candidate
+        new *= update
+        new += candidate
+        return new, reset, update, candidate, own
 
     def log_probability(self, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None):
         """Natural logarithm of each target's probability; with ``gradients``, also adds the loss's
-        gradients by weights to them and returns those by states (of the mean over targets)."""
-        w, edges = self.weights, self.edges
-        own = self.class_of[targets]
-        rows = np.arange(len(targets))
-        scores = states @ w["classes"] + w["class_bias"]
-        log_p, p = _softmax(scores, rows, own)
-        if gradients is not None:
+        gradients by weights to them and returns those by states (of the mean over targets).
+
+        Scores have a column for each target, so that sums over classes run along memory.
+        """
+        w, edges, learn = self.weights, self.edges, gradients is not None
+        own = self.class_of[targets].astype(np.int16)
+        scores = w["classes"] @ states.T
+        scores += w["class_bias"][:, None]
+        log_p, p = _softmax(scores, own, learn)
+        if learn:
             scale = np.float32(1 / len(targets))
-            p[rows, own] -= 1
+            p[own, np.arange(len(targets))] -= 1
             p *= scale
-            gradients["classes"] += states.T @ p
-            gradients["class_bias"] += p.sum(axis=0)
-            by_state = p @ w["classes"].T
+            gradients["classes"] += p @ states
+            gradients["class_bias"] += p.sum(axis=1)
+            by_state = p.T @ w["classes"]
         order = np.argsort(own, kind="stable")
         sorted_states, sorted_targets = states[order], targets[order]
         bounds = np.searchsorted(own[order], np.arange(len(edges)))
@@ -106,16 +117,17 @@ class Network:
                 continue
             inside, mine = sorted_targets[at] - low, sorted_states[at]
             weights = w["symbols"][low:high]
-            scores = mine @ weights.T + w["symbol_bias"][low:high]
-            in_class, p = _softmax(scores, np.arange(len(inside)), inside)
+            scores = weights @ mine.T
+            scores += w["symbol_bias"][low:high, None]
+            in_class, p = _softmax(scores, inside, learn)
             log_p[order[at]] += in_class
-            if gradients is not None:
-                p[np.arange(len(inside)), inside] -= 1
+            if learn:
+                p[inside, np.arange(len(inside))] -= 1
                 p *= scale
-                gradients["symbols"][low:high] += p.T @ mine
-                gradients["symbol_bias"][low:high] += p.sum(axis=0)
-                by_state[order[at]] += p @ weights
-        return log_p if gradients is None else (log_p, by_state)
+                gradients["symbols"][low:high] += p @ mine
+                gradients["symbol_bias"][low:high] += p.sum(axis=1)
+                by_state[order[at]] += p.T @ weights
+        return (log_p, by_state) if learn else log_p
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -125,13 +137,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _softmax(scores: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logarithm at the targets, and all probabilities."""
-    scores -= scores.max(axis=1, keepdims=True)
-    at = scores[rows, targets]
+def _softmax(scores: np.ndarray, targets: np.ndarray, all_of_them: bool) -> tuple[np.ndarray, np.ndarray]:
+    """By column: logarithm at the target and, if wanted, all probabilities."""
+    scores -= scores.max(axis=0)
+    at = scores[targets, np.arange(len(targets))]
     p = np.exp(scores, out=scores)
-    total = p.sum(axis=1)
-    p /= total[:, None]
+    total = p.sum(axis=0)
+    if all_of_them:
+        p /= total
     return at - np.log(total), p
 
 
@@ -182,7 +195,7 @@ def score(network: Network, symbols: np.ndarray, begin: np.ndarray, length: np.n
                 state = state[: inputs.shape[1]]
                 states = np.empty((*inputs.shape, network.hidden), np.float32)
                 for t, now in enumerate(inputs):
-                    state = network.step(state, now)[0]
+                    state = network.step(state, network.weights["inputs"][now])[0]
                     states[t] = state
                 inside = places >= 0
                 out[places[inside]] = network.log_probability(states[inside], targets[inside])
@@ -206,33 +219,38 @@ class Trainer:
 
     def _window(self, state: np.ndarray, inputs: np.ndarray, targets: np.ndarray, inside: np.ndarray) -> np.ndarray:
         network, hidden = self.network, self.network.hidden
-        before, parts = [], []
-        for now in inputs:
-            before.append(state)
-            state, *more = network.step(state, now)
-            parts.append(more)
-        states = np.stack([*before[1:], state])
+        given = network.weights["inputs"][inputs]
+        shape = (*inputs.shape, hidden)
+        before, reset, update, candidate, own = (np.empty(shape, np.float32) for _ in range(5))
+        states = np.empty(shape, np.float32)
+        for t in range(len(inputs)):
+            before[t] = state
+            state, reset[t], update[t], candidate[t], own[t] = network.step(state, given[t])
+            states[t] = state
         gradients = {k: np.zeros_like(w) for k, w in network.weights.items()}
         _, by_output = network.log_probability(states[inside], targets[inside], gradients)
         by_state = np.zeros_like(states)
         by_state[inside] = by_output
 
+        # What a change of the new state means for the candidate, and of both for the gates.
+        to_candidate = (1 - update) * (1 - candidate * candidate)
+        to_reset = own * reset * (1 - reset)
+        to_update = (before - candidate) * update * (1 - update)
         by_inputs = np.empty((*inputs.shape, 3 * hidden), np.float32)
         by_carried = np.empty_like(by_inputs)
-        carry = np.zeros_like(state)
+        carry, back = np.zeros_like(state), network.weights["states"].T.copy()
         for t in reversed(range(len(inputs))):
-            reset, update, candidate, own = parts[t]
             carry += by_state[t]
-            by_candidate = carry * (1 - update) * (1 - candidate * candidate)
-            by_inputs[t, :, :hidden] = by_candidate * own * reset * (1 - reset)
-            by_inputs[t, :, hidden : 2 * hidden] = carry * (before[t] - candidate) * update * (1 - update)
-            by_inputs[t, :, 2 * hidden :] = by_candidate
-            by_carried[t] = by_inputs[t]
-            by_carried[t, :, 2 * hidden :] *= reset
-            carry *= update
-            carry += by_carried[t] @ network.weights["states"].T
+            by_candidate = by_inputs[t, :, 2 * hidden :]
+            np.multiply(carry, to_candidate[t], out=by_candidate)
+            np.multiply(by_candidate, to_reset[t], out=by_inputs[t, :, :hidden])
+            np.multiply(carry, to_update[t], out=by_inputs[t, :, hidden : 2 * hidden])
+            by_carried[t, :, : 2 * hidden] = by_inputs[t, :, : 2 * hidden]
+            np.multiply(by_candidate, reset[t], out=by_carried[t, :, 2 * hidden :])
+            carry *= update[t]
+            carry += by_carried[t] @ back
         flat = by_carried.reshape(-1, 3 * hidden)
-        gradients["states"] += np.concatenate(before).T @ flat
+        gradients["states"] += before.reshape(-1, hidden).T @ flat
         order = np.argsort(inputs, axis=None, kind="stable")
         symbols = inputs.ravel()[order]
         first = np.flatnonzero(np.diff(symbols, prepend=-1))
