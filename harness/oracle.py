@@ -160,6 +160,11 @@ MODELS: dict[str, str] = {
         select component_type, round({_mean('actual_vs_target_ratio')}, 3) as life_ratio
         from fct_component_reliability where is_failed group by 1
     """,
+    "readings": f"""
+        select *, lag(ts) over (partition by tower_id order by ts) as before from (
+          select tower_id, ts, count(*) as n from stg_telemetry
+          where tower_id is not null and ts <= {NOW} group by 1, 2)
+    """,
     "uptime_by_day": f"""
         select health_date, {_mean('comms_uptime_pct')} as uptime_pct,
           {_mean('avg_sensor_health')} as sensor_health
@@ -514,6 +519,59 @@ _STATEMENTS: dict[str, str] = {
         select root_cause, category, count(*) as incidents from known_incidents group by 1, 2
         order by incidents desc, root_cause, category limit 10
     """,
+    "tower_state_at_detection": """
+        select d.detection_id, d.tower_id, d.detected_at, t.ts as reading_ts, t.cpu_pct, t.mem_pct,
+          t.sensor_health_score, t.comms_uptime_min, t.power_watts, t.ambient_temp_c,
+          date_diff('microsecond', t.ts, d.detected_at) // 1000000 as reading_age_s
+        from stg_detections d asof left join (
+          select * from stg_telemetry where tower_id is not null and ts is not null
+          qualify row_number() over (partition by tower_id, ts order by cpu_pct desc nulls last,
+            mem_pct desc nulls last, sensor_health_score desc nulls last, comms_uptime_min desc nulls last,
+            power_watts desc nulls last, ambient_temp_c desc nulls last) = 1) t
+        on d.tower_id = t.tower_id and d.detected_at >= t.ts
+    """,
+    "missions_at_detection": f"""
+        select d.detection_id, d.tower_id, d.detected_at, count(p.deployment_id) as missions,
+          arg_max(p.deployment_id, (p.start_ts, p.deployment_id)) as deployment_id,
+          arg_max(p.mission_name, (p.start_ts, p.deployment_id)) as mission_name, max(p.start_ts) as mission_start_ts
+        from stg_detections d left join stg_deployments p
+        on p.tower_id = d.tower_id and p.start_ts <= d.detected_at
+          and case when p.end_ts is null then d.detected_at <= {NOW} else d.detected_at < p.end_ts end
+        group by 1, 2, 3
+    """,
+    "telemetry_outages": f"""
+        select *, round_even(date_diff('microsecond', silent_from, ifnull(silent_to, {NOW})) / 1e6 / 36, 0) / 100
+          as hours
+        from (
+          select tower_id, before as silent_from, ts as silent_to from readings
+          where ts - before > interval 6 hour
+          union all
+          select tower_id, max(ts), null from readings group by 1 having {NOW} - max(ts) > interval 6 hour)
+    """,
+    "telemetry_sessions": """
+        select tower_id, session, min(ts) as begin_ts, max(ts) as end_ts, sum(n)::bigint as readings
+        from (select *, (sum(case when before is null or ts - before > interval 6 hour then 1 else 0 end)
+            over (partition by tower_id order by ts))::bigint as session
+          from readings)
+        group by 1, 2
+    """,
+    "backlog_by_day": f"""
+        select cast(cutoff as date) as day, count(i.incident_id) as open_incidents
+        from (select unnest(generate_series({NOW} - interval 90 day, {NOW}, interval 1 day)) as cutoff)
+        left join known_incidents i on i.opened_at <= cutoff and (i.closed_at is null or i.closed_at > cutoff)
+        group by cutoff
+    """,
+    "detection_kpis_by_level": f"""
+        select *, dets_7d - dets_prev_7d as dets_delta from (
+          select case grouping(region, site_id) when 0 then 'site' when 1 then 'region' else 'fleet' end as level,
+            region, site_id, count(*) as total_dets,
+            count(*) filter (detection_date >= {TODAY} - 7) as dets_7d,
+            count(*) filter (detection_date >= {TODAY} - 14 and detection_date < {TODAY} - 7) as dets_prev_7d,
+            {_pct('auto_resolved')} as auto_resolve_pct,
+            {_pct('escalated_to_operator')} as escalation_pct,
+            {_pct('false_positive')} as fp_pct, {CONFIDENCE} as avg_confidence
+          from fct_detection_events group by rollup (region, site_id))
+    """,
     "component_survival": "select * from survival_curve",
     "remaining_life": """
         select c.component_type, c.age_hours, c.at_risk, c.failures, c.left_working, c.survival,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from harness.mapping import AS_OF, raw_tables, run_logs
 from harness.scratch import scratch_folder
 from watchpost.functions.clock import AsOf
-from watchpost.operators import detection, header, health, lifecycle, operations, quality, reliability, rules
+from watchpost.operators import detection, header, health, lifecycle, operations, quality, reliability, rules, timelines
 from watchpost.plans.rebuild import materialize_star
 from watchpost.plans.star import MODEL_NAMES, StarSchema
 from watchpost.sources.run_log import parse_run_log, read_run_log
@@ -150,6 +150,13 @@ QUERIES: dict[str, Query] = {
     "component_survival": _on_star(lifecycle.component_survival),
     "remaining_life": _on_star(lifecycle.remaining_life),
     "replacement_queue": _on_star(lifecycle.replacement_queue, MOMENT),
+    # along time
+    "tower_state_at_detection": _on_star(timelines.tower_state_at_detection),
+    "missions_at_detection": _on_star(timelines.missions_at_detection, MOMENT),
+    "telemetry_outages": _on_star(timelines.telemetry_outages, MOMENT),
+    "telemetry_sessions": _on_star(timelines.telemetry_sessions, MOMENT),
+    "backlog_by_day": _on_star(timelines.backlog_by_day, MOMENT),
+    "detection_kpis_by_level": _on_star(timelines.detection_kpis_by_level, MOMENT),
     # pipeline health
     "source_freshness": _on_star(health.source_freshness, MOMENT),
     "freshness_status": _on_star(health.freshness_status, MOMENT),

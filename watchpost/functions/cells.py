@@ -4,9 +4,9 @@ A window over a whole group puts the group into one task, and a group may hold a
 rows.  Here rows are ordered inside *cells*, parts of a group's order such as its days, and what the
 cells before have summed or seen comes from one row per cell.  A cell is a fixed span of the order
 column, so its rows grow with the density of the data, not with its history; the windows over cells
-grow with the history, not with the rows.  Rows are shuffled by group and cell once: sums per cell
-and windows inside cells read the same shuffle, so that the input is computed once however many of
-these operators follow each other.
+grow with the history, not with the rows.  Rows are shuffled by group and cell once; what is kept per
+cell is combined in the tasks before its own, small shuffle.  The input is read twice, for cells with
+the columns they need only, so put wide or costly work after these operators, not before.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def running_sums(
     """
     keys = [*group, cell]
     summands = {name: F.coalesce(value, F.lit(0)) for name, value in sums.items()}
-    added = rows.withColumns({f"__add_{name}": value for name, value in summands.items()}).repartition(*keys)
+    added = rows.withColumns({f"__add_{name}": value for name, value in summands.items()})
     per_cell = added.groupBy(*keys).agg(*[F.sum(f"__add_{name}").alias(f"__sum_{name}") for name in sums])
     earlier = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
@@ -78,7 +78,7 @@ def last_before(
     ``cell`` never falls along ``order``.  A value that is a struct is null as a whole or not at all.
     """
     keys = [*group, cell]
-    marked = rows.withColumns({f"__val_{name}": value for name, value in values.items()}).repartition(*keys)
+    marked = rows.withColumns({f"__val_{name}": value for name, value in values.items()})
     last = {
         name: F.max_by(f"__val_{name}", F.when(F.col(f"__val_{name}").isNotNull(), F.struct(*order))) for name in values
     }
