@@ -8,7 +8,7 @@ is a multiple of ten are held out; everything is learned from the others.
 2. **Symbols.**  The network predicts at most ``symbols`` most frequent words, the end, and the rest.
    A word of the rest has its smoothed frequency among the rest, and so has the unseen word, so
    that the probabilities of all words sum to 1.
-3. **Lookup.**  At most ``lookup`` frequent words of at most 48 bytes, 4 MB, go to the tasks, which
+3. **Lookup.**  At most ``lookup`` frequent words of at most 48 bytes, 8 MB, go to the tasks, which
    write each document as symbols, sums over known words, and its other words with their numbers.
    Only these others, rare words mostly, are joined with the table of all words.
 4. **Training.**  Documents are dealt into rounds.  In a round, each task starts from the same
@@ -55,7 +55,7 @@ SALTS = 64
 @dataclass(frozen=True)
 class Settings:
     symbols: int = 2048
-    lookup: int = 1 << 16
+    lookup: int = 1 << 17
     hidden: int = 16
     classes: int = 45
     rounds: int = 4
@@ -358,7 +358,8 @@ def score_documents(
     )
     count = F.coalesce(F.col("n"), F.lit(0))
     sums = (
-        other.join(words, "word", "left")
+        # Each word is once on the right, so its part of a hash table has no hot key and needs no order.
+        other.join(words.hint("shuffle_hash"), "word", "left")
         .groupBy("row")
         .agg(
             F.sum(F.col("times") * F.log10(count + SMOOTHING)).alias("log_other"),
