@@ -10,7 +10,7 @@ import re
 from collections.abc import Mapping
 
 from harness.mapping import AS_OF, raw_ctes
-from harness.queries import AT_EMPTY_SITE, EMPTY_SITE, SITE, SITE_FILTERED
+from harness.queries import AT_EMPTY_SITE, EMPTY_SITE, LANDS_IN, SITE, SITE_FILTERED, STREAM_DELAY_DAYS
 from watchpost.operators.detection import STAGES
 from watchpost.plans.checks import ACCEPTED, KEYS, REFERENCES, REQUIRED
 from watchpost.plans.star import MODEL_NAMES
@@ -165,6 +165,16 @@ MODELS: dict[str, str] = {
           select tower_id, ts, count(*) as n from stg_telemetry
           where tower_id is not null and ts <= {NOW} group by 1, 2)
     """,
+    # Detections with their batch, and the watermark that each batch meets and the last one leaves.
+    "landed": f"""
+        select *, {LANDS_IN} as batch, time_bucket(interval 6 hour, detected_at) as window_start
+        from stg_detections where detected_at is not null
+    """,
+    "watermarks": f"""
+        select batch, max(latest) over (order by batch rows between unbounded preceding and 1 preceding)
+          - interval {STREAM_DELAY_DAYS} day as watermark, max(latest) over () - interval {STREAM_DELAY_DAYS} day as final
+        from (select batch, max(detected_at) as latest from landed group by 1)
+    """,
     "uptime_by_day": f"""
         select health_date, {_mean('comms_uptime_pct')} as uptime_pct,
           {_mean('avg_sensor_health')} as sensor_health
@@ -572,6 +582,16 @@ _STATEMENTS: dict[str, str] = {
             {_pct('false_positive')} as fp_pct, {CONFIDENCE} as avg_confidence
           from fct_detection_events group by rollup (region, site_id))
     """,
+    "detection_windows": """
+        select window_start, window_start + interval 6 hour as window_end, target_class, count(*) as detections,
+          count(*) filter (escalated_to_operator) as escalations,
+          count(*) filter (false_positive) as false_positives,
+          sum(cast(confidence_score as decimal(18,6)))::double as confidence_sum
+        from landed join watermarks using (batch)
+        where ifnull(window_start + interval 6 hour > watermark, true)
+          and window_start + interval 6 hour <= final
+        group by 1, 2, 3
+    """,
     "component_survival": "select * from survival_curve",
     "remaining_life": """
         select c.component_type, c.age_hours, c.at_risk, c.failures, c.left_working, c.survival,

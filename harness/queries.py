@@ -15,8 +15,15 @@ from watchpost.operators import detection, header, health, lifecycle, operations
 from watchpost.plans.rebuild import materialize_star
 from watchpost.plans.star import MODEL_NAMES, StarSchema
 from watchpost.sources.run_log import parse_run_log, read_run_log
+from watchpost.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+# Landing of the streamed detections, valid in Spark SQL and DuckDB: by thirds of the month, every
+# tenth one batch late; rows later than the delay come too late.
+LANDS_IN = """(case when day(detected_at) <= 10 then 0 when day(detected_at) <= 20 then 1 else 2 end
+  + case when cast(substr(detection_id, 4) as bigint) % 10 = 0 then 1 else 0 end)"""
+STREAM_WINDOW, STREAM_DELAY_DAYS = "6 hours", 5
 MOMENT = AsOf.of(AS_OF)
 # A site of the driver's tables with towers, detections and incidents, and one without any tower.
 SITE, EMPTY_SITE = "S05", "S22"
@@ -54,6 +61,20 @@ def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.run_log_steps(read_run_log(spark, folder, multiline=True))
 
 
+def detection_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final windows of detections that land in four batches, some of them one batch late."""
+    folder = scratch_folder(spark, "windows")
+    landing, table, checkpoint = (f"{folder}/{part}" for part in ("landing", "table", "checkpoint"))
+    landed = spark.sql(f"select *, {LANDS_IN} as batch from {{d}}", d=raw_tables(spark, sf_dir)["detections"])
+    for batch in range(4):
+        landed.where(F.col("batch") == batch).drop("batch").write.mode("append").parquet(landing)
+        run = windows.count_available(
+            spark, landing, table, checkpoint, window=STREAM_WINDOW, delay=f"{STREAM_DELAY_DAYS} days"
+        )
+        run.awaitTermination()
+    return spark.read.parquet(table).drop("date")
+
+
 def _checksum(table: DataFrame) -> Column:
     """Sum over all rows of a hash of all values in order, the same in any order of rows."""
 
@@ -146,6 +167,8 @@ QUERIES: dict[str, Query] = {
     "uptime_long": _on_star(reliability.uptime_long),
     "incidents_by_category": _on_star(reliability.incidents_by_category, MOMENT),
     "top_root_causes": _on_star(reliability.top_root_causes),
+    # streams
+    "detection_windows": detection_windows,
     # component lifecycle
     "component_survival": _on_star(lifecycle.component_survival),
     "remaining_life": _on_star(lifecycle.remaining_life),

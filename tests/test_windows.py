@@ -1,0 +1,140 @@
+"""Event-time windows over landed files: late rows, restarts, repeated runs, any zone."""
+
+from __future__ import annotations
+
+import random
+import shutil
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from fleet import raw_table, records, ts
+
+from watchpost.streaming.windows import class_windows, count_available
+
+START = datetime(2024, 3, 9, 18)  # a day before clocks change in the session's zone
+
+
+class Stream:
+    def __init__(self, spark, folder, **options):
+        self.spark, self.options, self.number = spark, options, 0
+        self.landing, self.table, self.checkpoint = (str(folder / part) for part in ("landing", "table", "checkpoint"))
+
+    def land(self, rows, files=1):
+        made = []
+        for at, kind, *more in rows:
+            self.number += 1
+            made.append({"detection_id": f"D{self.number}", "tower_id": "T1", "detected_at": at, "target_class": kind,
+                         "confidence_score": 0.25, "escalated_to_operator": bool(more), "false_positive": False})
+        raw_table(self.spark, "detections", made).coalesce(files).write.mode("append").parquet(self.landing)
+
+    def run(self):
+        query = count_available(self.spark, self.landing, self.table, self.checkpoint, **self.options)
+        assert query.awaitTermination(120)
+        if query.exception():
+            raise query.exception()
+        return self.rows()
+
+    def rows(self):
+        found = records(self.spark.read.parquet(self.table))
+        assert len(found) == len({(r["window_start"], r["target_class"]) for r in found})
+        return {(r["window_start"], r["target_class"]): (r["detections"], r["escalations"]) for r in found}
+
+
+def expected(batches, window=timedelta(hours=1), delay=timedelta(hours=2)):
+    """Counts of what came in time, of windows that the last watermark has passed."""
+    counts, watermark = defaultdict(lambda: [0, 0]), datetime.min
+    begin = lambda at: datetime(1970, 1, 1) + (at - datetime(1970, 1, 1)) // window * window
+    for batch in batches:
+        for at, kind, *more in batch:
+            if at is not None and begin(at) + window > watermark:
+                counts[begin(at), kind][0] += 1
+                counts[begin(at), kind][1] += bool(more)
+        watermark = max([watermark, *(at - delay for at, *_ in batch if at is not None)])
+    return {k: tuple(v) for k, v in counts.items() if k[0] + window <= watermark}
+
+
+def at(hours):
+    return START + timedelta(hours=hours)
+
+
+def test_late_rows_count_until_their_window_is_final(spark, tmp_path):
+    batches = [
+        [(at(0.1), "human"), (at(0.9), "human", 1), (at(1.5), "UAS"), (at(3.0), "human")],
+        [(at(0.5), "human"), (at(1.2), "UAS", 1), (at(6.0), None), (None, "human")],  # the first is too late
+        [(at(3.5), "human"), (at(4.5), "vehicle"), (at(12.5), "UAS")],
+    ]
+    stream = Stream(spark, tmp_path)
+    for k, batch in enumerate(batches):
+        stream.land(batch)
+        assert stream.run() == expected(batches[: k + 1])
+    found = stream.rows()
+    assert found[at(0), "human"] == (2, 1) and found[at(1), "UAS"] == (2, 1) and found[at(6), None] == (1, 0)
+    assert (at(3), "human") in found and found[at(3), "human"] == (1, 0)  # the row of the last batch was too late
+
+
+def test_windows_of_days_when_clocks_change(spark, tmp_path):
+    batch = [(at(h / 2), "human") for h in range(40)]
+    stream = Stream(spark, tmp_path)
+    stream.land(batch)
+    found = stream.run()
+    assert found == expected([batch])
+    assert {k for k, _ in found} == {at(h) for h in range(17)}
+
+
+def test_a_restart_neither_loses_nor_repeats_a_window(spark, tmp_path):
+    draw = random.Random(1)
+    batches = [[(at(8 * b + draw.uniform(-6, 8)), draw.choice(["human", "UAS"])) for _ in range(60)] for b in range(3)]
+    stream = Stream(spark, tmp_path)
+    for k, batch in enumerate(batches):
+        stream.land(batch, files=3)
+        first = stream.run()
+        assert first == expected(batches[: k + 1])
+        assert stream.run() == first  # nothing new has landed
+
+        # Lost after its output was written and before that was noted: the run is repeated.
+        commits = tmp_path / "checkpoint" / "commits"
+        last = max((p for p in commits.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+        shutil.move(last, tmp_path / f"lost-{k}")
+        (commits / f".{last.name}.crc").unlink(missing_ok=True)
+        assert stream.run() == first
+
+
+def test_files_in_steps_move_the_watermark_between_them(spark, tmp_path):
+    stream = Stream(spark, tmp_path, files_at_once=1)
+    batches = [[(at(5), "human")], [(at(0.5), "human"), (at(5.5), "human")], [(at(9), "human")]]
+    for batch in batches:
+        stream.land(batch)
+    found = stream.run()
+    # Files that landed in the same second may come in another order, but none is counted twice.
+    assert found[at(5), "human"] in ((1, 0), (2, 0)) and sum(n for n, _ in found.values()) <= 4
+
+
+def test_a_class_with_most_rows(spark, tmp_path):
+    batch = [(at(k % 10 / 2), "human" if k % 3 else f"c{k % 7}") for k in range(600)]
+    stream = Stream(spark, tmp_path)
+    stream.land(batch, files=4)
+    assert stream.run() == expected([batch])
+
+
+def test_the_same_plan_serves_a_table(spark):
+    rows = [(at(0.1), "human"), (at(0.2), "human"), (at(7), None)]
+    made = [{"detection_id": f"D{k}", "detected_at": t, "target_class": c, "confidence_score": 0.5,
+             "escalated_to_operator": True, "false_positive": None} for k, (t, c) in enumerate(rows)]
+    found = {r["window_start"]: r for r in records(class_windows(raw_table(spark, "detections", made), delay=None))}
+    assert found[at(0)]["detections"] == 2 and found[at(0)]["confidence_sum"] == 1.0 and found[at(7)]["target_class"] is None
+    assert found[at(0)]["window_end"] == at(1)
+
+
+def test_nothing_has_landed(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    stream = Stream(spark, tmp_path)
+    query = count_available(spark, stream.landing, stream.table, stream.checkpoint)
+    assert query.awaitTermination(60) and query.exception() is None
+
+
+@pytest.mark.parametrize("text", ["1969-12-31 23:59:59.999999", "2024-03-10 02:30:00"])
+def test_times_keep_their_value(spark, text):
+    made = [{"detection_id": "D", "detected_at": ts(text), "target_class": "c"}]
+    (row,) = records(class_windows(raw_table(spark, "detections", made), window="1 microsecond", delay=None))
+    assert row["window_start"] == ts(text)

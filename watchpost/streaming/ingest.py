@@ -24,8 +24,11 @@ EVENT_TIME = {
 }
 
 
-def staged_stream(spark: SparkSession, name: str, landing: str) -> DataFrame:
-    """Streaming staging table over parquet files landing in a folder.
+def staged_stream(
+    spark: SparkSession, name: str, landing: str, *, files_at_once: int | None = None
+) -> DataFrame:
+    """Streaming staging table over parquet files landing in a folder, all that is there at once or
+    so many files at a time.
 
     Read with the types that the landed files declare, and cast by the staging select like a
     batch: a stream that insists on the target types refuses files of other integer widths.  A
@@ -35,7 +38,10 @@ def staged_stream(spark: SparkSession, name: str, landing: str) -> DataFrame:
         found = spark.read.parquet(landing).schema
     except AnalysisException:  # nothing has landed yet
         found = staging_schema(name)
-    return stage(name, spark.readStream.schema(found).parquet(landing))
+    reader = spark.readStream.schema(found)
+    if files_at_once is not None:
+        reader = reader.option("maxFilesPerTrigger", files_at_once)
+    return stage(name, reader.parquet(landing))
 
 
 def ingest_available(
