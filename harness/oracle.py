@@ -582,6 +582,7 @@ _STATEMENTS: dict[str, str] = {
             {_pct('false_positive')} as fp_pct, {CONFIDENCE} as avg_confidence
           from fct_detection_events group by rollup (region, site_id))
     """,
+    "health_by_batches": "select * from fct_fleet_health_daily",
     "detection_windows": """
         select window_start, window_start + interval 6 hour as window_end, target_class, count(*) as detections,
           count(*) filter (escalated_to_operator) as escalations,

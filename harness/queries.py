@@ -12,6 +12,7 @@ from harness.mapping import AS_OF, raw_tables, run_logs
 from harness.scratch import scratch_folder
 from watchpost.functions.clock import AsOf
 from watchpost.operators import detection, header, health, lifecycle, operations, quality, reliability, rules, timelines
+from watchpost.plans.incremental import HealthMart
 from watchpost.plans.rebuild import materialize_star
 from watchpost.plans.star import MODEL_NAMES, StarSchema
 from watchpost.sources.run_log import parse_run_log, read_run_log
@@ -75,6 +76,19 @@ def detection_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table).drop("date")
 
 
+def health_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily fleet health from five batches that each hold rows of all days."""
+    tables = star(spark, sf_dir)
+    mart = HealthMart(spark, scratch_folder(spark, "health"), tables).create()
+    readings = tables["stg_telemetry"].withColumn("batch", F.pmod(F.xxhash64("tower_id", "ts"), F.lit(3)))
+    incidents = tables["stg_incidents"].withColumn("batch", F.pmod(F.xxhash64("incident_id"), F.lit(2)))
+    for k in (1, 0, 2):
+        mart.apply(f"telemetry-{k}", telemetry=readings.where(F.col("batch") == k).drop("batch"))
+        if k < 2:
+            mart.apply(f"incidents-{k}", incidents=incidents.where(F.col("batch") == k).drop("batch"))
+    return mart.table()
+
+
 def _checksum(table: DataFrame) -> Column:
     """Sum over all rows of a hash of all values in order, the same in any order of rows."""
 
@@ -167,7 +181,8 @@ QUERIES: dict[str, Query] = {
     "uptime_long": _on_star(reliability.uptime_long),
     "incidents_by_category": _on_star(reliability.incidents_by_category, MOMENT),
     "top_root_causes": _on_star(reliability.top_root_causes),
-    # streams
+    # batches and streams
+    "health_by_batches": health_by_batches,
     "detection_windows": detection_windows,
     # component lifecycle
     "component_survival": _on_star(lifecycle.component_survival),

@@ -114,7 +114,11 @@ def _daily_health(tables: Tables, as_of: AsOf) -> DataFrame:
 
 def fct_fleet_health_daily(tables: Tables, as_of: AsOf) -> DataFrame:
     """Tower x day with the tower's site."""
-    daily = _daily_health(tables, as_of)
+    return health_at_towers(_daily_health(tables, as_of), tables)
+
+
+def health_at_towers(daily: DataFrame, tables: Tables) -> DataFrame:
+    """Daily health, wherever it comes from, in the columns of the fact."""
     return _with_tower(
         daily, tables, site_id="site_id", site_name="site_name", region="region", model="model"
     ).select(
