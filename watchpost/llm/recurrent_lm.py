@@ -107,6 +107,14 @@ def _strings(words: Words, which: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(which), buffers).cast(pa.string())
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the different hashes, in order of appearance, and where each is first."""
+    codes = pa.array(hashes).dictionary_encode().indices.to_numpy()
+    first = np.empty(int(codes.max()) + 1 if len(codes) else 0, np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]  # the last to be written is the first
+    return codes, first
+
+
 def count_words(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(word, n)`` over the documents that aren't held out; the null word is the end."""
 
@@ -117,7 +125,8 @@ def count_words(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), ends], ["word", "n"])
             for _, data, offsets in chunks(batch.column("text")):
                 words = split_words(data, offsets, NOT_SPACE, lower=True)
-                _, first, n = np.unique(word_hashes(words), return_index=True, return_counts=True)
+                codes, first = _distinct(word_hashes(words))
+                n = np.bincount(codes, minlength=len(first))
                 yield pa.RecordBatch.from_arrays([_strings(words, first), pa.array(n)], ["word", "n"])
 
     texts = docs.where(~held_out(F.col(id_col))).select(F.col(text_col).alias("text"))
@@ -166,17 +175,16 @@ def vocabulary_of(words: DataFrame, settings: Settings) -> Vocabulary:
 
 
 def _encode_chunk(words: Words, vocabulary: Vocabulary) -> list[pa.Array]:
-    n = len(words)
-    hashes, of = word_hashes(words), words.text_of
+    n, of = len(words), words.text_of
+    codes, at_first = _distinct(hashes := word_hashes(words))
+    # Each different word is looked up once.
+    asked = hashes[at_first]
+    found, symbol, log = np.zeros(len(asked), bool), np.full(len(asked), vocabulary.rest), np.zeros(len(asked))
     if len(vocabulary.hashes):
-        at = np.minimum(np.searchsorted(vocabulary.hashes, hashes), len(vocabulary.hashes) - 1)
-        known = vocabulary.hashes[at] == hashes
-    else:
-        at, known = np.zeros(len(hashes), int), np.zeros(len(hashes), bool)
-    symbols = np.full(len(hashes), vocabulary.rest)
-    symbols[known] = vocabulary.symbol[at[known]]
-    logs = np.zeros(len(hashes))
-    logs[known] = vocabulary.log_count[at[known]]
+        at = np.minimum(np.searchsorted(vocabulary.hashes, asked), len(vocabulary.hashes) - 1)
+        found = vocabulary.hashes[at] == asked
+        symbol[found], log[found] = vocabulary.symbol[at[found]], vocabulary.log_count[at[found]]
+    known, symbols, logs = found[codes], symbol[codes], log[codes]
     in_rest = symbols == vocabulary.rest
     sums = lambda x: np.bincount(of, x, minlength=n)
 
@@ -186,10 +194,10 @@ def _encode_chunk(words: Words, vocabulary: Vocabulary) -> list[pa.Array]:
     whole[np.arange(len(symbols)) + of] = symbols
 
     others = np.flatnonzero(~known)
-    others = others[np.lexsort((hashes[others], of[others]))]
-    changed = np.ones(len(others), bool)
-    changed[1:] = (np.diff(hashes[others]) != 0) | (np.diff(of[others]) != 0)
-    first = np.flatnonzero(changed)
+    key = of[others] * len(asked) + codes[others]
+    order = np.argsort(key)
+    others = others[order]
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
     times = np.diff(np.append(first, len(others)))
     per_text = np.bincount(of[others[first]], minlength=n)
     offsets = pa.array(np.concatenate([[0], np.cumsum(per_text)]).astype(np.int32))
