@@ -60,9 +60,9 @@ class Settings:
     classes: int = 45
     rounds: int = 4
     segment: int = 256
-    lanes: int = 256
+    lanes: int = 512
     steps: int = 16  # of a window of backpropagation
-    rate: float = 0.01
+    rate: float = 0.02
     seed: int = 11
 
 

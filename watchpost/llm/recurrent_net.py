@@ -18,7 +18,6 @@ import numpy as np
 SCORE_LANES = 2048
 SCORE_TOKENS = 1 << 15  # whose states are kept before their probabilities are worked out
 BETA_1, BETA_2, TINY = 0.9, 0.99, 1e-8
-LARGEST_NORM = 1.0
 
 
 def class_edges(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -91,8 +90,8 @@ class Network:
         return new, reset, update, candidate, own
 
     def log_probability(self, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None):
-        """Natural logarithm of each target's probability; with ``gradients``, also adds the loss's
-        gradients by weights to them and returns those by states (of the mean over targets).
+        """Natural logarithm of each target's probability; with ``gradients``, which are zero, also
+        fills in the loss's gradients by weights and returns those by states (of the mean over targets).
 
         Scores have a column for each target, so that sums over classes run along memory.
         """
@@ -105,13 +104,16 @@ class Network:
             scale = np.float32(1 / len(targets))
             p[own, np.arange(len(targets))] -= 1
             p *= scale
-            gradients["classes"] += p @ states
-            gradients["class_bias"] += p.sum(axis=1)
+            gradients["classes"][:] = p @ states
+            gradients["class_bias"][:] = p.sum(axis=1)
             by_state = p.T @ w["classes"]
+        # Targets in the order of classes, those of the rest left out.
         order = np.argsort(own, kind="stable")
-        sorted_states, sorted_targets = states[order], targets[order]
         bounds = np.searchsorted(own[order], np.arange(len(edges)))
-        for c in np.flatnonzero(np.diff(bounds)):
+        order = order[: bounds[-1]]
+        sorted_states, sorted_targets = states[order], targets[order]
+        in_class, back = np.zeros(len(order), np.float32), np.zeros_like(sorted_states)
+        for c in np.flatnonzero(np.diff(bounds)).tolist():
             low, high, at = edges[c], edges[c + 1], slice(bounds[c], bounds[c + 1])
             if high - low == 1:  # its only symbol is certain
                 continue
@@ -119,15 +121,19 @@ class Network:
             weights = w["symbols"][low:high]
             scores = weights @ mine.T
             scores += w["symbol_bias"][low:high, None]
-            in_class, p = _softmax(scores, inside, learn)
-            log_p[order[at]] += in_class
+            in_class[at], p = _softmax(scores, inside, learn)
             if learn:
                 p[inside, np.arange(len(inside))] -= 1
-                p *= scale
-                gradients["symbols"][low:high] += p @ mine
-                gradients["symbol_bias"][low:high] += p.sum(axis=1)
-                by_state[order[at]] += p.T @ weights
-        return (log_p, by_state) if learn else log_p
+                np.matmul(p, mine, out=gradients["symbols"][low:high])
+                np.sum(p, axis=1, out=gradients["symbol_bias"][low:high])
+                np.matmul(p.T, weights, out=back[at])
+        log_p[order] += in_class
+        if not learn:
+            return log_p
+        gradients["symbols"] *= scale
+        gradients["symbol_bias"] *= scale
+        by_state[order] += back * scale
+        return log_p, by_state
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -198,7 +204,11 @@ def score(network: Network, symbols: np.ndarray, begin: np.ndarray, length: np.n
                     state = network.step(state, network.weights["inputs"][now])[0]
                     states[t] = state
                 inside = places >= 0
-                out[places[inside]] = network.log_probability(states[inside], targets[inside])
+                if inside.all():
+                    found = network.log_probability(states.reshape(-1, network.hidden), targets.ravel())
+                    out[places] = found.reshape(places.shape)
+                else:
+                    out[places[inside]] = network.log_probability(states[inside], targets[inside])
     return out
 
 
@@ -228,9 +238,12 @@ class Trainer:
             state, reset[t], update[t], candidate[t], own[t] = network.step(state, given[t])
             states[t] = state
         gradients = {k: np.zeros_like(w) for k, w in network.weights.items()}
-        _, by_output = network.log_probability(states[inside], targets[inside], gradients)
-        by_state = np.zeros_like(states)
-        by_state[inside] = by_output
+        if inside.all():
+            _, by_state = network.log_probability(states.reshape(-1, hidden), targets.ravel(), gradients)
+            by_state = by_state.reshape(shape)
+        else:
+            by_state = np.zeros_like(states)
+            _, by_state[inside] = network.log_probability(states[inside], targets[inside], gradients)
 
         # What a change of the new state means for the candidate, and of both for the gates.
         to_candidate = (1 - update) * (1 - candidate * candidate)
@@ -261,16 +274,16 @@ class Trainer:
     def _update(self, gradients: dict[str, np.ndarray]) -> None:
         """Steps by the running means of gradients and of their squares."""
         self.updates += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in gradients.values()))
-        shrink = min(1.0, LARGEST_NORM / max(norm, TINY))
-        rate = self.rate * shrink * (1 - BETA_2**self.updates) ** 0.5 / (1 - BETA_1**self.updates)
+        rate = self.rate * (1 - BETA_2**self.updates) ** 0.5 / (1 - BETA_1**self.updates)
         for k, g in gradients.items():
             first, second = self.first[k], self.second[k]
+            g *= 1 - BETA_1
             first *= BETA_1
-            first += (1 - BETA_1) * g
-            second *= BETA_2
+            first += g
             g *= g
-            second += (1 - BETA_2) * g
+            g *= (1 - BETA_2) / (1 - BETA_1) ** 2
+            second *= BETA_2
+            second += g
             root = np.sqrt(second)
             root += TINY
             np.divide(first, root, out=root)
