@@ -3,8 +3,9 @@
 The words of every source are summed (map-side combine, so a source with a third of all rows is
 no problem), targets are derived from the sums, and each source gets a repetition rate: target
 divided by its words.  A document is then emitted ``floor(rate)`` times, and once more with the
-fraction as probability: a hash of its id and the seed is compared with the fraction, so reruns
-and retried tasks decide alike.
+fraction as probability: a hash of the row and the seed is compared with the fraction, so reruns
+and retried tasks decide alike.  Equal rows are numbered and draw on their own, so that a source
+made of one row many times comes near its target, too.
 
 The table of sources is written; whether it is small enough to broadcast is left to Spark, which
 knows the size of its files.  A larger one is joined by shuffle, hot sources split by Spark.
@@ -14,9 +15,10 @@ of all words by weight; a source above a multiple of its own words stops there,
 shared by weight again until none is above.  Each step is one aggregate over the sources.
 
 Edge cases: a null text has no words; a source without words has the target and rate 0; a null
-source is a source; repeated rows of a document decide alike and count each; documents with a
-null id are told apart by their text; other columns are carried along untouched, and one named
-like a result is refused.
+source is a source; rows that repeat, in part or as a whole, draw each on their own; a very long
+text is counted where it is; sources can't tie, as their order is by code point; other columns, of
+types that Spark can hash and group by, are carried along untouched; ``with_copies`` refuses one that
+is named like a result, ``mixed`` keeps it.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from watchpost.llm.ranking import repeated
 from watchpost.llm.storage import written
 
 WEIGHTS = (5, 2, 1)
@@ -87,31 +90,53 @@ def copies(rate: Column, key: Sequence[Column], seed: int = SEED) -> Column:
     return (F.floor(rate) + (drawn < rate - F.floor(rate)).cast("long")).cast("long")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, a hash of the whole row, and ``__number``, from 1 among equal rows.
+
+    Rows that repeat are counted in their tasks before they are shuffled; all others stay where they
+    are.  The table of repeated keys is written, so that Spark knows its size and broadcasts it only
+    if it is small.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.withColumn("__key", F.xxhash64(*columns))
+    counts = rows.groupBy("__key").agg(F.count("*").alias("n")).where("n > 1")
+    several = written(counts.select("__key"), "mixing-repeats")
+    one = F.lit(1).cast("long").alias("__number")
+    if several.isEmpty():
+        return rows.select("*", one)
+    single = rows.join(several, "__key", "left_anti").select("__key", *columns, one)
+    equal = rows.join(several, "__key", "left_semi").groupBy("__key", *columns).agg(F.count("*").alias("__rows"))
+    return single.unionByName(repeated(equal, "__rows", "__number").drop("__rows"))
+
+
+def _drawn(docs: DataFrame, targets: DataFrame, source_col: str, seed: int) -> DataFrame:
+    """``docs`` with ``__source_size``, ``__target``, ``__rate`` and ``__copies``."""
+    own = targets.select(*[F.col(c).alias(f"__{c}") for c in ("source", "source_size", "target", "rate")])
+    return (
+        _numbered(docs)
+        .join(own, F.col(source_col).eqNullSafe(F.col("__source")))
+        .withColumn("__copies", copies(F.col("__rate"), [F.col("__key"), F.col("__number")], seed))
+        .drop("__source", "__key", "__number")
+    )
+
+
 def with_copies(
-    docs: DataFrame,
-    targets: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    source_col: str = "source",
-    text_col: str = "text",
-    seed: int = SEED,
+    docs: DataFrame, targets: DataFrame, *, source_col: str = "source", seed: int = SEED
 ) -> DataFrame:
     """``docs`` with the columns of their source's target and ``copies``; a row stays a row."""
-    clash = {"source_size", "target", "rate", "copies"} & set(docs.columns)
+    results = ("source_size", "target", "rate", "copies")
+    clash = set(results) & set(docs.columns)
     if clash:
         raise ValueError(f"the documents already have columns {sorted(clash)}")
-    own = targets.withColumnRenamed("source", "__mixed_source")
-    # A null id says nothing, so the text takes its place.
-    key = [F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col))]
-    return (
-        docs.join(own, F.col(source_col).eqNullSafe(F.col("__mixed_source")))
-        .drop("__mixed_source")
-        .withColumn("copies", copies(F.col("rate"), key, seed))
-    )
+    return _drawn(docs, targets, source_col, seed).withColumnsRenamed({f"__{c}": c for c in results})
 
 
-def mixed(docs: DataFrame, targets: DataFrame | None = None, **columns: str) -> DataFrame:
+def mixed(
+    docs: DataFrame, targets: DataFrame | None = None, *, source_col: str = "source", text_col: str = "text", seed: int = SEED
+) -> DataFrame:
     """The mix: every document as many times as its rate says, with the columns of ``docs``."""
-    targets = source_targets(docs) if targets is None else targets
-    drawn = with_copies(docs, targets, **columns)
-    return drawn.withColumn("__copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(*docs.columns)
+    if targets is None:
+        targets = source_targets(docs, source_col=source_col, text_col=text_col)
+    drawn = _drawn(docs, targets, source_col, seed)
+    times = F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))
+    return drawn.withColumn("__copy", times).select(*[F.col(f"`{c}`") for c in docs.columns])

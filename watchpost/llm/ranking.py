@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from watchpost.llm.storage import checkpointed
 
 _LOCAL_BITS = 33  # of monotonically_increasing_id(): the row's number in its partition
+BLOCK_ROWS = 10_000  # that one row is turned into in one place
 
 
 def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -48,3 +49,20 @@ def numbered_within(rows: DataFrame, group: Sequence[str], order: Sequence[str],
     return whole.join(first, same(whole, first, group)).select(
         *rows.columns, (F.col("__at") - F.col("__first")).alias(name)
     )
+
+
+def repeated(groups: DataFrame, count: str, number: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Each row ``count`` times, with its ``number`` from 1.
+
+    A row that stands for very many is cut into blocks first, which are dealt out, so that no task
+    makes them all.
+    """
+    n = F.col(count)
+    few = groups.where(n <= block_rows).withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    last = F.floor((n - 1) / block_rows)
+    blocks = groups.where(n > block_rows).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    first = F.col("__block") * block_rows
+    many = blocks.repartition("__block", *groups.columns).withColumn(
+        number, F.explode(F.sequence(first + 1, F.least(first + block_rows, n)))
+    )
+    return few.unionByName(many.drop("__block"))
