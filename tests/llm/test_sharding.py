@@ -49,6 +49,15 @@ def test_a_row_that_repeats_is_spread(spark, documents):
     assert records.groupBy("virtual_slot").count().agg(F.max("count")).first()[0] < 100
 
 
+def test_a_row_that_stands_for_very_many_is_cut_into_blocks(spark):
+    from watchpost.llm.ranking import repeated
+
+    groups = spark.createDataFrame([("a", 1), ("b", 25), ("c", 10), ("d", 11), (None, 31)], "k string, n long")
+    rows = repeated(groups, "n", "i", block_rows=10).collect()
+    expected = [(k, n, i) for k, n in [("a", 1), ("b", 25), ("c", 10), ("d", 11), (None, 31)] for i in range(1, n + 1)]
+    assert sorted(map(tuple, rows), key=str) == sorted(expected, key=str)
+
+
 def load_of(shard_of, nbytes, shards):
     return np.bincount(shard_of, nbytes, shards)
 

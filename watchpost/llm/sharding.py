@@ -16,8 +16,9 @@ both, and hashes the number with them: one that makes up a third of all rows is
 One record larger than a shard's share makes its shard as large as it is.
 
 Edge cases: a null text has 0 bytes and checksum 0; an empty table has an empty result; a null id
-is hashed like any other.  Other columns are carried along untouched, and one named like a result
-is refused.
+is hashed like any other; very long texts only count by their size; records of equal hash share a
+slot.  Other columns are carried along untouched; ``with_slots`` refuses one that is named like a
+result, ``with_shards`` renames it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from watchpost.llm.ranking import repeated
 from watchpost.llm.storage import written
 
 SLOTS = 4096
@@ -142,7 +144,7 @@ def digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         .groupBy(id_col, "size", "text_crc32")
         .agg(F.count("*").alias("rows"))
     )
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).drop("rows")
+    copies = repeated(counted, "rows", "copy").drop("rows")
     key = [F.col(id_col), F.col("text_crc32"), F.col("copy")]
     return copies.withColumn("virtual_slot", slot_of(key, slots))
 
@@ -179,8 +181,24 @@ def numbered(records: DataFrame, slot_map: DataFrame, *, id_col: str = "doc_id")
     return records.join(F.broadcast(own), "virtual_slot").withColumn("slot", number.cast("long")).drop("first")
 
 
+def _with_room(docs: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``docs`` with columns of these names called ``own_`` and the name; once more where that exists."""
+    taken, renamed = set(docs.columns), {}
+    for name in names:
+        if name in taken:
+            new = f"own_{name}"
+            while new in taken:
+                new = f"own_{new}"
+            taken.add(new)
+            renamed[name] = new
+    return docs.withColumnsRenamed(renamed)
+
+
 def with_shards(docs: DataFrame, *, shards: int = SHARDS, slots: int = SLOTS, **columns: str) -> DataFrame:
-    """``docs`` with ``size``, ``text_crc32``, ``virtual_slot`` and ``shard``."""
-    records = with_slots(docs, slots=slots, **columns)
+    """``docs`` with ``size``, ``text_crc32``, ``virtual_slot`` and ``shard``.
+
+    A column of ``docs`` that has one of these names is kept as ``own_size`` and so on.
+    """
+    records = with_slots(_with_room(docs, ["size", "text_crc32", "virtual_slot", "shard"]), slots=slots, **columns)
     narrow = records.select("virtual_slot", "size")
     return sharded(records, balanced_map(narrow, shards=shards, slots=slots))
