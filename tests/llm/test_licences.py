@@ -84,3 +84,25 @@ def test_edge_cases(spark, documents):
     assert [r["labels"] for r in scan(documents(["under the mit", "license"]))] == [[], []]
     with pytest.raises(ValueError, match="already have"):
         licences.scan_licences(docs, found="labels")
+
+
+@pytest.mark.parametrize("template", TEMPLATES, ids=lambda t: t.label)
+def test_a_word_put_in_or_left_out_hides_no_notice(spark, documents, template):
+    """At each place of the notice that isn't in a key phrase."""
+    words = alnum_words(template.notice)
+    keys = [key.split() for key in template.key_phrases]
+    whole = lambda own: all(any(own[i : i + len(k)] == k for i in range(len(own))) for k in keys)
+    changed = []
+    for i in range(len(words) + 1):
+        changed.append([*words[:i], "own", *words[i:]])
+        changed.append([*words[:i], "these", "two", *words[i:]])
+        if i < len(words) and len(words) >= 6:
+            changed.append([*words[:i], *words[i + 1 :]])
+    changed = [c for c in changed if whole(c)]
+    for row, text in zip(scan(documents(["some words " + " ".join(c) + " and more" for c in changed])), changed):
+        assert template.label in row["labels"], " ".join(text)
+
+
+def test_wording_between_the_words_of_a_notice(spark, documents):
+    texts = ["The code is licensed under the terms of the GNU General Public License, version 3."]
+    assert scan(documents(texts))[0]["labels"] == ["gpl-3"]

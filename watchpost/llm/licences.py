@@ -4,11 +4,13 @@ A first pass counts in how many documents each word of the templates occurs; onl
 are counted, so the table is as large as the templates.  A template is then indexed by its words
 of highest IDF, with their positions.  The second pass looks up the occurrences of those words in
 each whole text and intersects the postings by relative position: where enough rare words of
-one template imply the same beginning, the template is compared word by word, and its mandatory
-key phrases must stand there.  Texts are never shuffled.
+one template imply beginnings within a few words of each other, the template is compared with that
+place, word by word in its order, and its mandatory key phrases must stand there: words put in or
+left out don't hide a notice.  Texts are never shuffled.
 
 Edge cases: a null or empty text has no words and no labels; a licence word that no document
-holds has the highest IDF and never matches; repeated rows get the same result each; other
+holds has the highest IDF and never matches; words of equal IDF are indexed by their order in the
+alphabet; equal scores give one score; repeated rows get the same result each; other
 columns are carried along untouched, and one named like the result is refused.
 """
 
@@ -30,8 +32,8 @@ from watchpost.llm.words import ALPHANUMERIC, Words, chunks, hash_words, split_w
 
 INDEXED_WORDS = 6  # different rare words by which a template is indexed
 AGREEING = 0.5  # of a template's indexed places, for a comparison
-SIMILAR = 0.75  # of its words that must stand in their place
-SLACK = 8  # words around the place in which a key phrase may stand
+SIMILAR = 0.75  # of its words that must stand there in their order
+SLACK = 8  # words put in or left out, and around the place in which a key phrase may stand
 
 FOUND_TYPE = T.StructType(
     [
@@ -128,8 +130,12 @@ def _phrase_places(numbers: np.ndarray, text_of: np.ndarray, phrase: np.ndarray)
     return at[text_of[at] == text_of[at + len(phrase) - 1]]
 
 
-def _candidates(numbers: np.ndarray, text_of: np.ndarray, index: Index) -> Iterator[tuple[int, int, int]]:
-    """``(text, template, beginning)`` that enough rare words imply together."""
+def _candidates(numbers: np.ndarray, text_of: np.ndarray, index: Index) -> Iterator[tuple[int, int, list[int]]]:
+    """``(text, template, beginnings)`` that enough rare words imply together.
+
+    A word put in or left out moves the beginning that the words after it imply, so beginnings
+    within ``SLACK`` of each other count together; each may be the first of such a group.
+    """
     first = index.posting_first
     places = np.flatnonzero((first[1:] > first[:-1])[numbers] & (numbers > 0)) if len(numbers) else []
     if not len(places):
@@ -141,9 +147,23 @@ def _candidates(numbers: np.ndarray, text_of: np.ndarray, index: Index) -> Itera
     begin = np.repeat(places, counts) - index.posting_place[posting]
     text = text_of[np.repeat(places, counts)]
     implied, agreeing = np.unique(np.stack([text, template, begin]), axis=1, return_counts=True)
+    # One number in the order of text, template and beginning, with room between templates.
+    width = int(begin.max() - begin.min()) + 2 * SLACK + 2
+    key = (implied[0] * len(index.places) + implied[1]) * width + (implied[2] - begin.min())
+    last = np.searchsorted(key, key + SLACK, "right")
+    total = np.r_[0, np.cumsum(agreeing)]
     needed = np.array([max(1, ceil(AGREEING * n)) for n in index.places])
-    enough = agreeing >= needed[implied[1]]
-    yield from zip(*implied[:, enough].tolist())
+    for i in np.flatnonzero(total[last] - total[:-1] >= needed[implied[1]]).tolist():
+        yield int(implied[0, i]), int(implied[1, i]), implied[2, i : last[i]].tolist()
+
+
+def _in_order(words: np.ndarray, notice: np.ndarray) -> int:
+    """Most words of the notice that stand among ``words`` in its order (longest common subsequence)."""
+    best = np.zeros(len(words) + 1, np.int64)
+    for number in notice:
+        best[1:] = np.maximum(best[1:], best[:-1] + (words == number))
+        np.maximum.accumulate(best, out=best)
+    return int(best[-1])
 
 
 def _scan(words: Words, numbers: np.ndarray, index: Index) -> list[dict]:
@@ -159,13 +179,12 @@ def _scan(words: Words, numbers: np.ndarray, index: Index) -> list[dict]:
             result["base_labels"].add(label)
             result["labels"].add(label)
             result["score"] = 1.0  # a phrase that stands there as it is
-    for text, template, begin in _candidates(numbers, text_of, index):
+    for text, template, begins in _candidates(numbers, text_of, index):
         low, high = int(words.first[text]), int(words.first[text + 1])
         notice = index.notices[template]
-        a, z = max(begin, low), min(begin + len(notice), high)
-        score = float((numbers[a:z] == notice[a - begin : z - begin]).sum()) / len(notice)
-        around = slice(max(low, begin - SLACK), min(high, begin + len(notice) + SLACK))
-        near, one = numbers[around], np.zeros(around.stop - around.start, np.int64)
+        near = numbers[max(low, begins[0] - SLACK) : min(high, begins[-1] + len(notice) + SLACK)]
+        score = _in_order(near, notice) / len(notice)
+        one = np.zeros(len(near), np.int64)
         if score >= SIMILAR and all(len(_phrase_places(near, one, key)) for key in index.keys[template]):
             results[text]["labels"].add(index.templates[template].label)
             results[text]["score"] = max(results[text]["score"], score)
@@ -190,7 +209,7 @@ def scan_licences(
     * ``n_words``: words, which are runs of ASCII letters and digits and of characters above 0x7F;
     * ``base_places``: words at which a base phrase begins, from 0, once for each phrase there;
     * ``base_labels``: labels of those phrases; ``labels``: these and those of matched templates;
-    * ``score``: the largest share of a matched template's words in their place; a base phrase
+    * ``score``: the largest share of a matched template's words in their order; a base phrase
       counts 1, and without any label it is 0.
     """
     if found in docs.columns:
