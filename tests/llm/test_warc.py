@@ -70,6 +70,22 @@ def test_empty_table(spark):
     assert warc.read_archives(warc.write_archives(pages)).count() == 0
 
 
+def test_a_folder_without_scheme_is_on_sparks_file_system(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/1", "<p>x</p>")], "page_id long, url string, html string")
+    manifest = warc.write_archives(pages, str(tmp_path / "plain folder"))
+    (row,) = manifest.collect()
+    assert row["archive"].startswith("file:/") and warc.read_archives(manifest).first()["page_id"] == 1
+    assert (tmp_path / "plain folder" / "manifest").is_dir()
+
+
+def test_a_file_system_that_arrow_does_not_know_is_refused(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.there.link./in", f"file://{tmp_path}")
+    pages = spark.createDataFrame([(1, "http://a/1", "x")], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="can't be written to viewfs"):
+        warc.write_archives(pages, "viewfs://there/in/archives")
+
+
 def records(n):
     return [warc.make_record(i, f"http://a/{i}", f"<html><p>page {i} of many</p></html>".encode(), i, True, "d") for i in range(n)]
 

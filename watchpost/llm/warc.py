@@ -31,7 +31,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchpost.llm.storage import new_folder
@@ -191,10 +191,11 @@ def write_archives(
     """Write a record for each row; return the written manifest ``(archive, records, bytes)``.
 
     Archives and manifest go to ``folder``, a URI or path that all executors reach; default: a new
-    one in the shared folder.
+    one in the shared folder.  A path without a scheme is on Spark's default file system, for tasks as
+    for Spark; a file system that Arrow doesn't know is refused before any task begins.
     """
     spark = pages.sparkSession
-    folder = folder or new_folder(spark, "warc")
+    folder = _qualified(spark, folder or new_folder(spark, "warc"))
     rows = with_roles(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, min_bytes=min_bytes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,8 +232,20 @@ def _chained(first: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
     yield from rest
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme under which Spark knows it."""
+    spark.range(1).coalesce(1).write.parquet(f"{folder}/place")
+    (file,) = spark.read.parquet(f"{folder}/place").inputFiles()
+    whole = file.rpartition("/place/")[0]
+    try:
+        _open(whole)
+    except (pa.ArrowException, OSError) as error:
+        raise ValueError(f"archives can't be written to {whole}: {error}") from error
+    return whole
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if ":" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri)
 
 
 READ_SCHEMA = (
