@@ -63,6 +63,18 @@ def test_matches_equal_brute_force(spark, documents, block_bytes):
         assert bits.sum() == hit
 
 
+def test_an_item_that_repeats_fills_no_block(spark, documents):
+    """One item is a third of all rows; blocks are dealt by what is different."""
+    texts, items = texts_and_items(4)
+    many = items + [items[0]] * len(items)
+    size = sum(len((t or "").encode()) for _, t in set(items))
+    blocks = dc.benchmark_blocks(benchmark_of(spark, many), id_col="item_id", text_col="text", block_bytes=size // 2)
+    assert sum(b.count() for b in blocks) == len({(str(i), t) for i, t in items})
+    found = answer(documents(texts), benchmark_of(spark, many), block_bytes=size // 2)
+    once = answer(documents(texts), benchmark_of(spark, items))
+    assert {i: (r["n_hit"], r["items"]) for i, r in found.items()} == {i: (r["n_hit"], r["items"]) for i, r in once.items()}
+
+
 def test_longest_matches_and_places(spark, documents):
     item = " ".join(f"b{i}" for i in range(30))
     docs = documents(["x " + " ".join(f"b{i}" for i in range(5, 29)) + " y " + " ".join(f"b{i}" for i in range(10))])

@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays of the training texts.
 
-Each task cuts its documents into shards of some million words and builds a suffix array over
+Each task cuts its documents into shards of a few megabytes of text and builds a suffix array over
 each: the shard's places, ordered by the words that follow.  Every suffix of every benchmark item
 is then binary-searched in the array, all suffixes at once and word by word, which narrows its
 interval of places to those that agree with it in one word more.  The intervals that are left
@@ -10,9 +10,9 @@ match.  Nothing is shuffled: documents stay where they are read.
 The array is sparse: a place at which no match can begin, because one of the words that every
 window covers there isn't a benchmark word, isn't in it.
 
-The benchmark is the query set.  One that has more than ``BLOCK_BYTES`` of text is dealt by item over
-blocks of about half that, each broadcast by itself; documents carry what earlier blocks have
-found.
+The benchmark is the query set, repeated rows left out.  One that has more than ``BLOCK_BYTES`` of
+text is dealt by item over blocks of about half that, each broadcast by itself; what has been found is
+written after each block, so that one block at a time is in memory, and documents carry it on.
 
 Edge cases: a null or empty text has no words: as a document it is never hit, as an item it
 matches nothing.  An item with a null ``item_id`` marks words but isn't listed.  Rows with the
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from watchpost.llm.storage import written
 from watchpost.llm.words import ALPHANUMERIC, chunks, hash_words, split_words, word_hashes
 
 WINDOW = 10
@@ -179,7 +180,8 @@ def _match_shard(numbers: np.ndarray, text_of: np.ndarray, first: np.ndarray, su
 
 
 def _find(docs: DataFrame, block: DataFrame, *, text_col: str, width: int, found: str, keep: Sequence[str]):
-    """The columns ``keep`` and ``found``; what an earlier block has found is added to."""
+    """The columns ``keep`` and ``found``, and the block's broadcast; what an earlier block has found
+    is added to."""
     items = [(r["item_id"], r["text"]) for r in block.toLocalIterator()]  # a block has a fixed size
     query = Suffixes.of([i for i, _ in items], [t for _, t in items], width)
     shared = docs.sparkSession.sparkContext.broadcast(query)
@@ -204,7 +206,7 @@ def _find(docs: DataFrame, block: DataFrame, *, text_col: str, width: int, found
             yield pa.record_batch([*(batch.column(c) for c in keep), column], [*keep, found])
 
     fields = [docs.schema[c] for c in keep]
-    return docs.mapInArrow(match, T.StructType([*fields, T.StructField(found, FOUND_TYPE)]))
+    return docs.mapInArrow(match, T.StructType([*fields, T.StructField(found, FOUND_TYPE)])), shared
 
 
 _FOUND = to_arrow_type(FOUND_TYPE)
@@ -239,8 +241,9 @@ def _result(n: int, before: dict | None, rows: list[np.ndarray] | None, suffixes
 
 
 def benchmark_blocks(benchmark: DataFrame, *, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
-    """The benchmark in blocks of about ``block_bytes`` at most, dealt by item."""
-    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text"))
+    """The benchmark in blocks of about ``block_bytes`` at most, dealt by item; one longer item is a
+    block.  Rows that repeat an item count once, so that they don't fill a block."""
+    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     number = -(-size // block_bytes) * 2 if size > block_bytes else 1
     if number == 1:
@@ -276,8 +279,12 @@ def match_benchmark(
     keep = list(docs.columns if keep is None else keep)
     blocks = benchmark_blocks(benchmark, id_col=item_col, text_col=item_text_col, block_bytes=block_bytes)
     for k, block in enumerate(blocks):
-        columns = keep if k == len(blocks) - 1 else list(dict.fromkeys([*keep, text_col]))
-        docs = _find(docs, block, text_col=text_col, width=width, found=found, keep=columns)
+        last = k == len(blocks) - 1
+        columns = keep if last else list(dict.fromkeys([*keep, text_col]))
+        docs, shared = _find(docs, block, text_col=text_col, width=width, found=found, keep=columns)
+        if not last:  # one block at a time is in memory
+            docs = written(docs, "benchmark-matches")
+            shared.unpersist()
     return docs
 
 
