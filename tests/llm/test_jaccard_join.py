@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from watchpost.llm import jaccard_join as jj
 
 
-def shingle_set(text):
+def shingle_set(text, width):
     words = spaced_words(text, lower=True)
-    if len(words) < 4:
+    if len(words) < width:
         return {tuple(words)} if words else set()
-    return {tuple(words[i : i + 4]) for i in range(len(words) - 3)}
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
-def brute_components(rows):
+def brute_components(rows, width=4, percent=85):
     """By comparing all pairs: ``{position: (size, component)}``."""
-    sets = [shingle_set(text) for _, text in rows]
+    sets = [shingle_set(text, width) for _, text in rows]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -30,7 +30,7 @@ def brute_components(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
     names = {}
     for i, (doc_id, _) in enumerate(rows):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_decontaminate import brute as brute_matches
 from test_jaccard_join import brute_components
 from test_mixing import brute_targets
@@ -13,6 +14,7 @@ from test_repetition import verdict
 
 import corpus_pipeline
 from brute import spaced_words
+from watchpost.llm.storage import written
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +50,7 @@ def test_quality_rules(stages):
 
 def test_near_duplicates(stages):
     before, after = stages[1], stages[2]
-    components = brute_components([(r["doc_id"], r["text"]) for r in before])
+    components = brute_components([(r["doc_id"], r["text"]) for r in before], width=5, percent=80)
     assert ids(after) == Counter(d for d, _, component in components if d == component)
     assert len(after) < len(before)
 
@@ -89,6 +91,21 @@ def test_run_gives_the_last_stage(spark, sf_dir, stages):
     assert Counter(map(tuple, rows)) == Counter(map(tuple, stages[-1]))
 
 
+def test_extra_columns_go_through_all_stages(spark, sf_dir):
+    """Columns that are named like the results or the inner columns of stages keep their values."""
+    names = ["size", "shard", "target", "rate", "copies", "source_size", "text_crc32", "virtual_slot", "n", "component", "m", "node"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({c: F.concat(F.lit(c), "doc_id") for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"names-{name}")
+        assert docs.columns[5:] == names
+    rows = written(corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir), "names-shards").collect()
+    assert rows
+    made = {"size", "shard", "text_crc32", "virtual_slot"}
+    for r in rows:
+        assert all(r[f"own_{c}" if c in made else c] == f"{c}{r['doc_id']}" for c in names)
+        assert 0 <= r["shard"] < 40 and r["size"] == len(r["text"].encode()) + 16
+
+
 def test_empty_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
