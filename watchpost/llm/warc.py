@@ -195,7 +195,8 @@ def write_archives(
     for Spark; a file system that Arrow doesn't know is refused before any task begins.
     """
     spark = pages.sparkSession
-    folder = _qualified(spark, folder or new_folder(spark, "warc"))
+    folder = folder or new_folder(spark, "warc")
+    place = _qualified(spark, folder)
     rows = with_roles(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, min_bytes=min_bytes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,13 +216,13 @@ def write_archives(
         first = next(own, None)
         if first is None:
             return
-        system, path = _open(folder)
+        system, path = _open(place)
         system.create_dir(f"{path}/archives", recursive=True)
         archive = f"{path}/archives/{uuid.uuid4().hex}.warc.zst"
         with system.open_output_stream(archive, compression=None) as out:
             number = write_archive(out, _chained(first, own))
             size = out.tell()
-        yield pa.record_batch([[f"{folder}/archives/{archive.rpartition('/')[2]}"], [number], [size]], ["archive", "records", "bytes"])
+        yield pa.record_batch([[f"{place}/archives/{archive.rpartition('/')[2]}"], [number], [size]], ["archive", "records", "bytes"])
 
     rows.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
@@ -233,7 +234,7 @@ def _chained(first: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
 
 
 def _qualified(spark: SparkSession, folder: str) -> str:
-    """The folder with the scheme under which Spark knows it."""
+    """The folder as a URI, with the scheme under which Spark knows it, for Arrow."""
     spark.range(1).coalesce(1).write.parquet(f"{folder}/place")
     (file,) = spark.read.parquet(f"{folder}/place").inputFiles()
     whole = file.rpartition("/place/")[0]
