@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
+from time import perf_counter
 from urllib.parse import urlsplit
 
+import pytest
 from pyspark.sql import functions as F
 
 from watchpost.llm import line_dedup as ld
@@ -57,3 +60,38 @@ def test_text_of_a_page(spark):
 
 def test_empty_table(spark):
     assert ld.drop_boilerplate_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def plain_lines(html):
+    """The rules as plain expressions, over the whole page each."""
+    import re
+
+    text = html
+    for name in ("script", "style"):
+        text = re.sub(rf"(?is)<{name}\b[^<>]*>.*?</{name}\s*>", " ", text, flags=re.A)
+    text = re.sub(r"(?s)<!--.*?-->", " ", text)
+    blocks = ld.BLOCK.replace("*+", "*")
+    text = re.sub(r"<[^<>]*>", "", re.sub(blocks, "\n", text, flags=re.A))
+    return [x for x in (line.strip(" ") for line in re.sub(r"[\t\x0b\f\r ]+", " ", text).split("\n")) if x]
+
+
+def test_broken_pages_equal_plain_expressions(spark):
+    draw = random.Random(6)
+    pieces = ["<", ">", "<script>", "</script>", "</SCRIPT >", "<script <b>", "<style a='x'>", "</style>", "<!--", "-->", "<!-->",
+              "<p", "<p>", "</div\n>", "a", " b ", "\n", "--", "</", "<i>", "scripts", "<scripts>"]
+    html = ["".join(draw.choice(pieces) for _ in range(draw.randrange(30))) for _ in range(400)]
+    pages = spark.createDataFrame([(i, h) for i, h in enumerate(html)], "i int, html string")
+    for r in pages.select("i", ld.page_lines(F.col("html")).alias("lines")).collect():
+        assert r["lines"] == plain_lines(html[r["i"]]), html[r["i"]]
+
+
+@pytest.mark.parametrize("unit", ["<", "<script>", "<script", "</script ", "<!--", "<!-- >", "<p ", "</", "<style>x</script>", "-->", "  \t"])
+def test_time_is_about_linear_in_one_page(spark, unit):
+    def took(chars):
+        pages = spark.createDataFrame([(unit * (chars // len(unit)) + "x",)], "html string")
+        started = perf_counter()
+        pages.select(F.size(ld.page_lines(F.col("html")))).collect()
+        return perf_counter() - started
+
+    took(1000)
+    assert took(1_000_000) < 8 * max(took(250_000), 0.3)

@@ -11,8 +11,8 @@ so Spark knows their size when it joins them to the pages: it broadcasts them or
 
 Edge cases: a null or empty page has no lines; a page without a host, or a host with fewer pages
 than ``min_pages``, keeps all its lines; a line counts once for a page that repeats it; repeated
-rows are pages of their own; an empty table has an empty result.  Only the columns named are
-looked at.
+rows are pages of their own; an empty table has an empty result.  Time grows in proportion to a page's
+length, whatever it is made of.  Only the columns named are looked at.
 """
 
 from __future__ import annotations
@@ -26,13 +26,18 @@ RATIO = (3, 10)  # a line on more than this share of the host's pages goes
 MIN_PAGES = 4  # of a host, below which nothing is said about its lines
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-# What is no text, block elements, which end a line, and other elements, which don't.
-REMOVED = (r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>", r"(?s)<!--.*?-->")
+# What is no text, with what ends it; block elements, which end a line, and other elements, which
+# don't.  A tag has no "<" inside, so that one without an end isn't looked for twice.
+REMOVED = {
+    r"(?is)<script\b[^<>]*+>.*?</script\s*+>": r"(?i)</script\s*+>",
+    r"(?is)<style\b[^<>]*+>.*?</style\s*+>": r"(?i)</style\s*+>",
+    r"(?s)<!--.*?-->": r"-->",
+}
 BLOCK = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|"
-    r"nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
+    r"nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*+>"
 )
-INLINE = r"<[^>]*>"
+INLINE = r"<[^<>]*+>"
 BLANKS = r"[\t\x0B\f\r ]+"
 
 
@@ -44,8 +49,11 @@ def host_of(url: Column) -> Column:
 def page_lines(html: Column) -> Column:
     """Lines of a page's text that aren't blank, white space reduced to single spaces."""
     text = F.coalesce(html, F.lit(""))
-    for pattern in REMOVED:
-        text = F.regexp_replace(text, pattern, " ")
+    for pattern, end in REMOVED.items():
+        # Up to the last end, each beginning finds one; after it, none does and none is looked for.
+        rest = F.element_at(F.split(text, end), -1)
+        closed = F.left(text, F.length(text) - F.length(rest))
+        text = F.concat(F.regexp_replace(closed, pattern, " "), rest)
     text = F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), INLINE, "")
     lines = F.transform(F.split(F.regexp_replace(text, BLANKS, " "), "\n"), lambda line: F.trim(line))
     return F.filter(lines, lambda line: line != "")
