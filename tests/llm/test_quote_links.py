@@ -23,7 +23,7 @@ def split(line):
 
 
 def units(text):
-    """``(level, normalised passage)`` of runs, paragraphs and lines."""
+    """``(level, normalised passage)`` of runs, paragraphs and, from 8 characters on, lines."""
     lines = [split(x) for x in (text or "").split("\n")]
     found = set()
     for paragraphs in (False, True):
@@ -32,8 +32,8 @@ def units(text):
             if i == len(lines) or lines[i][0] != lines[i - 1][0] or paragraphs and lines[i - 1][1] == "":
                 found.add((lines[begin][0], norm(" ".join(c for _, c in lines[begin:i]))))
                 begin = i
-    found |= {(level, norm(content)) for level, content in lines}
-    return {(level, passage) for level, passage in found if len(passage) >= 8}
+    found |= {(level, norm(content)) for level, content in lines if len(norm(content)) >= 8}
+    return {(level, passage) for level, passage in found if passage}
 
 
 def brute(rows):
@@ -122,6 +122,40 @@ def test_nested_quotes_and_clean_text(spark):
     assert [found[t]["text"] for t in range(1, 4)] == ["Use order by, it spills.", "Thank you very much", "Really not"]
 
 
+SHORT = [x for k, word in enumerate(["x", "no", "Why?", "はい", "そうですか", "thanks", "seven77", "这个问题很好吗"]) for x in (
+    (k, 0, "user", word), (k, 1, "assistant", f"> {word}\nBecause."), (k, 2, "user", f"first\n\n{word}\n\nlast one"),
+    (k, 3, "user", f"> {word}"))]
+
+
+def test_short_passages_link_where_they_are_whole(spark):
+    found = {(r["conv_id"], r["turn"]): r for r in ql.link_quotations(spark.createDataFrame(SHORT, SCHEMA)).collect()}
+    for k in range(8):
+        assert [found[k, t]["parent_turn"] for t in range(4)] == [None, 0, None, 0]
+        assert found[k, 1]["text"] == "Because."
+    assert answer(found.values()) == brute(SHORT)
+
+
+def test_short_lines_of_longer_passages_link_nothing(spark):
+    rows = [(1, 0, "a", "yes\nand more words here"), (1, 1, "b", "> yes\nok"), (1, 2, "b", "> yes\n> other words there\nok")]
+    found = {r["turn"]: r["parent_turn"] for r in ql.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {0: None, 1: None, 2: None}
+
+
+@pytest.mark.parametrize("unit", ["> a\nb\n", "a\n", " ", "\n", "> ", "wrote: x ", "a  \t "])
+def test_time_is_about_linear_in_one_message(spark, unit):
+    from time import perf_counter
+
+    def took(chars):
+        rows = [(1, 0, "a", unit * (chars // len(unit)) + "x"), (1, 1, "b", "> some words")]
+        df = spark.createDataFrame(rows, SCHEMA)
+        started = perf_counter()
+        ql.link_quotations(df).write.format("noop").mode("overwrite").save()
+        return perf_counter() - started
+
+    took(1000)
+    assert took(800_000) < 8 * max(took(200_000), 1.0)
+
+
 def test_a_long_chain_needs_few_rounds(spark):
     rows = [(1, i, "user", (f"> message number {i - 1} here\n" if i else "") + f"message number {i} here") for i in range(40)]
     found = ql.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()
@@ -141,7 +175,7 @@ def test_edge_cases(spark):
     assert ql.link_quotations(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("rows", [NESTED, conversations(5), [(1, 0, "u", None), (1, 1, "u", "> "), (None, None, None, "")]])
+@pytest.mark.parametrize("rows", [NESTED, SHORT, conversations(5), [(1, 0, "u", None), (1, 1, "u", "> "), (None, None, None, "")]])
 def test_statement_links_like_the_operator(spark, tmp_path, rows):
     """The registered SQL over messages that do quote."""
     frame = spark.createDataFrame(rows, SCHEMA)

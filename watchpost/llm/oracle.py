@@ -10,15 +10,15 @@ ALPHANUMERIC = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 # Text of a page as lines: what is no text goes, block elements end a line, other elements go.
 _TEXT = "coalesce(html, '')"
 for _pattern, _by in (
-    (r"(?is)<script\b[^>]*>.*?</script\s*>", "' '"),
-    (r"(?is)<style\b[^>]*>.*?</style\s*>", "' '"),
+    (r"(?is)<script\b[^<>]*>.*?</script\s*>", "' '"),
+    (r"(?is)<style\b[^<>]*>.*?</style\s*>", "' '"),
     (r"(?s)<!--.*?-->", "' '"),
     (
         r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|"
-        r"nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>",
+        r"nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>",
         "chr(10)",
     ),
-    (r"<[^>]*>", "''"),
+    (r"<[^<>]*>", "''"),
     (r"[\t\x0B\f\r ]+", "' '"),
 ):
     _TEXT = f"regexp_replace({_TEXT}, '{_pattern}', {_by}, 'g')"
@@ -159,20 +159,23 @@ split_lines as (
   select *, sum(new_run::int) over w as run, sum((new_run or after_blank)::int) over w as paragraph
   from flagged window w as (partition by id order by i)
 ), passages as (
-  select conv_id, turn, level, string_agg(content, ' ' order by i) as passage from numbered group by id, conv_id, turn, level, run
+  select conv_id, turn, level, string_agg(content, ' ' order by i) as passage, true as whole
+  from numbered group by id, conv_id, turn, level, run
   union all
-  select conv_id, turn, level, string_agg(content, ' ' order by i) from numbered group by id, conv_id, turn, level, paragraph
+  select conv_id, turn, level, string_agg(content, ' ' order by i), true
+  from numbered group by id, conv_id, turn, level, paragraph
   union all
-  select conv_id, turn, level, content from numbered
+  select conv_id, turn, level, content, false from numbered
 ), units as (
-  select distinct conv_id, turn, level, trim(regexp_replace(lower(passage), '[^\p{L}\p{N}]+', ' ', 'g')) as passage
-  from passages
+  select distinct conv_id, turn, level, passage from (
+    select * replace (trim(regexp_replace(lower(passage), '[^\p{L}\p{N}]+', ' ', 'g')) as passage) from passages)
+  where length(passage) >= 8 or whole and passage <> ''
 ), origins as (
-  select conv_id, passage, min(turn) as origin from units where level = 0 and length(passage) >= 8 group by all
+  select conv_id, passage, min(turn) as origin from units where level = 0 group by all
 ), votes as (
   select u.conv_id, u.turn, u.level, o.origin, sum(length(u.passage)) as chars
   from units u join origins o on u.conv_id is not distinct from o.conv_id and u.passage = o.passage
-  where u.level > 0 and length(u.passage) >= 8 and o.origin < u.turn
+  where u.level > 0 and o.origin < u.turn
   group by all
 ), links as (
   select conv_id, turn, first(origin order by level, chars desc, origin) as parent,

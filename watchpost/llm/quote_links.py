@@ -18,6 +18,9 @@ conversation null; one with a null turn is never an original or a reply, and com
 quote of a later message or of the message itself links nothing; rows with equal conversation and
 turn are one message for links and order, and each row is returned with its own text; ties between
 originals go to the earlier one.  Only the columns named are looked at.
+
+A passage or paragraph links at any length; a single line of a longer passage needs ``MIN_CHARS``
+letters, since short lines ("yes") are said often.  Time grows in proportion to a text's length.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from pyspark.sql import functions as F
 from watchpost.llm.ranking import numbered_within, prefixed, same
 from watchpost.llm.storage import checkpointed, written
 
-MIN_CHARS = 8  # of a normalised passage that can link
+MIN_CHARS = 8  # of a normalised line that can link on its own; whole passages link at any length
 KEY = ["conv", "turn"]
-# Fixed value: how a line that introduces a quote ends, in four languages.
-ATTRIBUTION = r"(?i)(wrote|schrieb|écrit|escribió).*:\s*$"
+# Fixed value: what a line that introduces a quote says before its colon, in four languages.
+ATTRIBUTION = r"(?i)wrote|schrieb|écrit|escribió"
+BLANKS = " \t\n\x0b\f\r"
 
 
 def quote_level(line: Column) -> Column:
@@ -40,7 +44,7 @@ def quote_level(line: Column) -> Column:
 
 
 def line_content(line: Column) -> Column:
-    return F.regexp_replace(line, r"^[> \t]*|\s+$", "")
+    return F.rtrim(F.ltrim(line, F.lit("> \t")), F.lit(BLANKS))
 
 
 def normalised(text: Column) -> Column:
@@ -48,12 +52,16 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def _runs(lines: str, boundary: str) -> Column:
-    """Passages of consecutive lines; ``boundary`` says, for the line's number ``i``, where one begins."""
-    starts = f"filter(sequence(0, size({lines}) - 1), i -> i = 0 or {boundary})"
+def _starts(boundary: str) -> Column:
+    """Numbers of the lines at which a passage begins; ``boundary`` says so for line ``i``."""
+    return F.expr(f"filter(sequence(0, size(lines) - 1), i -> i = 0 or {boundary})")
+
+
+def _runs(starts: str) -> Column:
+    """Passages of consecutive lines, from the column of their first lines."""
     return F.expr(
-        f"transform({starts}, (s, k) -> struct({lines}[s].level as level, s as begin,"
-        f" coalesce(get({starts}, k + 1), size({lines})) as end))"
+        f"transform({starts}, (s, k) -> struct(lines[s].level as level, s as begin,"
+        f" coalesce(get({starts}, k + 1), size(lines)) as end, true as whole))"
     )
 
 
@@ -64,24 +72,30 @@ def _with_lines(messages: DataFrame) -> DataFrame:
         lambda x: F.struct(quote_level(x).alias("level"), line_content(x).alias("content"), x.alias("line")),
     )
     level = "lines[i].level <> lines[i - 1].level"
-    return (
-        messages.withColumn("lines", lines)
-        .withColumn("runs", _runs("lines", level))
-        .withColumn("paragraphs", _runs("lines", f"{level} or lines[i - 1].content = ''"))
+    # First lines are columns of their own, so that they are found once and not for each passage.
+    begun = messages.withColumn("lines", lines).withColumns(
+        {"run_starts": _starts(level), "paragraph_starts": _starts(f"{level} or lines[i - 1].content = ''")}
+    )
+    return begun.withColumns({"runs": _runs("run_starts"), "paragraphs": _runs("paragraph_starts")}).drop(
+        "run_starts", "paragraph_starts"
     )
 
 
 def _units(rows: DataFrame, where: str) -> DataFrame:
-    """``(conv, turn, level, hash, chars)`` of the passages, paragraphs and lines whose level fits."""
-    text = "array_join(transform(slice(lines, u.begin + 1, u.end - u.begin), l -> l.content), ' ')"
+    """``(conv, turn, level, hash, chars)`` of the passages, paragraphs and lines whose level fits;
+    a passage may come more than once."""
+    # A passage's text is put together before passages become rows, so that no row carries all lines.
     parts = (
-        "array_union(array_union(runs, paragraphs),"
-        " transform(sequence(0, size(lines) - 1), i -> struct(lines[i].level as level, i as begin, i + 1 as end)))"
+        "concat(runs, paragraphs, transform(sequence(0, size(lines) - 1),"
+        " i -> struct(lines[i].level as level, i as begin, i + 1 as end, false as whole)))"
     )
+    text = "array_join(transform(slice(lines, u.begin + 1, u.end - u.begin), l -> l.content), ' ')"
+    passages = f"transform(filter({parts}, u -> u.level {where}), u -> struct(u.level, u.whole, {text} as text))"
+    long_enough = (F.length("passage") >= MIN_CHARS) | (F.col("whole") & (F.length("passage") > 0))
     return (
-        rows.select(*KEY, "lines", F.explode(F.expr(f"filter({parts}, u -> u.level {where})")).alias("u"))
-        .select(*KEY, "u.level", normalised(F.expr(text)).alias("passage"))
-        .where(F.length("passage") >= MIN_CHARS)
+        rows.select(*KEY, F.explode(F.expr(passages)).alias("u"))
+        .select(*KEY, "u.level", "u.whole", normalised(F.col("u.text")).alias("passage"))
+        .where(long_enough)
         # 128 bits stand for the passage.
         .select(*KEY, "level", F.md5("passage").alias("hash"), F.length("passage").alias("chars"))
     )
@@ -128,7 +142,7 @@ def own_text() -> Column:
         " (coalesce(get(lines, i + 1).level, 0) > 0 and lines[i].introduces))"
     )
     joined = F.array_join(F.transform(kept, lambda i: F.expr("lines")[i]["line"]), "\n")
-    return F.regexp_replace(joined, r"^\n+|\n+$", "")
+    return F.trim(joined, F.lit("\n"))
 
 
 def link_quotations(
@@ -165,9 +179,10 @@ def link_quotations(
         F.array_join(F.coalesce("quoted", F.array().cast("array<string>")), ",").alias("quoted_turns"),
     )
     placed = prefixed(numbered_within(placed, ["conv"], ["thread", "turn"], "position"), KEY)
+    introduces = lambda x: F.rtrim(x, F.lit(BLANKS)).endswith(":") & x.rlike(ATTRIBUTION)
     marked = F.transform(
         "lines",
-        lambda x: F.struct(x["level"].alias("level"), x["line"].alias("line"), x["line"].rlike(ATTRIBUTION).alias("introduces")),
+        lambda x: F.struct(x["level"].alias("level"), x["line"].alias("line"), introduces(x["line"]).alias("introduces")),
     )
     clean = lined.withColumn("lines", marked)
     return clean.join(placed, same(clean, placed, KEY)).select(
