@@ -58,11 +58,8 @@ def repeated(groups: DataFrame, count: str, number: str, block_rows: int = BLOCK
     makes them all.
     """
     n = F.col(count)
-    few = groups.where(n <= block_rows).withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), n)))
     last = F.floor((n - 1) / block_rows)
-    blocks = groups.where(n > block_rows).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    blocks = groups.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     first = F.col("__block") * block_rows
-    many = blocks.repartition("__block", *groups.columns).withColumn(
-        number, F.explode(F.sequence(first + 1, F.least(first + block_rows, n)))
-    )
-    return few.unionByName(many.drop("__block"))
+    numbers = F.sequence(first + 1, F.least(first + block_rows, n))
+    return blocks.repartition("__block", *groups.columns).withColumn(number, F.explode(numbers)).drop("__block")
