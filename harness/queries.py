@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 from harness.mapping import AS_OF, raw_tables, run_logs
 from harness.scratch import scratch_folder
 from watchpost.functions.clock import AsOf
-from watchpost.operators import detection, header, health, lifecycle, operations, quality, reliability, rules, timelines
+from watchpost.operators import detection, header, health, lifecycle, operations, quality, reliability, rules, sketches, timelines
 from watchpost.plans.incremental import HealthMart
 from watchpost.plans.rebuild import materialize_star
 from watchpost.plans.star import MODEL_NAMES, StarSchema
 from watchpost.sources.run_log import parse_run_log, read_run_log
+from watchpost.sources.warehouse import write_table
 from watchpost.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,8 @@ STREAM_WINDOW, STREAM_DELAY_DAYS = "6 hours", 5
 MOMENT = AsOf.of(AS_OF)
 # A site of the driver's tables with towers, detections and incidents, and one without any tower.
 SITE, EMPTY_SITE = "S05", "S22"
+# Ranges answered from sketches: a name, the first day, a site.
+SKETCHED = (("all", None, None), ("last", "2024-01-24", None), ("site", None, SITE))
 
 
 def star(spark: SparkSession, sf_dir: str) -> StarSchema:
@@ -57,8 +61,7 @@ def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps of build logs that lie in files, one document in each, spread over lines."""
     folder = scratch_folder(spark, "logs")
     document = F.to_json(F.struct("*"), {"pretty": "true"}).alias("value")
-    logs = run_logs(spark, sf_dir).select(document, F.col("metadata.generated_at").alias("build"))
-    logs.write.partitionBy("build").text(folder)
+    run_logs(spark, sf_dir).select(document).write.option("maxRecordsPerFile", 1).text(folder)
     return health.run_log_steps(read_run_log(spark, folder, multiline=True))
 
 
@@ -89,6 +92,24 @@ def health_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.table()
 
 
+def sketched_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of ranges of days from stored sketches: whether their ranks are within the error."""
+    tables = star(spark, sf_dir)
+    path = f"{scratch_folder(spark, 'sketches')}/response"
+    write_table(sketches.response_sketches(tables), path, partition_by="detection_date")
+    stored = spark.read.parquet(path)
+    alerts, day = tables["fct_alert_pipeline_latency"], F.col("detection_date")
+    rows = []
+    for name, first, site in SKETCHED:
+        begin = date.fromisoformat(first) if first else None
+        answers = sketches.percentiles_between(stored, begin, site_id=site)
+        chosen = alerts if begin is None else alerts.where(day >= F.lit(begin))
+        errors = sketches.rank_errors(chosen if site is None else chosen.where(F.col("site_id") == site), answers)
+        right = [(F.col(p) <= sketches.RANK_ERROR).alias(f"{p}_right") for p in detection.PERCENTILES]
+        rows.append(errors.select(F.lit(name).alias("days"), "stage", "n", *right))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _checksum(table: DataFrame) -> Column:
     """Sum over all rows of a hash of all values in order, the same in any order of rows."""
 
@@ -184,6 +205,7 @@ QUERIES: dict[str, Query] = {
     # batches and streams
     "health_by_batches": health_by_batches,
     "detection_windows": detection_windows,
+    "sketched_percentiles": sketched_percentiles,
     # component lifecycle
     "component_survival": _on_star(lifecycle.component_survival),
     "remaining_life": _on_star(lifecycle.remaining_life),

@@ -5,9 +5,9 @@ hold a column of doubles at 100 TB.  Here the column becomes a histogram spread
 cluster.  The range of its values is cut into a fixed number of cells; running totals over
 the cells show which cell holds each wanted rank; the values of only those cells are cut in
 the same way, by the range that they have, and what is left in the cell that is hit then is
-ordered value by value.  So two windows see at most ``CELLS`` + 2 rows for each percentile,
-whatever the number and the span of the values, and the last one the different values within
-a part in 2^32 of the range, unless outliers take most of it twice over.
+ordered value by value.  So two windows see at most ``CELLS`` + 2 rows for each measure or
+cell hit, whatever the number and the span of the values, and the last one the different values
+within a part in 2^32 of the range, unless outliers take most of it twice over.
 """
 
 from __future__ import annotations
@@ -79,11 +79,9 @@ def _exact(values: DataFrame, probabilities: Mapping[str, float], cells: int) ->
     inner = _in_cells(inner, F.broadcast(inner.groupBy(*group).agg(*_span())), group, "part", cells)
     targets = _narrowed(inner, targets, group, "part")
 
-    ordered = Window.partitionBy("measure", "prob", "edge").orderBy("value")
-    counted = inner.join(F.broadcast(targets), [*group, "part"]).withColumn(
-        "end", F.col("before") + F.sum("n").over(ordered)
-    )
-    hits = counted.where(_holds_rank())
+    # What is left, ordered once; every rank that falls into a part finds its value there.
+    left = inner.join(F.broadcast(targets.select(*group, "part").distinct()), [*group, "part"])
+    hits = _hits(left, targets, [*group, "part"], "value")
 
     def at(prob: int, edge: str) -> Column:
         return F.max(F.when((F.col("prob") == prob) & (F.col("edge") == edge), F.col("value")))
@@ -137,14 +135,19 @@ def _ranks(spans: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
     )
 
 
+def _hits(counts: DataFrame, targets: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Targets with the row of ``counts`` that holds their rank; running totals are taken once for
+    each group, not for each target, and all targets of a group have the same rows before it."""
+    totals = Window.partitionBy(*group).orderBy(order)
+    running = counts.withColumn("end", F.sum("n").over(totals))
+    found = running.join(F.broadcast(targets), group).withColumn("end", F.col("before") + F.col("end"))
+    return found.where(_holds_rank())
+
+
 def _narrowed(rows: DataFrame, targets: DataFrame, group: list[str], name: str) -> DataFrame:
     """Targets with the cell that holds their rank, and the rows before that cell."""
     counts = rows.groupBy(*group, name).agg(F.sum("n").alias("n"))
-    ordered = Window.partitionBy("measure", "prob", "edge").orderBy(name)
-    counted = counts.join(F.broadcast(targets), group).withColumn(
-        "end", F.col("before") + F.sum("n").over(ordered)
-    )
-    hit = counted.where(_holds_rank()).withColumn("before", F.col("end") - F.col("n"))
+    hit = _hits(counts, targets, group, name).withColumn("before", F.col("end") - F.col("n"))
     return hit.drop("n", "end")
 
 

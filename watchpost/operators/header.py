@@ -22,10 +22,10 @@ NEGLIGIBLE = 0.05
 
 
 def site_options(tables: Tables) -> DataFrame:
-    """Sites for the selector, by name, with the text shown."""
+    """Sites for the selector, by name, with the text shown; counts of towers aren't needed."""
     label = F.concat_ws("  ·  ", "site_name", "site_id")
     return (
-        tables["dim_site"]
+        tables["stg_sites" if "stg_sites" in tables else "dim_site"]
         .select("site_id", "site_name", "region", label.alias("label"))
         .orderBy(F.asc_nulls_last("site_name"), "site_id")
     )
@@ -36,8 +36,10 @@ def last_telemetry(tables: Tables) -> DataFrame:
 
 
 def active_towers(tables: Tables, *, site_id: str | None = None) -> DataFrame:
-    active = F.count_if(F.col("status") == "active")
-    return at_site(tables["dim_tower"], site_id).agg(active.alias("active_towers"))
+    """Active towers; only with a site does the tower's site have to be a known one."""
+    whole = site_id is None and "stg_towers" in tables
+    towers = tables["stg_towers"] if whole else at_site(tables["dim_tower"], site_id)
+    return towers.agg(F.count_if(F.col("status") == "active").alias("active_towers"))
 
 
 def active_deployments(tables: Tables, *, site_id: str | None = None) -> DataFrame:
