@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from watchpost.llm import repetition as rp
 from watchpost.llm.queries import op8_repetition_rules
+from watchpost.llm.repetition import MAX_COVERAGE, base_failed, measure_repetition, without_repetition
 
 
 def covered(words, width):
@@ -94,8 +95,44 @@ def test_filter_keeps_columns_and_clean_rows(spark, documents):
         rp.measure_repetition(docs, measures="n_words")
 
 
-def test_coverage_limits_reject_repetition_that_the_base_rules_pass(spark, documents):
-    unique = [f"w{i}" for i in range(300)]
-    twice = " ".join(unique[:60] + unique[60:180] + unique[:60])  # a passage of sixty words, twice
-    rows = [verdict(brute(t)) for t in (" ".join(unique), twice)]
-    assert rows == [(False, True), (True, False)] or rows == [(False, True), (False, False)]
+def passages(total, covered, width):
+    """``total`` words of one length; passages of ``width`` words, each there twice, hold ``covered``."""
+    number = iter(range(100_000))
+    new = lambda n: [f"w{next(number):05d}" for _ in range(n)]
+    own = [new(width) for _ in range(covered // (2 * width))]
+    text = [w for p in own * 2 for w in [*p, *new(1)]]
+    return " ".join(text + new(total - len(text)))
+
+
+@pytest.mark.parametrize("gram, percent, width", [(5, 40, 6), (7, 35, 8), (10, 30, 12)])
+def test_the_limit_of_each_length(spark, documents, gram, percent, width):
+    """Just below its limit a text stays, just above it goes; shorter passages don't count for longer grams."""
+    step = 2 * width
+    total = 100 * step
+    below, above = passages(total, percent * step, width), passages(total, (percent + 1) * step, width)
+    docs = documents([below, above])
+    assert [r["doc_id"] for r in without_repetition(docs).collect()] == [0]
+    for row, covered in zip(measure_repetition(docs).orderBy("doc_id").collect(), (percent, percent + 1)):
+        m = row["repetition"]
+        assert m[f"dup_chars_{gram}"] * 100 == covered * m["word_chars"]
+        assert all(m[f"dup_chars_{longer}"] == 0 for longer in MAX_COVERAGE if longer > width)
+
+
+def test_the_limit_of_repeated_lines(spark, documents):
+    """Lines of two long words, too short for repeated windows of three."""
+    def text(repeated):
+        lines = [f"{'a' * 45}{i:03d} {'b' * 46}{i % 50:03d}" for i in range(50)]
+        unique = [f"{'c' * 90}{i:04d} n{i:03d}" for i in range(100 - 50 - repeated)]
+        return "\n".join(x for pair in zip(lines + lines[:repeated], [*unique, *[""] * 100]) for x in pair if x)
+
+    docs = documents([text(28), text(34)])
+    assert [r["doc_id"] for r in without_repetition(docs).collect()] == [0]
+    assert not any(r["failed"] for r in measure_repetition(docs).select(base_failed("repetition").alias("failed")).collect())
+
+
+def test_repeated_headings_stay(spark, documents):
+    """Records with a heading of ten words and twenty-five of their own."""
+    heading = " ".join(f"h{i}" for i in range(10))
+    text = "\n".join(f"{heading}\n" + " ".join(f"w{r}x{i}" for i in range(25)) for r in range(12))
+    assert without_repetition(documents([text])).count() == 1
+
