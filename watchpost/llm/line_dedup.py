@@ -17,6 +17,8 @@ length, whatever it is made of.  Only the columns named are looked at.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,12 @@ RATIO = (3, 10)  # a line on more than this share of the host's pages goes
 MIN_PAGES = 4  # of a host, below which nothing is said about its lines
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-# What is no text, with what ends it; block elements, which end a line, and other elements, which
+# What is no text, with a text up to the last place where such a thing ends; block elements, which end a line, and other elements, which
 # don't.  A tag has no "<" inside, so that one without an end isn't looked for twice.
 REMOVED = {
-    r"(?is)<script\b[^<>]*+>.*?</script\s*+>": r"(?i)</script\s*+>",
-    r"(?is)<style\b[^<>]*+>.*?</style\s*+>": r"(?i)</style\s*+>",
-    r"(?s)<!--.*?-->": r"-->",
+    r"(?is)<script\b[^<>]*+>.*?</script\s*+>": r"(?is)^(.*</script\s*+>)",
+    r"(?is)<style\b[^<>]*+>.*?</style\s*+>": r"(?is)^(.*</style\s*+>)",
+    r"(?s)<!--.*?-->": r"(?s)^(.*-->)",
 }
 BLOCK = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|"
@@ -46,14 +48,27 @@ def host_of(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(""))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _without(text: Column, pattern: str, until_last_end: str) -> Column:
+    """Up to the last end, each beginning finds one; after it, none does and none is looked for."""
+    return _bound(
+        text,
+        lambda t: _bound(
+            F.regexp_extract(t, until_last_end, 1),
+            lambda closed: F.concat(F.regexp_replace(closed, pattern, " "), F.substr(t, F.length(closed) + 1)),
+        ),
+    )
+
+
 def page_lines(html: Column) -> Column:
     """Lines of a page's text that aren't blank, white space reduced to single spaces."""
     text = F.coalesce(html, F.lit(""))
-    for pattern, end in REMOVED.items():
-        # Up to the last end, each beginning finds one; after it, none does and none is looked for.
-        rest = F.element_at(F.split(text, end), -1)
-        closed = F.left(text, F.length(text) - F.length(rest))
-        text = F.concat(F.regexp_replace(closed, pattern, " "), rest)
+    for pattern, until_last_end in REMOVED.items():
+        text = _without(text, pattern, until_last_end)
     text = F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), INLINE, "")
     lines = F.transform(F.split(F.regexp_replace(text, BLANKS, " "), "\n"), lambda line: F.trim(line))
     return F.filter(lines, lambda line: line != "")
@@ -85,9 +100,11 @@ def drop_boilerplate_lines(
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """``(id_col, host, n_lines, n_dropped, text)`` for each page; ``text``: the lines that are left."""
-    lined = pages.select(
+    cut = pages.select(
         F.col(id_col).alias("page"), host_of(F.col(url_col)).alias("host"), page_lines(F.col(html_col)).alias("lines")
-    ).withColumn("hashes", F.transform("lines", F.md5))
+    )
+    # Pages are cut into lines once; what is written is shorter than the pages.
+    lined = written(cut, "page-lines").withColumn("hashes", F.transform("lines", F.md5))
     table = written(boilerplate(lined, ratio=ratio, min_pages=min_pages), "boilerplate")
     lists = table.withColumnRenamed("host", "__host")
     joined = lined.drop("hashes").join(lists, F.col("host") == F.col("__host"), "left")
