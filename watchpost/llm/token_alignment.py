@@ -113,19 +113,34 @@ class Encoders:
         ]
         self.length_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.flat_a, self.flat_b = (np.frombuffer(b"".join(x), np.uint8) for x in (self.bytes_a, self.bytes_b))
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both; none if their bytes aren't those of the text."""
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both for each text; none if their bytes aren't those of the text."""
         none = np.empty(0, np.int64)
-        if not text:
-            return none, none
-        spaced = " " + text
-        a, b = self.a.encode_to_numpy(spaced, disallowed_special=()), self.b.EncodeAsNumpy(text)
-        whole = spaced.encode()
-        same = whole == b"".join(map(self.bytes_a.__getitem__, a.tolist())) and whole == b"".join(
-            map(self.bytes_b.__getitem__, b.tolist())
-        )
-        return (a, b) if same else (none, none)
+        spaced = [" " + text if text else "" for text in texts]
+        a = [self.a.encode_to_numpy(x, disallowed_special=()).astype(np.int64) if x else none for x in spaced]
+        b = [self.b.EncodeAsNumpy(x[1:]).astype(np.int64) if x else none for x in spaced]
+        whole = [x.encode() for x in spaced]
+        if self._join_to(whole, a, self.flat_a, self.length_a) and self._join_to(whole, b, self.flat_b, self.length_b):
+            return list(zip(a, b))
+        # Somewhere they don't: each text by itself.
+        fits = [
+            self._join_to([w], [x], self.flat_a, self.length_a) and self._join_to([w], [y], self.flat_b, self.length_b)
+            for w, x, y in zip(whole, a, b)
+        ]
+        return [(x, y) if fit else (none, none) for x, y, fit in zip(a, b, fits)]
+
+    @staticmethod
+    def _join_to(whole: list[bytes], ids: list[np.ndarray], flat: np.ndarray, length: np.ndarray) -> bool:
+        """Whether the bytes of each text's tokens are the text's bytes."""
+        if any(len(w) != length[x].sum() for w, x in zip(whole, ids)):
+            return False
+        tokens = np.concatenate(ids)
+        sizes = length[tokens]
+        begins = np.cumsum(length) - length
+        places = np.repeat(begins[tokens] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.array_equal(flat[places], np.frombuffer(b"".join(whole), np.uint8))
 
 
 def _common_ends(
@@ -194,10 +209,9 @@ class Aligned:
     @classmethod
     def of(cls, encoders: Encoders, texts: list[str | None]) -> Aligned:
         a, b, first_a, first_b = [], [], [0], [0]
-        for text in texts:
-            ids_a, ids_b = encoders.encode(text)
-            a.append(ids_a.astype(np.int64))
-            b.append(ids_b.astype(np.int64))
+        for ids_a, ids_b in encoders.encode(texts):
+            a.append(ids_a)
+            b.append(ids_b)
             first_a.append(first_a[-1] + len(ids_a))
             first_b.append(first_b[-1] + len(ids_b))
         a, b = np.concatenate(a), np.concatenate(b)
