@@ -74,13 +74,13 @@ def _exact(values: DataFrame, probabilities: Mapping[str, float], cells: int) ->
     celled = _in_cells(histogram, F.broadcast(spans.select("measure", "low", "high")), ["measure"], "cell", cells)
     targets = _narrowed(celled, _ranks(spans, probabilities), ["measure"], "cell")
 
-    inner = celled.join(F.broadcast(targets.select("measure", "cell").distinct()), ["measure", "cell"])
     group = ["measure", "cell"]
+    inner = celled.join(F.broadcast(targets.select(*group)), group, "left_semi")
     inner = _in_cells(inner, F.broadcast(inner.groupBy(*group).agg(*_span())), group, "part", cells)
     targets = _narrowed(inner, targets, group, "part")
 
     # What is left, ordered once; every rank that falls into a part finds its value there.
-    left = inner.join(F.broadcast(targets.select(*group, "part").distinct()), [*group, "part"])
+    left = inner.join(F.broadcast(targets.select(*group, "part")), [*group, "part"], "left_semi")
     hits = _hits(left, targets, [*group, "part"], "value")
 
     def at(prob: int, edge: str) -> Column:
