@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from watchpost.llm.storage import written
+from watchpost.llm.storage import shared_value, value_of, written
 from watchpost.llm.words import ALPHANUMERIC, chunks, hash_words, split_words, word_hashes
 
 WINDOW = 10
@@ -184,11 +184,11 @@ def _find(docs: DataFrame, block: DataFrame, *, text_col: str, width: int, found
     is added to."""
     items = [(r["item_id"], r["text"]) for r in block.toLocalIterator()]  # a block has a fixed size
     query = Suffixes.of([i for i, _ in items], [t for _, t in items], width)
-    shared = docs.sparkSession.sparkContext.broadcast(query)
+    shared = shared_value(docs.sparkSession, query)
     later = found in docs.columns
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        suffixes = shared.value
+        suffixes = value_of(shared)
         for batch in batches:
             earlier = batch.column(found).to_pylist() if later else [None] * batch.num_rows
             results: list[dict] = []

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from watchpost.llm.batches import list_array
 from watchpost.llm.recurrent_net import Network, Trainer, lanes, score
-from watchpost.llm.storage import written
+from watchpost.llm.storage import shared_value, value_of, written
 from watchpost.llm.words import LONG_WORD, NOT_SPACE, Words, chunks, split_words, word_hashes
 
 SMOOTHING = 0.1
@@ -221,11 +221,12 @@ def encoded(
     names = ["n_tokens", "known", "n_rest", "log_known", "log_rest", "symbols", "others", "times"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = value_of(vocabulary)
         for batch in batches:
             for begin, data, offsets in chunks(batch.column("text")):
                 words = split_words(data, offsets, NOT_SPACE, lower=True)
                 kept = [batch.column(c).slice(begin, len(words)) for c in ("row", "id", "held_out")]
-                arrays = [*kept, *_encode_chunk(words, vocabulary.value)]
+                arrays = [*kept, *_encode_chunk(words, known)]
                 yield pa.RecordBatch.from_arrays(arrays, ["row", "id", "held_out", *names])
 
     rows = docs.select(
@@ -281,10 +282,10 @@ _MODEL = pa.schema([("block", pa.int32()), ("salt", pa.int32()), ("tokens", pa.i
 
 def trained_round(documents: DataFrame, network: Network, end: int, settings: Settings, rate: float) -> Network:
     """The average of the networks that tasks have trained on their documents."""
-    start = documents.sparkSession.sparkContext.broadcast(network)
+    start = shared_value(documents.sparkSession, network)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, tokens = Trainer(start.value, steps=settings.steps, rate=rate), 0
+        trainer, tokens = Trainer(value_of(start), steps=settings.steps, rate=rate), 0
         for number, batch in enumerate(batches):
             symbols, begin, length = _symbols(batch)
             groups = list(lanes(symbols, *_segments(begin, length, settings.segment), settings.lanes, end))
@@ -328,15 +329,16 @@ def trained(documents: DataFrame, vocabulary: Vocabulary, settings: Settings) ->
 def scored(documents: DataFrame, network: Network, end: int) -> DataFrame:
     """``documents`` without symbols, and ``log_symbols``: log10 of the probability of all symbols."""
     carried = [c for c in documents.columns if c not in ("symbols", "others", "times")]
-    shared = documents.sparkSession.sparkContext.broadcast(network)
+    shared = shared_value(documents.sparkSession, network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = value_of(shared)
         for batch in batches:
             symbols, begin, length = _symbols(batch)
             if not len(symbols):
                 continue
             # Every document has an end, so none is empty.
-            sums = np.add.reduceat(score(shared.value, symbols, begin, length, end), begin) / np.log(10)
+            sums = np.add.reduceat(score(network, symbols, begin, length, end), begin) / np.log(10)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(sums)], [*carried, "log_symbols"]
             )
@@ -357,7 +359,7 @@ def score_documents(
     settings = settings or Settings()
     words = written(count_words(docs, id_col=id_col, text_col=text_col), "lm-words")
     vocabulary = vocabulary_of(words, settings)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = shared_value(docs.sparkSession, vocabulary)
     documents = written(encoded(docs, shared, id_col=id_col, text_col=text_col), "lm-documents")
     network = trained(documents, vocabulary, settings)
 

@@ -1,13 +1,15 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share, and broadcasts by value."""
 
 from __future__ import annotations
 
 import atexit
+import pickle
 import shutil
 import tempfile
 import uuid
 from functools import cache
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,3 +53,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def shared_value(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast with the classes of ``value`` in it, so that executors need no copy of this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def value_of(shared: Broadcast) -> object:
+    """The value of ``shared_value``, in a task."""
+    return pickle.loads(shared.value)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchpost.llm.batches import list_array
-from watchpost.llm.storage import written
+from watchpost.llm.storage import shared_value, value_of, written
 
 TOKENIZERS = "/opt/tokenizers"
 CHUNK_CHARS = 1 << 18  # of texts aligned at once, so that arrays stay in cache; a longer text is a chunk of its own
@@ -306,10 +306,10 @@ def aligned_documents(
     vocabularies = Vocabularies.read() if vocabularies is None else vocabularies
     if vocabularies.n_a * vocabularies.n_b >= 1 << 32:
         raise ValueError("pairs of ids need more than 32 bits")
-    shared = docs.sparkSession.sparkContext.broadcast(vocabularies)
+    shared = shared_value(docs.sparkSession, vocabularies)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabularies = shared.value
+        vocabularies = value_of(shared)
         encoders, names = Encoders(vocabularies), named(max(vocabularies.n_a, vocabularies.n_b))
         for batch in batches:
             texts = batch.column("text").to_pylist()
