@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 import random
+import resource
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from brute import spaced_words
 
 from watchpost.llm.queries import op11_recurrent_scores
 from watchpost.llm.recurrent_lm import Settings, count_words, score_documents
-from watchpost.llm.recurrent_net import Network, Trainer, class_edges, lanes, score
+from watchpost.llm.recurrent_net import Network, Trainer, add_by_symbol, class_edges, lanes, score
 
 SMALL = Settings(symbols=20, lookup=40, hidden=8, classes=4, rounds=2, segment=16, lanes=8, steps=8)
 
@@ -194,3 +195,25 @@ def test_classes_cover_all_symbols():
     for n, classes in ((1, 4), (5, 4), (3000, 45)):
         edges = class_edges(1e6 / (1 + np.arange(n)), classes)
         assert edges[0] == 0 and edges[-1] == n and (np.diff(edges) > 0).all() and len(edges) <= classes + 1
+
+
+def test_training_keeps_its_memory_between_windows():
+    draw = np.random.default_rng(3)
+    net = Network.new(np.arange(2048, 0, -1) ** 2.0, 1e6, hidden=16, classes=45, seed=1)
+    symbols = draw.integers(0, 2049, 512 * 320)
+    (group,) = lanes(symbols, np.arange(512) * 320, np.full(512, 320), 512, 0)
+    trainer = Trainer(net, steps=16, rate=0.01)
+    trainer.train(group)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    trainer.train(group)
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) / 20 < 500  # pages a window
+
+
+def test_rows_are_added_up_by_symbol():
+    draw = np.random.default_rng(4)
+    symbols = np.append(np.zeros(500, np.int64), draw.integers(1, 900, 1000))
+    rows = draw.integers(-9, 9, (1500, 6)).astype(np.float32)  # exact in any order
+    theirs, ours = np.zeros((901, 6), np.float32), np.zeros((901, 6), np.float32)
+    np.add.at(theirs, symbols, rows)
+    add_by_symbol(symbols, rows, ours)
+    assert (ours == theirs).all()

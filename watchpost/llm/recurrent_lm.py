@@ -4,7 +4,7 @@ Tokens of a text are its words, A-Z lower-cased, then one end.  Documents whose
 is a multiple of ten are held out; everything is learned from the others.
 
 1. **Counts.**  Every word of every training document is counted: tasks count the words of a few
-   megabytes at a time, Spark adds up.  The table of all words is written and never leaves Spark.
+   megabytes at a time, add up those of an Arrow batch, and Spark adds up the rest.  The table of all words is written and never leaves Spark.
 2. **Symbols.**  The network predicts at most ``symbols`` most frequent words, the end, and the rest.
    A word of the rest has its smoothed frequency among the rest, and so has the unseen word, so
    that the probabilities of all words sum to 1.
@@ -50,6 +50,7 @@ SMOOTHING = 0.1
 FOLDS = 10
 BLOCK = 1 << 13  # weights that are averaged together
 SALTS = 64
+COUNTED_ROWS = 1 << 16  # words that go to Spark at once
 
 
 @dataclass(frozen=True)
@@ -123,11 +124,16 @@ def count_words(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             if batch.num_rows:
                 ends = pa.array([batch.num_rows], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), ends], ["word", "n"])
+            parts = []
             for _, data, offsets in chunks(batch.column("text")):
                 words = split_words(data, offsets, NOT_SPACE, lower=True)
                 codes, first = _distinct(word_hashes(words))
                 n = np.bincount(codes, minlength=len(first))
-                yield pa.RecordBatch.from_arrays([_strings(words, first), pa.array(n)], ["word", "n"])
+                parts.append(pa.RecordBatch.from_arrays([_strings(words, first), pa.array(n)], ["word", "n"]))
+            if parts:  # a frequent word is in every chunk, and goes to Spark once
+                both = pa.Table.from_batches(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+                for part in both.select(["word", "n_sum"]).to_batches(max_chunksize=COUNTED_ROWS):
+                    yield part.rename_columns(["word", "n"])
 
     texts = docs.where(~held_out(F.col(id_col))).select(F.col(text_col).alias("text"))
     return texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -10,7 +10,7 @@ grow with lanes and the window, not with the texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +18,7 @@ import numpy as np
 SCORE_LANES = 2048
 SCORE_TOKENS = 1 << 15  # whose states are kept before their probabilities are worked out
 BETA_1, BETA_2, TINY = 0.9, 0.99, 1e-8
+LONG_RUN = 32  # rows of one symbol that are added up by a product
 
 
 def class_edges(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -27,6 +28,10 @@ def class_edges(counts: np.ndarray, classes: int) -> np.ndarray:
     return np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(counts))
 
 
+def _fresh(name: str, *shape: int) -> np.ndarray:
+    return np.empty(shape, np.float32)
+
+
 @dataclass
 class Network:
     """``weights`` by name; symbols below ``edges[-1]`` are in classes, symbol ``edges[-1]`` is the rest."""
@@ -89,15 +94,22 @@ class Network:
         new += candidate
         return new, reset, update, candidate, own
 
-    def log_probability(self, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None):
+    def log_probability(
+        self,
+        states: np.ndarray,
+        targets: np.ndarray,
+        gradients: dict | None = None,
+        room: Callable[..., np.ndarray] = _fresh,
+    ):
         """Natural logarithm of each target's probability; with ``gradients``, which are zero, also
         fills in the loss's gradients by weights and returns those by states (of the mean over targets).
+        ``room`` gives large arrays by name and shape; gradients by states are one of them.
 
         Scores have a column for each target, so that sums over classes run along memory.
         """
         w, edges, learn = self.weights, self.edges, gradients is not None
         own = self.class_of[targets].astype(np.int16)
-        scores = w["classes"] @ states.T
+        scores = np.matmul(w["classes"], states.T, out=room("scores", len(edges), len(targets)))
         scores += w["class_bias"][:, None]
         log_p, p = _softmax(scores, own, learn)
         if learn:
@@ -106,20 +118,24 @@ class Network:
             p *= scale
             gradients["classes"][:] = p @ states
             gradients["class_bias"][:] = p.sum(axis=1)
-            by_state = p.T @ w["classes"]
+            by_state = np.matmul(p.T, w["classes"], out=room("by_states", *states.shape))
         # Targets in the order of classes, those of the rest left out.
         order = np.argsort(own, kind="stable")
         bounds = np.searchsorted(own[order], np.arange(len(edges)))
         order = order[: bounds[-1]]
-        sorted_states, sorted_targets = states[order], targets[order]
-        in_class, back = np.zeros(len(order), np.float32), np.zeros_like(sorted_states)
+        sorted_states = states.take(order, axis=0, out=room("sorted", len(order), self.hidden), mode="clip")
+        sorted_targets = targets[order]
+        in_class = np.zeros(len(order), np.float32)
+        if learn:
+            back = room("back", *sorted_states.shape)
+            back.fill(0)
         for c in np.flatnonzero(np.diff(bounds)).tolist():
             low, high, at = edges[c], edges[c + 1], slice(bounds[c], bounds[c + 1])
             if high - low == 1:  # its only symbol is certain
                 continue
             inside, mine = sorted_targets[at] - low, sorted_states[at]
             weights = w["symbols"][low:high]
-            scores = weights @ mine.T
+            scores = np.matmul(weights, mine.T, out=room("in_class", len(weights), len(mine)))
             scores += w["symbol_bias"][low:high, None]
             in_class[at], p = _softmax(scores, inside, learn)
             if learn:
@@ -132,7 +148,8 @@ class Network:
             return log_p
         gradients["symbols"] *= scale
         gradients["symbol_bias"] *= scale
-        by_state[order] += back * scale
+        back *= scale
+        by_state[order] += back
         return log_p, by_state
 
 
@@ -143,6 +160,22 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def add_by_symbol(symbols: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
+    """For each symbol that occurs, fills in the sum of its ``rows``."""
+    symbols = symbols.astype(np.int16)
+    order = np.argsort(symbols, kind="stable")
+    ordered = symbols[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    length = np.diff(np.append(first, len(order)))
+    long = length >= LONG_RUN
+    for begin, n in zip(first[long].tolist(), length[long].tolist()):
+        np.matmul(np.ones(n, rows.dtype), rows.take(order[begin : begin + n], axis=0), out=out[ordered[begin]])
+    if not long.all():
+        few = order[np.repeat(~long, length)]
+        length = length[~long]
+        out[ordered[first[~long]]] = np.add.reduceat(rows.take(few, axis=0), np.cumsum(length) - length)
+
+
 def _softmax(scores: np.ndarray, targets: np.ndarray, all_of_them: bool) -> tuple[np.ndarray, np.ndarray]:
     """By column: logarithm at the target and, if wanted, all probabilities."""
     scores -= scores.max(axis=0)
@@ -213,14 +246,28 @@ def score(network: Network, symbols: np.ndarray, begin: np.ndarray, length: np.n
 
 
 class Trainer:
-    """Truncated backpropagation: windows of ``steps``, across which states go on and gradients don't."""
+    """Truncated backpropagation: windows of ``steps``, across which states go on and gradients don't.
+
+    Large arrays of a window are kept for the next one: given back to the system and asked for again,
+    they cost a quarter of all time.
+    """
 
     def __init__(self, network: Network, *, steps: int, rate: float):
         self.network, self.steps, self.rate = Network(network.edges, {k: w.copy() for k, w in network.weights.items()}), steps, rate
         self.first = {k: np.zeros_like(w) for k, w in network.weights.items()}
         self.second = {k: np.zeros_like(w) for k, w in network.weights.items()}
+        self.gradients = {k: np.zeros_like(w) for k, w in network.weights.items()}
+        self.roots = {k: np.empty_like(w) for k, w in network.weights.items()}
+        self.rooms: dict[str, np.ndarray] = {}
         self.updates = 0
 
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """An array of that shape, whose values are left from the window before."""
+        size = int(np.prod(shape))
+        if name not in self.rooms or len(self.rooms[name]) < size:
+            self.rooms[name] = np.empty(size, np.float32)
+        return self.rooms[name][:size].reshape(shape)
+
     def train(self, group: Lanes) -> None:
         state = np.zeros((len(group.length), self.network.hidden), np.float32)
         with np.errstate(over="ignore"):
@@ -229,28 +276,39 @@ class Trainer:
 
     def _window(self, state: np.ndarray, inputs: np.ndarray, targets: np.ndarray, inside: np.ndarray) -> np.ndarray:
         network, hidden = self.network, self.network.hidden
-        given = network.weights["inputs"][inputs]
-        shape = (*inputs.shape, hidden)
-        before, reset, update, candidate, own = (np.empty(shape, np.float32) for _ in range(5))
-        states = np.empty(shape, np.float32)
+        shape, wide = (*inputs.shape, hidden), (*inputs.shape, 3 * hidden)
+        given = network.weights["inputs"].take(inputs, axis=0, out=self._room("given", *wide), mode="clip")
+        before, reset, update, candidate, own, states = (
+            self._room(name, *shape) for name in ("before", "reset", "update", "candidate", "own", "states")
+        )
         for t in range(len(inputs)):
             before[t] = state
             state, reset[t], update[t], candidate[t], own[t] = network.step(state, given[t])
             states[t] = state
-        gradients = {k: np.zeros_like(w) for k, w in network.weights.items()}
+        gradients = self.gradients
+        for g in gradients.values():
+            g.fill(0)
         if inside.all():
-            _, by_state = network.log_probability(states.reshape(-1, hidden), targets.ravel(), gradients)
+            _, by_state = network.log_probability(states.reshape(-1, hidden), targets.ravel(), gradients, self._room)
             by_state = by_state.reshape(shape)
         else:
-            by_state = np.zeros_like(states)
-            _, by_state[inside] = network.log_probability(states[inside], targets[inside], gradients)
+            by_state = self._room("by_state", *shape)
+            by_state.fill(0)
+            _, by_state[inside] = network.log_probability(states[inside], targets[inside], gradients, self._room)
 
         # What a change of the new state means for the candidate, and of both for the gates.
-        to_candidate = (1 - update) * (1 - candidate * candidate)
-        to_reset = own * reset * (1 - reset)
-        to_update = (before - candidate) * update * (1 - update)
-        by_inputs = np.empty((*inputs.shape, 3 * hidden), np.float32)
-        by_carried = np.empty_like(by_inputs)
+        to_candidate, to_reset, to_update, spare = (
+            self._room(name, *shape) for name in ("to_candidate", "to_reset", "to_update", "spare")
+        )
+        np.multiply(candidate, candidate, out=to_candidate)
+        np.subtract(1, to_candidate, out=to_candidate)
+        to_candidate *= np.subtract(1, update, out=spare)
+        np.multiply(own, reset, out=to_reset)
+        to_reset *= np.subtract(1, reset, out=spare)
+        np.subtract(before, candidate, out=to_update)
+        to_update *= update
+        to_update *= np.subtract(1, update, out=spare)
+        by_inputs, by_carried = self._room("by_inputs", *wide), self._room("by_carried", *wide)
         carry, back = np.zeros_like(state), network.weights["states"].T.copy()
         for t in reversed(range(len(inputs))):
             carry += by_state[t]
@@ -264,10 +322,7 @@ class Trainer:
             carry += by_carried[t] @ back
         flat = by_carried.reshape(-1, 3 * hidden)
         gradients["states"] += before.reshape(-1, hidden).T @ flat
-        order = np.argsort(inputs, axis=None, kind="stable")
-        symbols = inputs.ravel()[order]
-        first = np.flatnonzero(np.diff(symbols, prepend=-1))
-        gradients["inputs"][symbols[first]] = np.add.reduceat(by_inputs.reshape(-1, 3 * hidden)[order], first)
+        add_by_symbol(inputs.ravel(), by_inputs.reshape(-1, 3 * hidden), gradients["inputs"])
         self._update(gradients)
         return state
 
@@ -284,7 +339,7 @@ class Trainer:
             g *= (1 - BETA_2) / (1 - BETA_1) ** 2
             second *= BETA_2
             second += g
-            root = np.sqrt(second)
+            root = np.sqrt(second, out=self.roots[k])
             root += TINY
             np.divide(first, root, out=root)
             root *= np.float32(rate)

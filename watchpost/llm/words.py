@@ -100,12 +100,16 @@ def word_hashes(words: Words) -> np.ndarray:
     """64-bit hash of each word's bytes; the same in every process."""
     length = words.end - words.start
     hashes = length.astype(np.uint64)
-    at = words.start.copy()
-    active = np.flatnonzero(length <= LONG_WORD)
-    while len(active):
-        hashes[active] = (hashes[active] ^ words.data[at[active]]) * np.uint64(0x9E3779B97F4A7C15)
-        at[active] += 1
-        active = active[at[active] < words.end[active]]
+    # Longest first, so that the words that still have a byte are those in front.
+    sizes = np.where(length > LONG_WORD, 0, length).astype(np.uint8)
+    order = np.argsort(LONG_WORD - sizes, kind="stable")
+    left = len(words.start) - np.cumsum(np.bincount(sizes, minlength=LONG_WORD))
+    at, own = words.start[order], hashes[order]
+    for n in left[: int(sizes.max(initial=0))].tolist():
+        own[:n] ^= words.data[at[:n]]
+        own[:n] *= np.uint64(0x9E3779B97F4A7C15)
+        at[:n] += 1
+    hashes[order] = own
     for i in np.flatnonzero(length > LONG_WORD):
         hashes[i] = int.from_bytes(blake2b(words.word(i), digest_size=8).digest(), "little")
     return mix(hashes)
