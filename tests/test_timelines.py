@@ -130,6 +130,36 @@ def test_missions_with_a_hot_tower_equal_brute_force(spark, span_days):
         assert (r["missions"], r["deployment_id"]) == (len(running), max(running, default=(None, None))[1])
 
 
+def most_joined(df):
+    """Most rows that a join of the query has made."""
+    df.collect()
+    nodes, most = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+        elif node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif "Join" in node.nodeName():
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return most
+
+
+def test_missions_meet_detections_only_where_they_begin_or_end(spark):
+    """Missions that run at all detections of a tower, or for weeks, make no row for each pair."""
+    ends = [None, "2024-03-01 00:00:00", "2023-12-20 12:00:00", "2024-01-20 00:00:00"]
+    missions = [mission(k, "T1", f"2023-11-{1 + k % 25:02d} 00:00:00", ends[k % 4]) for k in range(200)]
+    missions += [mission(900 + k, "T1", "2024-01-10 00:00:00", ends[k]) for k in (0, 1, 3)]
+    asked = [datetime(2023, 12, 1) + timedelta(hours=17 * k) for k in range(80)]
+    found = timelines.missions_at_detection(fleet(spark, deployments=missions, detections=detections("T1", *asked)), MOMENT)
+    for r in records(found):
+        running = [(m["start_ts"], m["deployment_id"]) for m in missions
+                   if m["start_ts"] <= r["detected_at"] < (m["end_ts"] or datetime.max)]
+        assert (r["missions"], r["deployment_id"]) == (len(running), max(running)[1])
+    assert most_joined(found) < 80 * 200 / 5
+
+
 # outages and sessions
 
 

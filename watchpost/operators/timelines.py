@@ -66,37 +66,78 @@ def missions_at_detection(
 
     A mission runs from ``start_ts``, included, to ``end_ts``, left out, or to the moment asked for
     while ``end_ts`` is null, that moment included.  Of missions begun at the same time the one with
-    the higher id counts.  An overlap join by tower and span of days: a mission has a row for each
-    span that it touches, a detection one; all pairs of a detection meet in one task and are counted
-    there before they are shuffled.  A detection without tower or time, or without a mission, has 0.
+    the higher id counts.  A detection without tower or time, or without a mission, has 0; rows of one
+    ``detection_id`` are counted together.
+
+    An overlap join by tower and span of days.  Only in the spans in which a mission begins or ends is
+    it compared with each detection.  In all between, it runs at any moment, so those spans have a row
+    for each tower with the number of missions and the latest begun, combined in the tasks; a mission
+    that is still running at the last detection is counted in its first whole span alone, and running
+    sums over a tower's spans carry it on.
     """
     detections = _at_towers(tables["stg_detections"], tables, site_id).select("detection_id", "tower_id", "detected_at")
     span = lambda at: F.floor(F.datediff(at, F.lit(date(1970, 1, 1))) / span_days)
-    missions = tables["stg_deployments"].select(
-        "deployment_id",
-        F.col("tower_id").alias("__tower"),
-        "mission_name",
-        "start_ts",
-        "end_ts",
-        F.coalesce("end_ts", as_of.now()).alias("__until"),
-    )
     # Spans in which nothing was detected get no row: a long mission isn't spread over all its life.
     seen = detections.agg(F.min("detected_at").alias("from"), F.max("detected_at").alias("to"))
-    clipped = missions.withColumns(
-        {
-            "__first": F.greatest(span(F.col("start_ts")), span(seen.select("from").scalar())),
-            "__last": F.least(span(F.col("__until")), span(seen.select("to").scalar())),
-        }
-    )
-    touched = clipped.where("start_ts <= __until and __first <= __last").withColumn(
-        "__span", F.explode(F.sequence("__first", "__last"))
+    earliest, latest = (span(seen.select(name).scalar()) for name in ("from", "to"))
+    until = F.coalesce("end_ts", as_of.now())
+    last_seen = seen.select("to").scalar()
+    lasting = F.when(F.col("end_ts").isNull(), last_seen <= as_of.now()).otherwise(F.col("end_ts") > last_seen)
+    missions = (
+        tables["stg_deployments"]
+        .select(
+            F.col("tower_id").alias("__tower"),
+            "start_ts",
+            "end_ts",
+            until.alias("__until"),
+            F.struct("start_ts", "deployment_id", "mission_name").alias("__mission"),
+            F.coalesce(lasting, F.lit(False)).alias("__lasting"),
+            span(F.col("start_ts")).alias("__first"),
+            span(until).alias("__last"),
+        )
+        .where(F.col("__tower").isNotNull() & (F.col("start_ts") <= F.col("__until")))
     )
     asked = detections.withColumn("__asked", span(F.col("detected_at")))
+
     at = F.col("detected_at")
     runs = (F.col("start_ts") <= at) & F.when(F.col("end_ts").isNull(), at <= F.col("__until")).otherwise(at < F.col("end_ts"))
-    pairs = asked.join(touched, (F.col("tower_id") == F.col("__tower")) & (F.col("__asked") == F.col("__span")) & runs)
-    latest = F.max(F.struct("start_ts", "deployment_id", "mission_name")).alias("__latest")
-    found = pairs.groupBy(F.col("detection_id").alias("__of")).agg(F.count(F.lit(1)).alias("missions"), latest)
+    ends = F.when(F.col("__lasting"), F.array("__first")).otherwise(F.array_distinct(F.array("__first", "__last")))
+    partly = missions.withColumn("__span", F.explode(ends)).where(F.col("__span").between(earliest, latest))
+    pairs = asked.join(partly, (F.col("tower_id") == F.col("__tower")) & (F.col("__asked") == F.col("__span")) & runs)
+
+    begin = F.greatest(F.col("__first") + 1, earliest)
+    end = F.when(F.col("__lasting"), begin).otherwise(F.least(F.col("__last") - 1, latest))
+    spans = F.when((begin <= end) & (begin <= latest), F.sequence(begin, end))
+    wholly = missions.withColumn("__span", F.explode(spans)).select("__tower", "__span", "__lasting", "__mission")
+    cells = asked.where("tower_id is not null and __asked is not null").select(
+        F.col("tower_id").alias("__tower"), F.col("__asked").alias("__span")
+    )
+    only = lambda kind, value: F.when(F.col("__lasting") == kind, value)
+    per_cell = (
+        wholly.unionByName(cells, allowMissingColumns=True)
+        .groupBy("__tower", "__span")
+        .agg(
+            F.max(F.col("__lasting").isNull()).alias("__detected"),
+            F.count(only(False, F.lit(1))).alias("__between"),
+            F.max(only(False, F.col("__mission"))).alias("__latest_between"),
+            F.count(only(True, F.lit(1))).alias("__began"),
+            F.max(only(True, F.col("__mission"))).alias("__latest_began"),
+        )
+    )
+    so_far = Window.partitionBy("__tower").orderBy("__span").rowsBetween(Window.unboundedPreceding, 0)  # a row per span
+    running = per_cell.select(
+        "__tower",
+        "__span",
+        "__detected",
+        (F.col("__between") + F.sum("__began").over(so_far)).alias("__number"),
+        F.greatest("__latest_between", F.max("__latest_began").over(so_far)).alias("__mission"),
+    ).where("__detected and __number > 0")
+    whole = asked.join(running, (F.col("tower_id") == F.col("__tower")) & (F.col("__asked") == F.col("__span")))
+
+    counted = whole.select(F.col("detection_id").alias("__of"), "__number", "__mission").unionByName(
+        pairs.select(F.col("detection_id").alias("__of"), F.lit(1).cast("long").alias("__number"), "__mission")
+    )
+    found = counted.groupBy("__of").agg(F.sum("__number").alias("missions"), F.max("__mission").alias("__latest"))
     return detections.join(found, F.col("detection_id") == F.col("__of"), "left").select(
         "detection_id",
         "tower_id",
