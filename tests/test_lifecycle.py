@@ -173,3 +173,15 @@ def test_plan_never_gathers_a_part(spark):
     plan = replacement_queue(tables(spark, [working(1, "P1", 3)]), AsOf.of(NOW))._jdf.queryExecution().optimizedPlan().toString()
     whole_part = [line for line in plan.splitlines() if "Window [" in line and "__day" not in line.split("], [")[1]]
     assert all("__sum_" in line for line in whole_part)
+
+
+def test_plan_never_deals_units_by_type(spark):
+    """A handful of types would be a handful of tasks."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = replacement_queue(tables(spark, [working(1, "P1", 3)]), AsOf.of(NOW))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "coalesce(__type" in plan
+    assert not any("hashpartitioning(coalesce(component_type" in line for line in plan.splitlines())

@@ -145,7 +145,8 @@ def replacement_queue(
     supply.  With a site, the stock serves that site's units alone.
 
     A part's place in the queue is a running count in cells of a day, and stock meets the queue by
-    part and day: a part that holds a third of all units is spread over its days.
+    part and day: a part that holds a third of all units is spread over its days.  The ratios, a row
+    for each type, are broadcast.
     """
     units = facts_at(tables, "fct_component_reliability", site_id)
     # A row for each type.
@@ -156,7 +157,8 @@ def replacement_queue(
         .select("__type", round_half_away(F.col("__mean"), 3).alias("life_ratio"))
     )
     working = units.where(~F.coalesce(F.col("is_failed"), F.lit(False)) & F.col("installed_at").isNotNull())
-    typed = working.join(ratios, F.col("component_type").eqNullSafe(F.col("__type")), "left")
+    # Units dealt by type would be a handful of tasks, however many units there are.
+    typed = working.join(F.broadcast(ratios), F.col("component_type").eqNullSafe(F.col("__type")), "left")
     hours = F.floor(F.col("mtbf_target_hours") * F.coalesce("life_ratio", F.lit(1.0))).cast("int")
     due = (
         typed.withColumn("life_hours", hours)
