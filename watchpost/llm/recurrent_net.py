@@ -18,7 +18,6 @@ import numpy as np
 SCORE_LANES = 2048
 SCORE_TOKENS = 1 << 15  # whose states are kept before their probabilities are worked out
 BETA_1, BETA_2, TINY = 0.9, 0.99, 1e-8
-LONG_RUN = 32  # rows of one symbol that are added up by a product
 
 
 def class_edges(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -160,20 +159,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def add_by_symbol(symbols: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
-    """For each symbol that occurs, fills in the sum of its ``rows``."""
+def add_by_symbol(symbols: np.ndarray, rows: np.ndarray, out: np.ndarray, spare: np.ndarray | None = None) -> None:
+    """For each symbol that occurs, fills in the sum of its ``rows``; ``spare`` has their shape."""
     symbols = symbols.astype(np.int16)
     order = np.argsort(symbols, kind="stable")
-    ordered = symbols[order]
-    first = np.flatnonzero(np.diff(ordered, prepend=-1))
-    length = np.diff(np.append(first, len(order)))
-    long = length >= LONG_RUN
-    for begin, n in zip(first[long].tolist(), length[long].tolist()):
-        np.matmul(np.ones(n, rows.dtype), rows.take(order[begin : begin + n], axis=0), out=out[ordered[begin]])
-    if not long.all():
-        few = order[np.repeat(~long, length)]
-        length = length[~long]
-        out[ordered[first[~long]]] = np.add.reduceat(rows.take(few, axis=0), np.cumsum(length) - length)
+    first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
+    out[symbols[order[first]]] = np.add.reduceat(rows.take(order, axis=0, out=spare, mode="clip"), first)
 
 
 def _softmax(scores: np.ndarray, targets: np.ndarray, all_of_them: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -322,7 +313,8 @@ class Trainer:
             carry += by_carried[t] @ back
         flat = by_carried.reshape(-1, 3 * hidden)
         gradients["states"] += before.reshape(-1, hidden).T @ flat
-        add_by_symbol(inputs.ravel(), by_inputs.reshape(-1, 3 * hidden), gradients["inputs"])
+        # What was given is no longer needed.
+        add_by_symbol(inputs.ravel(), by_inputs.reshape(-1, 3 * hidden), gradients["inputs"], given.reshape(-1, 3 * hidden))
         self._update(gradients)
         return state
 
