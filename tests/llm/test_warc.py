@@ -65,6 +65,22 @@ def test_edge_cases(spark, min_bytes):
     assert sum(m["records"] for m in manifest.collect()) == len(ROWS)
 
 
+def test_the_manifest_is_a_few_files(spark):
+    pages = spark.createDataFrame([(k, "u", f"page {k}") for k in range(300)], "page_id long, url string, html string")
+    given = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in given}
+    try:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+        manifest = warc.write_archives(pages)
+        assert manifest.count() > 30
+        assert manifest.agg(F.sum("records")).first()[0] == 300
+        assert len(manifest.inputFiles()) <= 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(warc.write_archives(pages)).count() == 0

@@ -7,7 +7,8 @@ records after it.  Records with equal payloads are one response, that with the l
 revisits that refer to it and hold no payload.
 
 Which archives count is said by a manifest, a table that Spark commits as a whole; an attempt
-that was lost or run twice leaves a file that no manifest names.  Files are written and read by
+that was lost or run twice leaves a file that no manifest names.  It is a few files, however many
+archives there are.  Files are written and read by
 URI through Arrow's file systems, in the shared folder.
 
 Roles need one shuffle of the payloads, by digest, and the largest id of each digest is found
@@ -160,6 +161,7 @@ def read_archive(source: BinaryIO) -> Iterator[bytes]:
 # --- tables -------------------------------------------------------------------------------
 
 MANIFEST = "archive string, records long, bytes long"
+MANIFEST_FILES = 8
 
 
 def with_roles(pages: DataFrame, *, id_col: str, url_col: str, payload_col: str, min_bytes: int) -> DataFrame:
@@ -224,7 +226,8 @@ def write_archives(
             size = out.tell()
         yield pa.record_batch([[f"{place}/archives/{archive.rpartition('/')[2]}"], [number], [size]], ["archive", "records", "bytes"])
 
-    rows.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
+    # A row for each archive; a file for each would be as many files again, with what it takes to make them.
+    rows.mapInArrow(write, MANIFEST).repartition(MANIFEST_FILES).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
