@@ -10,7 +10,6 @@ import time
 from collections import Counter
 from pathlib import Path
 
-import duckdb
 from pyspark.sql import SparkSession
 
 from harness.oracle import ORACLE_SQL
@@ -34,6 +33,8 @@ def local_session(cores: str = "8") -> SparkSession:
 
 
 def open_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    import duckdb  # only here: sessions work without it
+
     connection = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
         connection.execute(f"create view {path.stem} as select * from read_parquet('{path}')")
