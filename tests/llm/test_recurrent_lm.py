@@ -96,6 +96,12 @@ def test_edge_cases(spark):
     assert check(spark, []) == []
 
 
+def test_batches_without_words(spark):
+    rows = [(i, None if i % 2 else " ") for i in range(40)]
+    found = score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), settings=SMALL)
+    assert sorted((r.id, r.n_tokens) for r in found.collect()) == [(i, 1) for i in range(40)]
+
+
 def test_without_training_documents(spark):
     held = [i for i in range(200) if is_held_out(i)][:5]
     found = check(spark, [(i, "some words") for i in held])

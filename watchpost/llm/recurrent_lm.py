@@ -192,7 +192,7 @@ def _encode_chunk(words: Words, vocabulary: Vocabulary) -> list[pa.Array]:
         symbol[found], log[found] = vocabulary.symbol[at[found]], vocabulary.log_count[at[found]]
     known, symbols, logs = found[codes], symbol[codes], log[codes]
     in_rest = symbols == vocabulary.rest
-    sums = lambda x: np.bincount(of, x, minlength=n)
+    sums = lambda x: np.bincount(of, x, minlength=n).astype(float)  # noqa: E731 (without words it has integers)
 
     # Symbols with an end after each text.
     counts = words.counts
