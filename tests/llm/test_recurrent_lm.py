@@ -10,12 +10,15 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import spaced_words
 
 from watchpost.llm.queries import op11_recurrent_scores
-from watchpost.llm.recurrent_lm import Settings, count_words, score_documents
+from watchpost.llm.recurrent_lm import Settings, Vocabulary, _symbols, count_words, encoded, score_documents
 from watchpost.llm.recurrent_net import Network, Trainer, add_by_symbol, class_edges, lanes, score
+from watchpost.llm.storage import shared_value
+from watchpost.llm.words import hash_words
 
 SMALL = Settings(symbols=20, lookup=40, hidden=8, classes=4, rounds=2, segment=16, lanes=8, steps=8)
 
@@ -215,6 +218,24 @@ def test_training_keeps_its_memory_between_windows():
     assert (resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) / 20 < 500  # pages a window
 
 
+def test_documents_are_written_as_one_value_each(spark):
+    texts = ["b a", None, "a rare A", "", "b " * 3000]
+    table = spark.createDataFrame([(i + 1, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    counts = np.array([5.0, 4.0, 3.0])  # a, b, end
+    known = np.array([b"a", b"b"])
+    hashes = hash_words(list(known))
+    order = np.argsort(hashes)
+    vocabulary = Vocabulary(hashes[order], np.array([0, 1])[order], np.zeros(2), counts, 2, 0.0, 13, 4, 1, 1)
+    rows = encoded(table, shared_value(spark, vocabulary)).orderBy("id").select("symbols").toArrow()
+    assert pa.types.is_binary(rows.schema.field("symbols").type)
+    number = {"a": 0, "b": 1}
+    expected = [[*(number.get(w, 3) for w in (x or "").lower().split()), 2] for x in texts]
+    (batch,) = rows.combine_chunks().to_batches()
+    for low in (0, 2):  # a slice's places are its own
+        symbols, begin, length = _symbols(batch.slice(low))
+        assert [symbols[b : b + n].tolist() for b, n in zip(begin, length)] == expected[low:]
+
+
 def test_rows_are_added_up_by_symbol():
     draw = np.random.default_rng(4)
     symbols = np.append(np.zeros(500, np.int64), draw.integers(1, 900, 1000))
@@ -223,3 +244,14 @@ def test_rows_are_added_up_by_symbol():
     np.add.at(theirs, symbols, rows)
     add_by_symbol(symbols, rows, ours)
     assert (ours == theirs).all()
+
+
+def test_sums_by_symbol_have_the_order_of_reduceat():
+    draw = np.random.default_rng(5)
+    symbols = draw.permutation(np.repeat(np.arange(60), np.arange(60) // 3 + 1))  # 1 to 20 rows each
+    rows = draw.normal(size=(len(symbols), 6)).astype(np.float32)
+    order = np.argsort(symbols, kind="stable")
+    theirs = np.add.reduceat(rows[order], np.flatnonzero(np.diff(symbols[order], prepend=-1)))
+    ours = np.zeros((60, 6), np.float32)
+    add_by_symbol(symbols, rows, ours, np.empty_like(rows))
+    assert np.allclose(ours, theirs, rtol=1e-6, atol=1e-6)

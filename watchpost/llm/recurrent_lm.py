@@ -9,7 +9,8 @@ is a multiple of ten are held out; everything is learned from the others.
    A word of the rest has its smoothed frequency among the rest, and so has the unseen word, so
    that the probabilities of all words sum to 1.
 3. **Lookup.**  At most ``lookup`` frequent words of at most 48 bytes, 8 MB, go to the tasks, which
-   write each document as symbols, sums over known words, and its other words with their numbers.
+   write each document as symbols, packed in one binary value, sums over known words, and its other words with
+   their numbers.
    Only these others, rare words mostly, are joined with the table of all words.
 4. **Training.**  Documents are dealt into rounds.  In a round, each task starts from the same
    network and trains it on all its documents, cut into segments of ``segment`` tokens, by truncated
@@ -180,6 +181,13 @@ def vocabulary_of(words: DataFrame, settings: Settings) -> Vocabulary:
     )
 
 
+def _packed(symbols: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Each text's symbols, two bytes each, as one value: Spark then writes and reads them by the text."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum(2 * counts)]).astype(np.int32))
+    data = pa.py_buffer(symbols.astype("<i2").tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, offsets.buffers()[1], data])
+
+
 def _encode_chunk(words: Words, vocabulary: Vocabulary) -> list[pa.Array]:
     n, of = len(words), words.text_of
     codes, at_first = _distinct(hashes := word_hashes(words))
@@ -213,7 +221,7 @@ def _encode_chunk(words: Words, vocabulary: Vocabulary) -> list[pa.Array]:
         pa.array(sums(in_rest).astype(np.int64)),
         pa.array(sums(logs) + vocabulary.end_log),
         pa.array(sums(np.where(in_rest, logs, 0.0))),
-        list_array(whole, counts + 1),
+        _packed(whole, counts + 1),
         pa.ListArray.from_arrays(offsets, _strings(words, others[first])),
         list_array(times.astype(np.int32), per_text),
     ]
@@ -245,15 +253,18 @@ def encoded(
     return rows.mapInArrow(
         encode,
         f"row long, id {id_type}, held_out boolean, n_tokens long, known long, n_rest long, log_known double, "
-        "log_rest double, symbols array<smallint>, others array<string>, times array<int>",
+        "log_rest double, symbols binary, others array<string>, times array<int>",
     )
 
 
 def _symbols(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All symbols of a batch, where its documents begin, and how long they are."""
-    column = batch.column("symbols")
-    offsets = column.offsets.to_numpy().astype(np.int64)
-    return column.flatten().to_numpy().astype(np.int64), offsets[:-1] - offsets[0], np.diff(offsets)
+    column = batch.column("symbols").cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.empty(0, np.uint8)
+    ends = (offsets - offsets[0]) // 2
+    return data.view("<i2").astype(np.int64), ends[:-1], np.diff(ends)
 
 
 def _segments(begin: np.ndarray, length: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,8 @@ grow with lanes and the window, not with the texts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +19,7 @@ import numpy as np
 SCORE_LANES = 2048
 SCORE_TOKENS = 1 << 15  # whose states are kept before their probabilities are worked out
 BETA_1, BETA_2, TINY = 0.9, 0.99, 1e-8
+FEW_ROWS = 8  # of one symbol, that are added up side by side with those of others
 
 
 def class_edges(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -27,8 +29,19 @@ def class_edges(counts: np.ndarray, classes: int) -> np.ndarray:
     return np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(counts))
 
 
-def _fresh(name: str, *shape: int) -> np.ndarray:
-    return np.empty(shape, np.float32)
+class Rooms:
+    """Large arrays by name, kept for the next window: given back to the system and asked for again, they
+    cost a quarter of all time."""
+
+    def __init__(self) -> None:
+        self.rooms: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        """An array of that shape, whose values are left from the window before."""
+        size = math.prod(shape)
+        if name not in self.rooms or len(self.rooms[name]) < size:
+            self.rooms[name] = np.empty(size, np.float32)
+        return self.rooms[name][:size].reshape(shape)
 
 
 @dataclass
@@ -75,34 +88,22 @@ class Network:
             at += w.size
         return Network(self.edges, weights)
 
-    # One step of all lanes: reset and update gates, candidate, new state.
-    def step(self, state: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
-        """``inputs``: the symbols' rows of the input weights."""
-        hidden, carried = self.hidden, state @ self.weights["states"]
-        gates = _sigmoid(inputs[:, : 2 * hidden] + carried[:, : 2 * hidden])
-        reset, update = gates[:, :hidden], gates[:, hidden:]
-        own = carried[:, 2 * hidden :]
-        candidate = reset * own
-        candidate += inputs[:, 2 * hidden :]
-        candidate *= 2
-        _sigmoid(candidate)
-        candidate *= 2
-        candidate -= 1
-        new = state - candidate
-        new *= update
-        new += candidate
-        return new, reset, update, candidate, own
+    def by_gate(self, name: str) -> np.ndarray:
+        """Weights of inputs or states for the reset gate, the update gate and the candidate, ``(3, rows, hidden)``:
+        what is worked out with them has the values of a gate side by side."""
+        w = self.weights[name]
+        return np.ascontiguousarray(w.reshape(len(w), 3, self.hidden).swapaxes(0, 1))
 
     def log_probability(
         self,
         states: np.ndarray,
         targets: np.ndarray,
+        room: Rooms,
         gradients: dict | None = None,
-        room: Callable[..., np.ndarray] = _fresh,
     ):
         """Natural logarithm of each target's probability; with ``gradients``, which are zero, also
         fills in the loss's gradients by weights and returns those by states (of the mean over targets).
-        ``room`` gives large arrays by name and shape; gradients by states are one of them.
+        Large arrays are in ``room``, gradients by states among them.
 
         Scores have a column for each target, so that sums over classes run along memory.
         """
@@ -152,6 +153,27 @@ class Network:
         return log_p, by_state
 
 
+def _step(
+    state: np.ndarray, given: np.ndarray, weights: np.ndarray, gates: np.ndarray, candidate: np.ndarray, new: np.ndarray
+) -> None:
+    """One step of all lanes: fills in the new state, its candidate, and ``gates`` with the reset gate, the
+    update gate and what the candidate has from the state.  ``given``: the symbols' input weights by gate."""
+    np.matmul(state, weights, out=gates)
+    both = gates[:2]
+    both += given[:2]
+    _sigmoid(both)
+    reset, update, own = gates
+    np.multiply(reset, own, out=candidate)
+    candidate += given[2]
+    candidate *= 2
+    _sigmoid(candidate)
+    candidate *= 2
+    candidate -= 1
+    np.subtract(state, candidate, out=new)
+    new *= update
+    new += candidate
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     np.negative(x, out=x)
     np.exp(x, out=x)
@@ -164,7 +186,25 @@ def add_by_symbol(symbols: np.ndarray, rows: np.ndarray, out: np.ndarray, spare:
     symbols = symbols.astype(np.int16)
     order = np.argsort(symbols, kind="stable")
     first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-    out[symbols[order[first]]] = np.add.reduceat(rows.take(order, axis=0, out=spare, mode="clip"), first)
+    length = np.diff(np.append(first, len(order)))
+    # Most symbols occur a few times: their first rows are added up at once, and so on.  The order of
+    # sums is that of reduceat: the first, and then all others.
+    for n in range(1, FEW_ROWS + 1):
+        at = first[length == n]
+        if len(at):
+            total = rows.take(order[at], axis=0)
+            if n > 1:
+                others = rows.take(order[at + 1], axis=0)
+                for k in range(2, n):
+                    others += rows.take(order[at + k], axis=0)
+                total += others
+            out[symbols[order[at]]] = total
+    many = length > FEW_ROWS
+    if many.any():
+        order, length = order[np.repeat(many, length)], length[many]
+        taken = rows.take(order, axis=0, out=None if spare is None else spare[: len(order)], mode="clip")
+        first = np.cumsum(length) - length
+        out[symbols[order[first]]] = np.add.reduceat(taken, first)
 
 
 def _softmax(scores: np.ndarray, targets: np.ndarray, all_of_them: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -217,31 +257,32 @@ def lanes(symbols: np.ndarray, begin: np.ndarray, length: np.ndarray, width: int
 def score(network: Network, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray, first_input: int) -> np.ndarray:
     """Natural logarithm of each symbol's probability after all that precede it in its text; the
     state goes on from window to window until the text ends."""
-    out = np.zeros(len(symbols))
+    out, hidden, room = np.zeros(len(symbols)), network.hidden, Rooms()
+    by_input, by_state = network.by_gate("inputs"), network.by_gate("states")
     with np.errstate(over="ignore"):
         for group in lanes(symbols, begin, length, SCORE_LANES, first_input):
-            state = np.zeros((len(group.length), network.hidden), np.float32)
+            state = np.zeros((len(group.length), hidden), np.float32)
             for inputs, targets, places in group.windows():
-                state = state[: inputs.shape[1]]
-                states = np.empty((*inputs.shape, network.hidden), np.float32)
+                wide = inputs.shape[1]
+                states = room("states", *inputs.shape, hidden)
+                given, gates = room("given", 3, wide, hidden), room("gates", 3, wide, hidden)
+                candidate, before = room("candidate", wide, hidden), state[:wide]
                 for t, now in enumerate(inputs):
-                    state = network.step(state, network.weights["inputs"][now])[0]
-                    states[t] = state
+                    by_input.take(now, axis=1, out=given, mode="clip")
+                    _step(before, given, by_state, gates, candidate, states[t])
+                    before = states[t]
+                state = before.copy()  # its room is needed again
                 inside = places >= 0
                 if inside.all():
-                    found = network.log_probability(states.reshape(-1, network.hidden), targets.ravel())
+                    found = network.log_probability(states.reshape(-1, hidden), targets.ravel(), room)
                     out[places] = found.reshape(places.shape)
                 else:
-                    out[places[inside]] = network.log_probability(states[inside], targets[inside])
+                    out[places[inside]] = network.log_probability(states[inside], targets[inside], room)
     return out
 
 
 class Trainer:
-    """Truncated backpropagation: windows of ``steps``, across which states go on and gradients don't.
-
-    Large arrays of a window are kept for the next one: given back to the system and asked for again,
-    they cost a quarter of all time.
-    """
+    """Truncated backpropagation: windows of ``steps``, across which states go on and gradients don't."""
 
     def __init__(self, network: Network, *, steps: int, rate: float):
         self.network, self.steps, self.rate = Network(network.edges, {k: w.copy() for k, w in network.weights.items()}), steps, rate
@@ -249,16 +290,9 @@ class Trainer:
         self.second = {k: np.zeros_like(w) for k, w in network.weights.items()}
         self.gradients = {k: np.zeros_like(w) for k, w in network.weights.items()}
         self.roots = {k: np.empty_like(w) for k, w in network.weights.items()}
-        self.rooms: dict[str, np.ndarray] = {}
+        self.room = Rooms()
         self.updates = 0
 
-    def _room(self, name: str, *shape: int) -> np.ndarray:
-        """An array of that shape, whose values are left from the window before."""
-        size = int(np.prod(shape))
-        if name not in self.rooms or len(self.rooms[name]) < size:
-            self.rooms[name] = np.empty(size, np.float32)
-        return self.rooms[name][:size].reshape(shape)
-
     def train(self, group: Lanes) -> None:
         state = np.zeros((len(group.length), self.network.hidden), np.float32)
         with np.errstate(over="ignore"):
@@ -266,30 +300,30 @@ class Trainer:
                 state = self._window(state[: inputs.shape[1]], inputs, targets, places >= 0)
 
     def _window(self, state: np.ndarray, inputs: np.ndarray, targets: np.ndarray, inside: np.ndarray) -> np.ndarray:
-        network, hidden = self.network, self.network.hidden
+        network, hidden, room = self.network, self.network.hidden, self.room
         shape, wide = (*inputs.shape, hidden), (*inputs.shape, 3 * hidden)
-        given = network.weights["inputs"].take(inputs, axis=0, out=self._room("given", *wide), mode="clip")
-        before, reset, update, candidate, own, states = (
-            self._room(name, *shape) for name in ("before", "reset", "update", "candidate", "own", "states")
-        )
+        given = room("given", 3, *shape)
+        network.by_gate("inputs").take(inputs, axis=1, out=given, mode="clip")
+        gates, candidate, line = room("gates", 3, *shape), room("candidate", *shape), room("line", len(inputs) + 1, *shape[1:])
+        by_state = network.by_gate("states")
+        line[0] = state
         for t in range(len(inputs)):
-            before[t] = state
-            state, reset[t], update[t], candidate[t], own[t] = network.step(state, given[t])
-            states[t] = state
+            _step(line[t], given[:, t], by_state, gates[:, t], candidate[t], line[t + 1])
+        before, states, (reset, update, own) = line[:-1], line[1:], gates
         gradients = self.gradients
         for g in gradients.values():
             g.fill(0)
         if inside.all():
-            _, by_state = network.log_probability(states.reshape(-1, hidden), targets.ravel(), gradients, self._room)
+            _, by_state = network.log_probability(states.reshape(-1, hidden), targets.ravel(), room, gradients)
             by_state = by_state.reshape(shape)
         else:
-            by_state = self._room("by_state", *shape)
+            by_state = room("by_state", *shape)
             by_state.fill(0)
-            _, by_state[inside] = network.log_probability(states[inside], targets[inside], gradients, self._room)
+            _, by_state[inside] = network.log_probability(states[inside], targets[inside], room, gradients)
 
         # What a change of the new state means for the candidate, and of both for the gates.
         to_candidate, to_reset, to_update, spare = (
-            self._room(name, *shape) for name in ("to_candidate", "to_reset", "to_update", "spare")
+            room(name, *shape) for name in ("to_candidate", "to_reset", "to_update", "spare")
         )
         np.multiply(candidate, candidate, out=to_candidate)
         np.subtract(1, to_candidate, out=to_candidate)
@@ -299,8 +333,8 @@ class Trainer:
         np.subtract(before, candidate, out=to_update)
         to_update *= update
         to_update *= np.subtract(1, update, out=spare)
-        by_inputs, by_carried = self._room("by_inputs", *wide), self._room("by_carried", *wide)
-        carry, back = np.zeros_like(state), network.weights["states"].T.copy()
+        by_inputs, by_carried = room("by_inputs", *wide), room("by_carried", *wide)
+        carry, back = np.zeros(shape[1:], np.float32), network.weights["states"].T.copy()
         for t in reversed(range(len(inputs))):
             carry += by_state[t]
             by_candidate = by_inputs[t, :, 2 * hidden :]
@@ -310,13 +344,13 @@ class Trainer:
             by_carried[t, :, : 2 * hidden] = by_inputs[t, :, : 2 * hidden]
             np.multiply(by_candidate, reset[t], out=by_carried[t, :, 2 * hidden :])
             carry *= update[t]
-            carry += by_carried[t] @ back
+            carry += np.matmul(by_carried[t], back, out=spare[t])
         flat = by_carried.reshape(-1, 3 * hidden)
         gradients["states"] += before.reshape(-1, hidden).T @ flat
         # What was given is no longer needed.
         add_by_symbol(inputs.ravel(), by_inputs.reshape(-1, 3 * hidden), gradients["inputs"], given.reshape(-1, 3 * hidden))
         self._update(gradients)
-        return state
+        return states[-1].copy()  # its room is needed again
 
     def _update(self, gradients: dict[str, np.ndarray]) -> None:
         """Steps by the running means of gradients and of their squares."""
